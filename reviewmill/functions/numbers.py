@@ -37,9 +37,15 @@ def canonical_number(c: Column | str) -> Column:
     """``5.0`` as ``5``, other values with up to twelve significant digits."""
     c = _col(c).cast("double")
     whole = (c == F.floor(c)) & (F.abs(c) < 9.0e18)
-    # Twelve significant digits: scale by the magnitude, round, drop trailing zeros.
+    # Twelve significant digits, then plain notation without trailing zeros.
     digits = F.format_string("%.11e", c).cast("double")
-    return F.when(whole, c.cast("bigint").cast("string")).otherwise(digits.cast("string"))
+    plain = F.regexp_replace(digits.cast("decimal(38,17)").cast("string"), r"\.?0+$", "")
+    in_plain_range = F.abs(digits).between(1e-4, 999_999_999_999.0)
+    return (
+        F.when(whole, c.cast("bigint").cast("string"))
+        .when(in_plain_range, plain)
+        .otherwise(digits.cast("string"))
+    )
 
 
 def safe_rate(numerator: Column | str, denominator: Column | str) -> Column:
