@@ -122,7 +122,6 @@ def _safe_rate(spark, sf):
     return counted.select("l_orderkey", numbers.safe_rate("a", "b").alias("rate"))
 
 
-_NAMES_SPARK = "concat(IF(o_orderkey % 3 = 0, '.', 'Model.'), o_orderpriority, '+', o_orderkey % 4) AS raw, o_orderkey"
 common_table("model_names", """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '.' WHEN 1 THEN '_Fit.' WHEN 2 THEN 'Model--' ELSE 'TFIDF_' END
   || o_orderpriority || CASE WHEN o_orderkey % 5 = 0 THEN '..' WHEN o_orderkey % 5 = 1 THEN 'x' ELSE '' END AS raw FROM orders""")
 
@@ -381,14 +380,10 @@ def _duplicate_flag(spark, sf):
     return pred.flag_duplicates(rows, [F.col("at_row")])
 
 
-@query("export_ordering", "SELECT review_key, ROW_NUMBER() OVER (ORDER BY to_base64(encode(review_key))) AS place FROM clean_table")
+@query("export_ordering", "SELECT review_key, to_base64(encode(review_key)) AS export_key FROM clean_table ORDER BY export_key")
 def _export_order(spark, sf):
-    from pyspark.sql import Window
-
-    # The rank only shows the order of the sorted rows to the comparison.
     ordered = clean.in_key_order(clean_table(spark, sf).select("review_key"))
-    by_key = Window.partitionBy(F.lit(1)).orderBy(F.base64(F.encode("review_key", "UTF-8")))
-    return ordered.withColumn("place", F.row_number().over(by_key).cast("bigint"))
+    return ordered.withColumn("export_key", F.base64(F.encode("review_key", "UTF-8")))
 
 
 @query("spot_check", """SELECT substring(review_key, 1, 12) AS review_key_prefix, asin, parent_asin, rating, rating_label, dt, metadata_matched,

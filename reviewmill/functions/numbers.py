@@ -5,32 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reviewmill.functions.text import _col, strip
+from reviewmill.functions.text import _col
 
-_INFINITIES = (float("inf"), float("-inf"))
+_NUMBER = r"(?U)^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+_INTEGER = r"(?U)^\s*([+-]?[0-9]+)\s*$"
 
 
 def finite(c: Column | str) -> Column:
-    """The number itself, or null for NaN and the infinities."""
+    """The number itself, or null for NaN (larger than every number here) and the infinities."""
     c = _col(c)
-    return F.when(~F.isnan(c) & ~c.isin(*_INFINITIES), c)
+    return F.when(F.abs(c) < float("inf"), c)
 
 
 def text_to_number(c: Column | str) -> Column:
     """Numeric text to a finite double, anything else to null."""
-    text = strip(c)
-    return finite(F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double")))
+    return finite(F.regexp_extract(_col(c), _NUMBER, 1).try_cast("double"))
 
 
 def text_to_integer(c: Column | str) -> Column:
     """Integer text to bigint; ``5.0`` is not an integer text."""
-    text = strip(c)
-    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
+    return F.regexp_extract(_col(c), _INTEGER, 1).try_cast("bigint")
 
 
 def parse_number(c: Column | str) -> Column:
     """Lenient number: thousands separators and dollar signs are dropped first."""
-    return text_to_number(F.regexp_replace(strip(c), r"[,$]", ""))
+    return text_to_number(F.regexp_replace(_col(c), r"[,$]", ""))
 
 
 def canonical_number(c: Column | str) -> Column:
@@ -38,7 +37,7 @@ def canonical_number(c: Column | str) -> Column:
     c = _col(c).cast("double")
     whole = (c == F.floor(c)) & (F.abs(c) < 9.0e18)
     # Twelve significant digits, then plain notation without trailing zeros.
-    digits = F.format_string("%.11e", c).cast("double")
+    digits = F.format_string("%.11e", c).try_cast("double")
     plain = F.regexp_replace(digits.cast("decimal(38,17)").cast("string"), r"\.?0+$", "")
     in_plain_range = F.abs(digits).between(1e-4, 999_999_999_999.0)
     return (

@@ -24,14 +24,12 @@ def strip(c: Column | str) -> Column:
 
 def is_blank(c: Column | str) -> Column:
     """Null, or nothing but blanks."""
-    c = _col(c)
-    return c.isNull() | (F.trim(c) == "")
+    return F.coalesce(F.trim(_col(c)), F.lit("")) == ""
 
 
 def missing_or_blank(c: Column | str) -> Column:
     """Null, or nothing but whitespace of any kind."""
-    c = _col(c)
-    return c.isNull() | (strip(c) == "")
+    return F.coalesce(strip(c), F.lit("")) == ""
 
 
 def sanitize(c: Column | str) -> Column:
@@ -93,5 +91,4 @@ def store_key(c: Column | str) -> Column:
 
 
 def folded_name(c: Column | str) -> Column:
-    folded = F.lower(F.trim(_col(c)))
-    return F.when(folded.isNull() | (folded == ""), F.lit(UNKNOWN_NAME)).otherwise(folded)
+    return F.coalesce(F.nullif(F.lower(F.trim(_col(c))), F.lit("")), F.lit(UNKNOWN_NAME))

@@ -1,6 +1,8 @@
-"""Typed reads of one field of a JSON line.
+"""Typed reads of the fields of a JSON line.
 
-A line is parsed once into a VARIANT; the line text is consulted only where the
+A line is parsed once into a VARIANT. The type of every field that is read is
+taken once too, as a column of its own (:func:`open_fields`), because the typed
+reads below look at it several times. The line text is consulted only where the
 VARIANT has normalised the spelling away (``5.0`` against ``5``, key order).
 """
 
@@ -8,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.numbers import finite, text_to_integer, text_to_number, whole_or_null
@@ -23,13 +25,13 @@ def sanitize_json(c: Column) -> Column:
     return sanitize(F.regexp_replace(c, _ESCAPED_CONTROL, "$1 "))
 
 
-def kind_of(variant: Column, raw: Column) -> Column:
-    """JSON kind: null, boolean, integer, number, string, array or object.
+def kind_of(schema: Column, raw: Column) -> Column:
+    """JSON kind of a VARIANT with this schema text: null, boolean, integer,
+    number, string, array or object.
 
     ``raw`` is the number as written; it is read for decimals without a
     fraction only, which may be ``5.0`` or an integer too long for 64 bits.
     """
-    schema = F.schema_of_variant(variant)
     return (
         F.when(schema == "VOID", F.lit("null"))
         .when(schema == "BOOLEAN", F.lit("boolean"))
@@ -42,35 +44,47 @@ def kind_of(variant: Column, raw: Column) -> Column:
     )
 
 
+def _schema_column(name: str) -> str:
+    return f"_type_{name}"
+
+
+def open_fields(objects: DataFrame, *names: str, variant: str = "v") -> DataFrame:
+    """Add the type of each named field, for :class:`JsonField`; null where the field is absent."""
+    return objects.withColumns({
+        _schema_column(name): F.schema_of_variant(F.try_variant_get(F.col(variant), f"$.{name}", "variant"))
+        for name in names
+    })
+
+
 @dataclass(frozen=True)
 class JsonField:
-    """One top-level field of a parsed line."""
+    """One top-level field of a parsed line that went through :func:`open_fields`."""
 
     name: str
     variant: str = "v"
     line: str = "value"
 
     @property
-    def node(self) -> Column:
-        return F.try_variant_get(F.col(self.variant), f"$.{self.name}", "variant")
+    def schema(self) -> Column:
+        return F.col(_schema_column(self.name))
 
     @property
     def raw(self) -> Column:
         """Text of the field as written; strings lose their quotes."""
         return F.get_json_object(F.col(self.line), f"$.{self.name}")
 
-    def _get(self, data_type: str) -> Column:
-        return F.try_variant_get(F.col(self.variant), f"$.{self.name}", data_type)
-
     @property
     def kind(self) -> Column:
-        return kind_of(self.node, self.raw)
+        return kind_of(self.schema, self.raw)
+
+    def _get(self, data_type: str) -> Column:
+        return F.try_variant_get(F.col(self.variant), f"$.{self.name}", data_type)
 
     def _is_string(self) -> Column:
-        return F.schema_of_variant(self.node) == "STRING"
+        return self.schema == "STRING"
 
     def _is_number(self) -> Column:
-        return F.schema_of_variant(self.node).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+        return self.schema.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
 
     def as_string(self) -> Column:
         """Strings sanitised, nested values as compact JSON, numbers as written."""
@@ -78,7 +92,7 @@ class JsonField:
 
     def as_json(self) -> Column:
         """Compact JSON text of any value; strings keep their quotes."""
-        quoted = F.when(self._is_string(), F.to_json(self.node)).otherwise(self.raw)
+        quoted = F.when(self._is_string(), F.to_json(self._get("variant"))).otherwise(self.raw)
         return sanitize_json(quoted)
 
     def as_raw_price(self) -> Column:
@@ -91,15 +105,14 @@ class JsonField:
         )
 
     def as_integer(self) -> Column:
-        schema = F.schema_of_variant(self.node)
         return (
-            F.when(schema == "BIGINT", self._get("bigint"))
+            F.when(self.schema == "BIGINT", self._get("bigint"))
             .when(self._is_number(), whole_or_null(self._get("double")))
             .when(self._is_string(), text_to_integer(self._get("string")))
         )
 
     def as_boolean(self) -> Column:
-        return F.when(F.schema_of_variant(self.node) == "BOOLEAN", self._get("boolean"))
+        return F.when(self.schema == "BOOLEAN", self._get("boolean"))
 
     def as_text(self) -> Column:
         """Strings only, unchanged; null for every other kind."""
@@ -108,7 +121,3 @@ class JsonField:
     def number_text(self) -> Column:
         """Numbers and strings as text, for the lenient parsers."""
         return F.when(self._is_string() | self._is_number(), self.raw)
-
-    def present(self) -> Column:
-        """True when the field occurs, even with the value null."""
-        return self.node.isNotNull()
