@@ -112,34 +112,45 @@ def review_profile(objects: DataFrame, metadata_parents: DataFrame) -> DataFrame
     time, votes = F.col("time"), F.col("votes")
     raw = F.when(time.isNotNull(), F.coalesce(F.col("time_raw"), F.unix_micros(time) / F.lit(1e6)))
     good_votes = votes.isNotNull() & (votes >= 0)
-    keyed = F.coalesce(F.col("parent") != "", F.lit(False))
-    counted = facts.agg(
-        F.count(F.lit(1)).alias("valid_object_count"),
-        _rows(F.col("text_kind").isNull()).alias("missing_review_text_count"),
-        _rows(F.col("text_kind") == "null").alias("null_review_text_count"),
-        _rows(F.col("text") == "").alias("blank_review_text_count"),
-        _rows(F.col("rating").isNull()).alias("invalid_rating_count"),
-        _rows((F.col("rating") < 1) | (F.col("rating") > 5)).alias("rating_outside_1_to_5_count"),
-        *[_rows(label == name).alias(f"weak_{name}_count") for name in ("negative", "neutral", "positive")],
-        F.count(time).alias("timestamp_valid_count"),
-        _rows(time.isNull()).alias("timestamp_invalid_or_missing_count"),
-        F.min(raw).alias("timestamp_minimum_raw"), F.max(raw).alias("timestamp_maximum_raw"),
-        F.min(time).alias("timestamp_minimum_utc"), F.max(time).alias("timestamp_maximum_utc"),
-        _rows(good_votes).alias("helpful_vote_valid_count"),
-        _rows(~F.coalesce(good_votes, F.lit(False))).alias("helpful_vote_invalid_or_missing_count"),
-        F.min(F.when(good_votes, votes)).alias("helpful_vote_minimum"),
-        F.max(F.when(good_votes, votes)).alias("helpful_vote_maximum"),
-        F.avg(F.when(good_votes, votes)).alias("helpful_vote_mean"),
-        _rows(good_votes & (votes == 0)).alias("helpful_vote_zero_count"),
-        _rows(keyed).alias("reviews_with_parent_asin"),
-        _rows(~keyed).alias("missing_or_blank_parent_asin_rows"),
+    counts = {
+        "valid_object_count": F.lit(True),
+        "missing_review_text_count": F.col("text_kind").isNull(),
+        "null_review_text_count": F.col("text_kind") == "null",
+        "blank_review_text_count": F.col("text") == "",
+        "invalid_rating_count": F.col("rating").isNull(),
+        "rating_outside_1_to_5_count": (F.col("rating") < 1) | (F.col("rating") > 5),
+        **{f"weak_{name}_count": label == name for name in ("negative", "neutral", "positive")},
+        "timestamp_valid_count": time.isNotNull(),
+        "timestamp_invalid_or_missing_count": time.isNull(),
+        "helpful_vote_valid_count": good_votes,
+        "helpful_vote_invalid_or_missing_count": ~F.coalesce(good_votes, F.lit(False)),
+        "helpful_vote_zero_count": good_votes & (votes == 0),
+    }
+    lows = {"timestamp_minimum_raw": raw, "timestamp_minimum_utc": time, "helpful_vote_minimum": F.when(good_votes, votes)}
+    highs = {"timestamp_maximum_raw": raw, "timestamp_maximum_utc": time, "helpful_vote_maximum": F.when(good_votes, votes)}
+    # Everything is first measured per product, which is also what the metadata
+    # keys are joined to: the lines are parsed once and one row per product is joined.
+    per_product = facts.groupBy(F.nullif("parent", F.lit("")).alias("parent")).agg(
+        *[_rows(condition).alias(name) for name, condition in counts.items()],
+        *[F.min(value).alias(name) for name, value in lows.items()],
+        *[F.max(value).alias(name) for name, value in highs.items()],
+        F.sum(F.when(good_votes, votes)).alias("votes"),
+    )
+    joined = per_product.join(metadata_parents.withColumn("hit", F.lit(True)), "parent", "left")
+    n = F.col("valid_object_count")
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    row = joined.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts],
+        *[F.min(name).alias(name) for name in lows],
+        *[F.max(name).alias(name) for name in highs],
+        (F.sum("votes") / F.nullif(F.sum("helpful_vote_valid_count"), F.lit(0))).alias("helpful_vote_mean"),
+        total(F.col("parent").isNotNull()).alias("reviews_with_parent_asin"),
+        total(F.col("parent").isNull()).alias("missing_or_blank_parent_asin_rows"),
+        total(F.col("hit").isNotNull()).alias("matched_parent_asin_rows"),
     )
-    # Reviews are counted per product before they meet the metadata keys.
-    per_product = facts.filter(keyed).groupBy("parent").agg(F.count(F.lit(1)).alias("n"))
-    matched = per_product.join(metadata_parents, "parent", "left_semi").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("matched_parent_asin_rows"))
-    merged = counted.unionByName(matched, allowMissingColumns=True)
-    row = merged.agg(*[F.max(c).alias(c) for c in merged.columns])
     return row.withColumns({
         "unmatched_parent_asin_rows": F.col("reviews_with_parent_asin") - F.col("matched_parent_asin_rows"),
         "sample_parent_asin_join_rate": numbers.safe_rate("matched_parent_asin_rows", "reviews_with_parent_asin"),
