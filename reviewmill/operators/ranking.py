@@ -40,22 +40,28 @@ def review_samples(view: DataFrame, n: int = SAMPLES_PER_LABEL, characters: int
 
 
 def distributed_rank(table: DataFrame, group: str, key: str, seed: int, rank: str = "rank",
-                     slices: int = 1024) -> DataFrame:
+                     total: str | None = None, slices: int = 65_536) -> DataFrame:
     """Exact 1-based rank inside each group in the order of a seeded hash.
 
     The hash space is cut into ``slices``; a row's rank is the number of rows in
-    the lower slices plus its place in its own slice. Only the slice counts, at
-    most ``slices`` rows per group value, are joined back.
+    the lower slices plus its place in its own slice, so a group of any size is
+    shared by all tasks. Only the slice counts, at most ``slices`` rows per
+    group value, are ordered and joined back. ``total`` names a column for the
+    size of the group.
     """
     hashed = table.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))).withColumn("_slice", _slice(slices))
     counts = hashed.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    whole = Window.partitionBy(group)
+    before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_size")
+    )
     place = F.row_number().over(Window.partitionBy(group, "_slice").orderBy("_h", key))
-    placed = hashed.withColumn("_place", place)
-    return placed.join(offsets, [group, "_slice"]).withColumn(
-        rank, (F.col("_before") + F.col("_place")).cast("bigint")
-    ).drop("_h", "_slice", "_place", "_before")
+    joined = hashed.withColumn("_place", place).join(offsets, [group, "_slice"])
+    ranked = joined.withColumn(rank, (F.col("_before") + F.col("_place")).cast("bigint"))
+    if total is not None:
+        ranked = ranked.withColumn(total, F.col("_size"))
+    return ranked.drop("_h", "_slice", "_place", "_before", "_size")
 
 
 def _slice(slices: int) -> Column:
