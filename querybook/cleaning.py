@@ -263,7 +263,7 @@ def _left_meta(spark, sf):
 
 @query("import_inner_join", f"SELECT review_key, pred_label, pred_score, negative_score, neutral_score, positive_score, model_version, 'm1_' || substring(sha256('{MODEL}'), 1, 12) AS model_version_partition FROM imported")
 def _import(spark, sf):
-    return pred.import_predictions(predictions(spark, sf), review_view(spark, sf), MODEL).select(
+    return pred.import_predictions(predictions(spark, sf), review_view(spark, sf, keyed=True), MODEL).select(
         "review_key", "pred_label", "pred_score", "negative_score", "neutral_score", "positive_score", "model_version", "model_version_partition")
 
 
@@ -272,30 +272,30 @@ def _import(spark, sf):
   strftime(p.inferred_at, {_FORMAT}) AS inferred_at, d.load_batch_id
   FROM review_view d JOIN imported p ON d.review_key = p.review_key AND d.load_batch_id = p.load_batch_id""")
 def _view(spark, sf):
-    reviews = review_view(spark, sf)
+    reviews = review_view(spark, sf, keyed=True)
     imported = pred.import_predictions(predictions(spark, sf), reviews, MODEL)
     return normalise(pred.sentiment_view(reviews.drop("pred_label", "pred_score", "model_version", "inferred_at"), imported))
 
 
 @query("unknown_keys", "SELECT p.review_key, p.pred_label FROM predictions p LEFT JOIN review_view d ON p.review_key = d.review_key WHERE d.review_key IS NULL")
 def _unknown(spark, sf):
-    return joins.unknown_keys(predictions(spark, sf), review_view(spark, sf)).select("review_key", "pred_label")
+    return joins.unknown_keys(predictions(spark, sf), review_view(spark, sf, keyed=True)).select("review_key", "pred_label")
 
 
 @query("missing_keys", "SELECT d.review_key FROM review_view d LEFT JOIN predictions p ON p.review_key = d.review_key WHERE p.review_key IS NULL")
 def _missing_keys(spark, sf):
-    return joins.missing_keys(review_view(spark, sf), predictions(spark, sf)).select("review_key")
+    return joins.missing_keys(review_view(spark, sf, keyed=True), predictions(spark, sf)).select("review_key")
 
 
 @query("matched_keys", "SELECT COUNT(DISTINCT p.review_key) AS matched_key_count FROM predictions p JOIN review_view d ON p.review_key = d.review_key")
 def _matched_keys(spark, sf):
-    return joins.matched_keys(predictions(spark, sf), review_view(spark, sf)).agg(F.count(F.lit(1)).alias("matched_key_count"))
+    return joins.matched_keys(predictions(spark, sf), review_view(spark, sf, keyed=True)).agg(F.count(F.lit(1)).alias("matched_key_count"))
 
 
 @query("coverage", """SELECT CAST(COUNT(p.review_key) AS DOUBLE) / COUNT(d.review_key) AS prediction_coverage
   FROM review_view d LEFT JOIN predictions p ON p.review_key = d.review_key""")
 def _coverage(spark, sf):
-    return joins.coverage(review_view(spark, sf), predictions(spark, sf))
+    return joins.coverage(review_view(spark, sf, keyed=True), predictions(spark, sf))
 
 
 _MATCH = "SELECT {0} FROM raw_reviews r LEFT JOIN raw_metadata m ON r.parent_asin = m.parent_asin"
@@ -383,7 +383,7 @@ def _duplicate_flag(spark, sf):
 @query("export_ordering", "SELECT review_key, to_base64(encode(review_key)) AS export_key FROM clean_table ORDER BY export_key")
 def _export_order(spark, sf):
     ordered = clean.in_key_order(clean_table(spark, sf).select("review_key"))
-    return ordered.withColumn("export_key", F.base64(F.encode("review_key", "UTF-8")))
+    return ordered.withColumn("export_key", text.base64_text("review_key"))
 
 
 @query("spot_check", """SELECT substring(review_key, 1, 12) AS review_key_prefix, asin, parent_asin, rating, rating_label, dt, metadata_matched,

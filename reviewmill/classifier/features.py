@@ -68,7 +68,11 @@ class FeatureModel:
     weights: DenseVector
 
     def transform(self, table: DataFrame, text: str, output: str = "features") -> DataFrame:
-        counted = self.counter.transform(with_terms(table, text))
+        return self.transform_terms(with_terms(table, text), output)
+
+    def transform_terms(self, table: DataFrame, output: str = "features") -> DataFrame:
+        """As :meth:`transform` for a table that already has ``terms``."""
+        counted = self.counter.transform(table)
         scaled = counted.withColumn("_tf", _sublinear("_counts"))
         weighted = ElementwiseProduct(scalingVec=self.weights, inputCol="_tf", outputCol="_weighted").transform(scaled)
         return Normalizer(p=2.0, inputCol="_weighted", outputCol=output).transform(weighted).drop(
@@ -89,7 +93,11 @@ class FeatureModel:
 
 def fit_features(table: DataFrame, text: str, settings: FeatureSettings = FeatureSettings()) -> FeatureModel:
     """Learn the vocabulary and the smoothed inverse document frequencies."""
-    terms = with_terms(table.select(text), text)
+    return learn_from_terms(with_terms(table.select(text), text).select("terms"), settings)
+
+
+def learn_from_terms(terms: DataFrame, settings: FeatureSettings = FeatureSettings()) -> FeatureModel:
+    """Two passes over the terms: counting the vocabulary, then the documents of each term."""
     counter = CountVectorizer(
         inputCol="terms", outputCol="_counts", vocabSize=settings.max_terms,
         minDF=settings.min_documents, maxDF=settings.max_document_share,

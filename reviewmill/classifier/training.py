@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from reviewmill.classifier.features import FeatureModel, FeatureSettings, fit_features
+from reviewmill.classifier.features import FeatureModel, FeatureSettings, learn_from_terms, with_terms
 from reviewmill.classifier.metrics import classification_metrics
 from reviewmill.classifier.split import TEST, TRAIN, VALIDATION, stratified_folds, stratified_split
 from reviewmill.schemas import LABELS
@@ -88,8 +88,9 @@ def fit(train: DataFrame, c: float = 0.5, text: str = "review_text_clean", label
 def _fit_each(train: DataFrame, grid: tuple[float, ...], text: str, label: str, max_iterations: int,
               settings: FeatureSettings) -> list[SentimentModel]:
     """One model per C over the same features, which are computed and kept once."""
-    features = fit_features(train, text, settings)
-    ready = with_balanced_weights(features.transform(train.select(text, label), text), label).select(
+    terms = with_terms(train.select(text, label), text).select("terms", label).persist(StorageLevel.MEMORY_AND_DISK)
+    features = learn_from_terms(terms, settings)
+    ready = with_balanced_weights(features.transform_terms(terms), label).select(
         "features", "weight", label_number(label).alias("label")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -103,6 +104,7 @@ def _fit_each(train: DataFrame, grid: tuple[float, ...], text: str, label: str,
         ]
     finally:
         ready.unpersist()
+        terms.unpersist()
 
 
 @dataclass

@@ -62,6 +62,11 @@ def review_key(user_id="user_id", asin="asin", parent_asin="parent_asin",
     return F.sha2(F.concat(*joined), 256)
 
 
+def base64_text(c: Column | str) -> Column:
+    """Base64 of the UTF-8 bytes on one line, whatever line length the session chunks to."""
+    return F.translate(F.base64(F.encode(_col(c), "UTF-8")), "\r\n", "")
+
+
 def equals_ignore_case(c: Column | str, value: str) -> Column:
     return F.lower(_col(c)) == value.strip().lower()
 

@@ -144,27 +144,28 @@ def share_within(table: DataFrame, group: str, count: str, name: str) -> DataFra
     return table.withColumn(name, safe_rate(F.col(count), total))
 
 
-def _bucket(buckets: tuple[ConfidenceBucket, ...]) -> Column:
-    """Zero-based bucket number; the top bucket includes its upper bound."""
-    score, number = F.col("pred_score"), F.lit(None).cast("int")
-    last = len(buckets) - 1
-    for position, bucket in enumerate(buckets):
-        below = score <= bucket.high if position == last else score < bucket.high
-        number = F.when((score >= bucket.low) & below, F.lit(position)).otherwise(number)
-    return number
-
-
 def confidence_buckets(view: DataFrame, buckets: tuple[ConfidenceBucket, ...] = CONFIDENCE_BUCKETS) -> DataFrame:
-    """Label counts by score range; empty ranges are kept with zero rows."""
-    numbered = view.select(_bucket(buckets).alias("bucket"), "pred_label", "pred_score")
-    inside = numbered.filter(F.col("bucket").isNotNull())
-    counted = inside.groupBy("bucket").agg(*_measures(), _score())
-    bounds = counted.sparkSession.createDataFrame(
-        [(i, b.code, i + 1, b.low, b.high) for i, b in enumerate(buckets)],
-        "bucket int, bucket_code string, bucket_order int, minimum_score double, maximum_score double",
-    )
-    counts = ("review_count", "positive_count", "neutral_count", "negative_count")
-    return bounds.join(counted, "bucket", "left").drop("bucket").fillna(0, subset=list(counts))
+    """Label counts by score range, empty ranges included.
+
+    All ranges are measured in one pass, as one row that is then unfolded. The
+    last range includes its upper bound.
+    """
+    score, measures = F.col("pred_score"), []
+    for order, bucket in enumerate(buckets, 1):
+        below = score <= bucket.high if order == len(buckets) else score < bucket.high
+        inside = (score >= bucket.low) & below
+        measures += [F.count(F.when(inside, 1)).alias(f"n_{order}"), F.avg(F.when(inside, score)).alias(f"avg_{order}")]
+        measures += [F.count(F.when(inside & (F.col("pred_label") == label), 1)).alias(f"{label}_{order}") for label in LABELS]
+    return view.agg(*measures).select(F.inline(F.array(*[
+        F.struct(
+            F.lit(bucket.code).alias("bucket_code"), F.lit(order).alias("bucket_order"),
+            F.lit(bucket.low).alias("minimum_score"), F.lit(bucket.high).alias("maximum_score"),
+            F.col(f"n_{order}").alias("review_count"),
+            *[F.col(f"{label}_{order}").alias(f"{label}_count") for label in reversed(LABELS)],
+            F.col(f"avg_{order}").alias("average_prediction_score"),
+        )
+        for order, bucket in enumerate(buckets, 1)
+    ])))
 
 
 def distinct_products(table: DataFrame, key: str = "parent_asin") -> DataFrame:

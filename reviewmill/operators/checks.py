@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.labels import is_label
+from reviewmill.functions.numbers import safe_rate
 from reviewmill.functions.text import is_blank, looks_like_smoke_model, review_key
 from reviewmill.operators import aggregates as agg
 from reviewmill.operators.clean import eligible, for_batch, with_text
-from reviewmill.operators.joins import coverage, metadata_match, missing_keys, unknown_keys
+from reviewmill.operators.joins import by_merge, metadata_match, unknown_keys
 from reviewmill.operators.predictions import codes, in_unit, is_valid, null_or_in_unit
 from reviewmill.schemas import HANDOFF_FIELDS, HANDOFF_FORBIDDEN, PREDICTION_OPTIONAL
 
@@ -285,35 +286,46 @@ def check_import(staged: DataFrame, imported: DataFrame, reviews: DataFrame, vie
     """(name, value) rows about staged and imported predictions of one model."""
     staged, imported, reviews = (for_batch(t, batch) for t in (staged, imported, reviews))
     optional = reduce(Column.__or__, [~null_or_in_unit(c) for c in PREDICTION_OPTIONAL])
-    staging = staged.agg(
-        F.count(F.lit(1)).alias("staging_row_count"),
-        rows_where(is_valid(model)).alias("valid_staging_row_count"),
-        rows_where(~is_label("pred_label")).alias("invalid_label_count"),
-        rows_where(~in_unit("pred_score") | optional).alias("invalid_score_count"),
-        rows_where(is_blank("model_version")).alias("blank_model_version_count"),
-        rows_where(F.col("inferred_at").isNull()).alias("invalid_inferred_timestamp_count"),
-    )
     of_model = F.col("model_version") == model
-    ours = imported.filter(of_model)
-    production = ours.agg(
-        F.count(F.lit(1)).alias("production_sentiment_row_count"),
-        rows_where(~is_label("pred_label") | ~in_unit("pred_score") | F.col("inferred_at").isNull()).alias("invalid_production_row_count"),
+    pair = ("review_key", "model_version")
+
+    def totals(pairs: DataFrame, **renamed: str) -> DataFrame:
+        """Sums over the pairs, and the pairs with more than one row."""
+        repeated = F.count(F.when(F.col("rows") > 1, 1))
+        return pairs.agg(*[
+            (repeated if c == "repeated" else F.coalesce(F.sum(c), F.lit(0))).alias(name) for name, c in renamed.items()
+        ])
+
+    # Rows are counted per (key, model) first: sums, repeated pairs and the joins
+    # below all start from one row per pair.
+    staged_pairs = staged.groupBy(*pair).agg(
+        F.count(F.lit(1)).alias("rows"),
+        rows_where(is_valid(model)).alias("valid"),
+        rows_where(~is_label("pred_label")).alias("label"),
+        rows_where(~in_unit("pred_score") | optional).alias("score"),
+        rows_where(is_blank("model_version")).alias("version"),
+        rows_where(F.col("inferred_at").isNull()).alias("time"),
+    )
+    staging = totals(
+        staged_pairs, staging_row_count="rows", valid_staging_row_count="valid", invalid_label_count="label",
+        invalid_score_count="score", blank_model_version_count="version", invalid_inferred_timestamp_count="time",
+        duplicate_staging_prediction_key_groups="repeated",
+    )
+    unknown = unknown_keys(staged_pairs.filter(of_model), reviews).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("unknown_review_key_count"))
+    bad = ~is_label("pred_label") | ~in_unit("pred_score") | F.col("inferred_at").isNull()
+    pairs = imported.filter(of_model).groupBy(*pair).agg(F.count(F.lit(1)).alias("rows"), rows_where(bad).alias("bad"))
+    production = totals(
+        pairs, production_sentiment_row_count="rows", invalid_production_row_count="bad",
+        duplicate_production_prediction_key_groups="repeated",
     )
+    covered = reviews.select("review_key").join(by_merge(pairs.select("review_key", "rows")), "review_key", "left").agg(
+        rows_where(F.col("rows").isNull()).alias("missing_review_key_count"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("covered"),
+        F.coalesce(F.sum(F.coalesce("rows", F.lit(1))), F.lit(0)).alias("total"),
+    ).select("missing_review_key_count", safe_rate("covered", "total").alias("prediction_coverage"))
     joined = agg.scope(view, batch, model).agg(F.count(F.lit(1)).alias("joined_view_row_count"))
-
-    def renamed(frame: DataFrame, name: str) -> DataFrame:
-        return frame.toDF(name)
-
-    pair = ("review_key", "model_version")
-    parts = [
-        staging, production, joined,
-        renamed(agg.duplicate_groups(staged, *pair), "duplicate_staging_prediction_key_groups"),
-        renamed(agg.duplicate_groups(ours, *pair), "duplicate_production_prediction_key_groups"),
-        unknown_keys(staged.filter(of_model), reviews).agg(F.count(F.lit(1)).alias("unknown_review_key_count")),
-        missing_keys(reviews, ours).agg(F.count(F.lit(1)).alias("missing_review_key_count")),
-        coverage(reviews, ours),
-    ]
-    return together(*map(as_rows, parts))
+    return together(*map(as_rows, (staging, unknown, production, covered, joined)))
 
 
 def reconcile_import(import_checks: DataFrame) -> DataFrame:

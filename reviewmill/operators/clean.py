@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import times
 from reviewmill.functions.labels import is_label, weak_label
-from reviewmill.functions.text import clean_text, is_blank, review_key, text_length
+from reviewmill.functions.once import computed_once
+from reviewmill.functions.text import base64_text, clean_text, is_blank, review_key, text_length
 from reviewmill.operators.joins import first_per_key, lookup_join
 from reviewmill.schemas import CLEAN_REVIEW_COLUMNS, HANDOFF_FIELDS, LABEL_SOURCE
 
@@ -73,7 +74,8 @@ def with_derived_columns(reviews: DataFrame) -> DataFrame:
 def clean_reviews(reviews: DataFrame, metadata: DataFrame, batch: str, hot: DataFrame | None = None,
                   metadata_order: list[Column] | None = None) -> DataFrame:
     """The cleaned review table of one batch."""
-    keyed = with_text(for_batch(reviews, batch)).withColumn("review_key", review_key())
+    # The key hashes the whole text: once per review, whatever is filtered later.
+    keyed = computed_once(with_text(for_batch(reviews, batch)), "review_key", review_key())
     lookup = unique_metadata(for_batch(metadata, batch), metadata_order)
     enriched = enrich(dedupe(keyed), lookup, hot)
     return with_derived_columns(enriched).select(*CLEAN_REVIEW_COLUMNS)
@@ -91,7 +93,7 @@ def handoff(reviews: DataFrame) -> DataFrame:
 
 def in_key_order(table: DataFrame, key: str = "review_key") -> DataFrame:
     """Global order by the Base64 text of the key, which is not the order of the key itself."""
-    return table.orderBy(F.base64(F.encode(key, "UTF-8")))
+    return table.orderBy(base64_text(key))
 
 
 def previews(reviews: DataFrame, key_characters: int = 12) -> DataFrame:

@@ -43,6 +43,12 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     return parted.join(repeated, [key, "_part"], how).drop("_part")
 
 
+def by_merge(table: DataFrame) -> DataFrame:
+    """Ask for a sort-merge join. For sides that grow with the reviews: the size
+    estimate of a compressed file must never make one of them a broadcast."""
+    return table.hint("merge")
+
+
 def first_per_key(table: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
     """First row of each key. Copies are reduced before the shuffle, so a key
     held by a third of the rows costs no more than any other."""
@@ -65,17 +71,17 @@ def missing_parents(reviews: DataFrame, metadata: DataFrame, key: str = "parent_
 
 def unknown_keys(predictions: DataFrame, reviews: DataFrame, key: str = "review_key") -> DataFrame:
     """Prediction rows whose key no review has."""
-    return predictions.join(reviews.select(key), key, "left_anti")
+    return predictions.join(by_merge(reviews.select(key)), key, "left_anti")
 
 
 def missing_keys(reviews: DataFrame, predictions: DataFrame, key: str = "review_key") -> DataFrame:
     """Review rows without a prediction."""
-    return reviews.join(predictions.select(key), key, "left_anti")
+    return reviews.join(by_merge(predictions.select(key)), key, "left_anti")
 
 
 def matched_keys(predictions: DataFrame, reviews: DataFrame, key: str = "review_key") -> DataFrame:
     """Distinct predicted keys that reviews have."""
-    return predictions.select(key).distinct().join(reviews.select(key), key, "left_semi")
+    return predictions.select(key).distinct().join(by_merge(reviews.select(key)), key, "left_semi")
 
 
 def coverage(reviews: DataFrame, predictions: DataFrame, key: str = "review_key") -> DataFrame:
@@ -85,7 +91,7 @@ def coverage(reviews: DataFrame, predictions: DataFrame, key: str = "review_key"
     predictions are counted per key before they are joined.
     """
     counted = predictions.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    joined = reviews.filter(F.col(key).isNotNull()).select(key).join(counted, key, "left")
+    joined = reviews.filter(F.col(key).isNotNull()).select(key).join(by_merge(counted), key, "left")
     covered = F.coalesce(F.sum("_n"), F.lit(0))
     total = F.coalesce(F.sum(F.coalesce("_n", F.lit(1))), F.lit(0))
     return joined.agg(covered.alias("covered"), total.alias("total")).select(

@@ -11,6 +11,7 @@ from reviewmill.functions.labels import is_label
 from reviewmill.functions.numbers import safe_rate
 from reviewmill.functions.text import is_blank, model_partition
 from reviewmill.operators.aggregates import count_where
+from reviewmill.operators.joins import by_merge
 from reviewmill.schemas import (
     LABELS,
     MODEL_VERSION_PATTERN,
@@ -48,17 +49,18 @@ def valid_predictions(staged: DataFrame, model: str) -> DataFrame:
 def import_predictions(staged: DataFrame, reviews: DataFrame, model: str) -> DataFrame:
     """Valid predictions of known reviews, stamped with the import time and the partition name."""
     known = reviews.select("review_key", "load_batch_id")
-    kept = valid_predictions(staged, model).join(known, ["review_key", "load_batch_id"], "inner")
+    kept = valid_predictions(staged, model).join(by_merge(known), ["review_key", "load_batch_id"], "inner")
     return kept.withColumns({
         "imported_at": F.current_timestamp(),
-        "model_version_partition": model_partition("model_version"),
+        # Valid rows carry this model version only.
+        "model_version_partition": model_partition(F.lit(model)),
     })
 
 
 def sentiment_view(reviews: DataFrame, predictions: DataFrame) -> DataFrame:
     """Reviews with their predictions: one row per review and model version."""
     scored = predictions.select("review_key", "load_batch_id", "pred_label", "pred_score", "model_version", "inferred_at")
-    return reviews.join(scored, ["review_key", "load_batch_id"], "inner").select(*SENTIMENT_VIEW_COLUMNS)
+    return reviews.join(by_merge(scored), ["review_key", "load_batch_id"], "inner").select(*SENTIMENT_VIEW_COLUMNS)
 
 
 def flag_duplicates(predictions: DataFrame, order: list[Column]) -> DataFrame:
@@ -73,7 +75,7 @@ def flag_duplicates(predictions: DataFrame, order: list[Column]) -> DataFrame:
     placed = predictions.withColumn("_at", position)
     first = placed.groupBy(*pair).agg(F.min("_at").alias("_first"))
     marked = placed.alias("p").join(
-        first.alias("f"),
+        by_merge(first.alias("f")),
         F.col("p.review_key").eqNullSafe(F.col("f.review_key"))
         & F.col("p.model_version").eqNullSafe(F.col("f.model_version")),
     )
@@ -159,37 +161,37 @@ def validate_predictions(checked: DataFrame, known: DataFrame, batch: str, model
     if not 0 <= minimum_coverage <= 1:
         raise ValueError("minimum coverage must lie between 0 and 1")
     clean = F.size("errors") == 0
-    counts = checked.agg(
-        F.count(F.lit(1)).alias("physical_line_count"),
-        *[F.coalesce(count_where(F.array_contains("errors", c)), F.lit(0)).alias(f"{c}_count")
-          for c in (*LINE_CODES, *RECORD_CODES)],
-        F.coalesce(count_where(clean), F.lit(0)).alias("clean_count"),
+    line_counts = [f"{c}_count" for c in (*LINE_CODES, *RECORD_CODES)]
+    # One pass over the lines. Clean rows are folded to one row per key, whose
+    # first row is the prediction and whose other rows are duplicates (clean rows
+    # carry the expected model only). All other lines fold into the null key.
+    per_key = checked.groupBy(F.when(clean, F.col("review_key")).alias("review_key")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count(F.when(clean, 1)).alias("clean_rows"),
+        *[F.count(F.when(F.array_contains("errors", c), 1)).alias(f"{c}_count") for c in (*LINE_CODES, *RECORD_CODES)],
+        F.min_by(F.when(clean, F.struct("pred_label", "pred_score")), "line_no").alias("first"),
     )
-    # The first clean row of a key is the prediction, the others are duplicates.
-    # Clean rows carry the expected model only, so the key alone tells them apart.
-    kept = checked.filter(clean).groupBy("review_key", "model_version").agg(
-        F.min_by(F.struct("pred_label", "pred_score"), "line_no").alias("first")
-    ).select("review_key", "model_version", "first.pred_label", "first.pred_score")
     keys = known.select("review_key").distinct().withColumn("in_reviews", F.lit(1))
-    matched = kept.join(keys, "review_key", "full")
-    is_kept, is_known = F.col("model_version").isNotNull(), F.col("in_reviews").isNotNull()
-    folded = matched.agg(
+    joined = per_key.join(by_merge(keys), "review_key", "full")
+    is_kept, is_known = F.coalesce(F.col("clean_rows"), F.lit(0)) > 0, F.col("in_reviews").isNotNull()
+    score = F.when(is_kept, F.col("first.pred_score"))
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).alias(c)
+
+    row = joined.agg(
+        total("lines"), total("clean_rows"), *[total(c) for c in line_counts],
         F.count(F.when(is_kept, 1)).alias("valid_prediction_row_count"),
         F.count(F.when(is_kept, 1)).alias("unique_review_key_count"),
         F.count(F.when(is_kept & is_known, 1)).alias("matched_key_count"),
         F.count(F.when(is_known, 1)).alias("dwd_key_count"),
         F.count(F.when(is_kept & ~is_known, 1)).alias("unknown_key_count"),
-        F.count(F.when(~is_kept, 1)).alias("missing_key_count"),
-        *[F.count(F.when(F.col("pred_label") == label, 1)).alias(f"{label}_count") for label in LABELS],
-        F.min("pred_score").alias("score_minimum"),
-        F.max("pred_score").alias("score_maximum"),
-        F.avg("pred_score").alias("score_mean"),
-    )
-    # Two one-row frames meet in one aggregate instead of a join.
-    merged = counts.unionByName(folded, allowMissingColumns=True)
-    row = merged.agg(*[F.max(c).alias(c) for c in merged.columns])
+        F.count(F.when(~is_kept & is_known, 1)).alias("missing_key_count"),
+        *[F.count(F.when(is_kept & (F.col("first.pred_label") == label), 1)).alias(f"{label}_count") for label in LABELS],
+        F.min(score).alias("score_minimum"), F.max(score).alias("score_maximum"), F.avg(score).alias("score_mean"),
+    ).withColumnRenamed("lines", "physical_line_count")
     row = row.withColumns({
-        "duplicate_count": F.col("clean_count") - F.col("valid_prediction_row_count"),
+        "duplicate_count": F.col("clean_rows") - F.col("valid_prediction_row_count"),
         "prediction_row_count": F.col("physical_line_count") - F.col("blank_line_count"),
         "coverage_rate": safe_rate("matched_key_count", "dwd_key_count"),
     })
@@ -205,7 +207,7 @@ def validate_predictions(checked: DataFrame, known: DataFrame, batch: str, model
         "partial_file_not_allowed": (F.col("missing_key_count") > 0) & F.lit(not allow_partial),
         "no_review_keys": F.col("dwd_key_count") == 0,
     })
-    return row.drop("clean_count").withColumns({
+    return row.drop("clean_rows").withColumns({
         "failure_reasons": F.concat_ws(",", F.array_sort(failures)),
         "validation_status": F.when(F.size(failures) == 0, F.lit("PASS")).otherwise(F.lit("FAIL")),
         "batch_id": F.lit(batch),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions import labels, numbers, times
+from reviewmill.functions.once import literal_rows
 from reviewmill.functions.text import strip
 from reviewmill.functions.variants import JsonField, kind_of, open_fields
 from reviewmill.schemas import FIELD_MEANINGS, UNKNOWN_MEANING
@@ -58,9 +59,8 @@ def proposed_type(kinds: Column) -> Column:
 def data_dictionary(objects: DataFrame, expected: tuple[str, ...], dataset: str) -> DataFrame:
     """One row per observed or expected field: presence, kinds, nullability, type and status."""
     profile = field_profile(objects)
-    spark = objects.sparkSession
-    wanted = spark.createDataFrame([(f, True) for f in expected], "field string, expected boolean")
-    meanings = spark.createDataFrame(list(FIELD_MEANINGS.items()), "field string, meaning string")
+    wanted = literal_rows(objects, field=expected, expected=(True,) * len(expected))
+    meanings = literal_rows(objects, field=tuple(FIELD_MEANINGS), meaning=tuple(FIELD_MEANINGS.values()))
     total = objects.agg(F.count(F.lit(1)).alias("total"))
     # The object count travels as one more row and is spread by a window over the few fields.
     joined = profile.join(wanted, "field", "full").join(meanings, "field", "left")

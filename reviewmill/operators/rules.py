@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions.numbers import safe_rate
+from reviewmill.functions.once import literal_rows
 from reviewmill.operators.aggregates import label_counts, with_rates
 from reviewmill.settings import ASPECT_RULES, REASON_RULES, RuleSet
 
@@ -24,9 +25,9 @@ def matched_codes(text: Column, rules: RuleSet) -> Column:
 
 
 def _rule_table(counted: DataFrame, rules: RuleSet, prefix: str) -> DataFrame:
-    names = counted.sparkSession.createDataFrame(
-        [(rule.code, rule.name) for rule in rules.rules], f"{prefix}_code string, {prefix}_name string"
-    )
+    names = literal_rows(counted, **{
+        f"{prefix}_code": rules.codes, f"{prefix}_name": tuple(rule.name for rule in rules.rules),
+    })
     return names.join(counted, f"{prefix}_code", "left").withColumns({
         "extraction_method": F.lit(rules.method),
         "rule_version": F.lit(rules.version),
