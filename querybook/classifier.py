@@ -36,11 +36,28 @@ def _folds(spark, sf):
     return folded.groupBy("rating_label", "fold").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@query("tfidf_features")
+# With this many documents per term the vocabulary is decided by the limits
+# alone, not by which of two equally frequent terms comes 50,000th.
+_FREQUENT = FeatureSettings(min_documents=20.0, max_terms=1_000_000)
+common_table("words", r"""SELECT review_key, regexp_extract_all(strip_accents(lower(review_text_clean)), '[\p{L}\p{N}_]{2,}') AS w FROM text_view""")
+common_table("term_counts", """SELECT review_key, term, COUNT(*) AS tf FROM (SELECT review_key,
+  unnest(list_concat(w, [w[i] || ' ' || w[i + 1] for i in range(1, len(w))])) AS term FROM words) t GROUP BY ALL""")
+common_table("term_weights", """SELECT term, ln((SELECT COUNT(*) + 1 FROM text_view) / (COUNT(*) + 1)::DOUBLE) + 1 AS idf FROM term_counts
+  GROUP BY term HAVING COUNT(*) >= 20 AND COUNT(*) <= 0.98 * (SELECT COUNT(*) FROM text_view)""")
+
+
+@query("tfidf_features", """SELECT v.review_key, COUNT(x) AS feature_count, round(COALESCE(MAX(x) / sqrt(SUM(x * x)), 0), 9) AS largest,
+  round(COALESCE(SUM(x) / sqrt(SUM(x * x)), 0), 6) AS total FROM text_view v
+  LEFT JOIN (SELECT review_key, (1 + ln(tf)) * idf AS x FROM term_counts JOIN term_weights USING (term)) f ON f.review_key = v.review_key GROUP BY v.review_key""")
 def _features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
     table = _labelled(spark, sf)
-    model = fit_features(table, "review_text_clean", _SETTINGS)
-    return model.transform(table, "review_text_clean").select("review_key", F.col("features").cast("string").alias("features"))
+    model = fit_features(table, "review_text_clean", _FREQUENT)
+    made = model.transform(table, "review_text_clean").select("review_key", vector_to_array("features").alias("x"))
+    return made.select(
+        "review_key", F.size(F.filter("x", lambda v: v > 0)).alias("feature_count"), F.round(F.array_max("x"), 9).alias("largest"),
+        F.round(F.aggregate("x", F.lit(0.0), lambda total, v: total + v), 6).alias("total"))
 
 
 def _model(spark, sf):

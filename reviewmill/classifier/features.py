@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _WORD = r"(?U)(\w\w+)"
+# From 1.0 on the vectoriser takes its upper limit for a number of documents.
+_NO_LIMIT = float(2**63 - 1)
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,8 @@ def with_terms(table: DataFrame, text: str) -> DataFrame:
 def _sublinear(counts: pd.DataFrame) -> pd.DataFrame:
     """1 + ln(count) for the stored entries of sparse vectors, a whole Arrow batch at a time."""
     values = counts["values"]
+    if values.empty:
+        return counts
     ends = np.cumsum(values.map(len).to_numpy())
     scaled = 1.0 + np.log(np.concatenate([np.asarray(v, dtype=float) for v in values]))
     counts["values"] = np.split(scaled, ends[:-1])
@@ -98,9 +102,10 @@ def fit_features(table: DataFrame, text: str, settings: FeatureSettings = Featur
 
 def learn_from_terms(terms: DataFrame, settings: FeatureSettings = FeatureSettings()) -> FeatureModel:
     """Two passes over the terms: counting the vocabulary, then the documents of each term."""
+    share = settings.max_document_share
     counter = CountVectorizer(
         inputCol="terms", outputCol="_counts", vocabSize=settings.max_terms,
-        minDF=settings.min_documents, maxDF=settings.max_document_share,
+        minDF=settings.min_documents, maxDF=share if share < 1.0 else _NO_LIMIT,
     ).fit(terms)
     frequencies = IDF(inputCol="_counts", outputCol="_idf").fit(counter.transform(terms).select("_counts"))
     return FeatureModel(counter, DenseVector(frequencies.idf.toArray() + 1.0))
