@@ -11,6 +11,10 @@ from reviewmill.schemas import KEY_SEPARATOR, MODEL_VERSION_PATTERN
 from reviewmill.settings import UNKNOWN_NAME
 
 _EDGE_SPACE = r"(?U)^\s+|\s+$"
+_NOT_SPACE = r"(?U)\S"
+# Runs of whitespace, and single whitespace other than a blank, which would only
+# be replaced by itself.
+_WIDE_SPACE = r"\s{2,}|[\t\n\x0B\f\r]"
 
 
 def _col(c: Column | str) -> Column:
@@ -29,7 +33,7 @@ def is_blank(c: Column | str) -> Column:
 
 def missing_or_blank(c: Column | str) -> Column:
     """Null, or nothing but whitespace of any kind."""
-    return F.coalesce(strip(c), F.lit("")) == ""
+    return F.coalesce(~_col(c).rlike(_NOT_SPACE), F.lit(True))
 
 
 def sanitize(c: Column | str) -> Column:
@@ -38,9 +42,8 @@ def sanitize(c: Column | str) -> Column:
 
 
 def clean_text(c: Column | str) -> Column:
-    """Trim, then fold line breaks and every run of whitespace into one space."""
-    one_line = F.regexp_replace(F.trim(_col(c)), r"[\r\n\t]+", " ")
-    return F.regexp_replace(one_line, r"\s+", " ")
+    """Trim blanks, then fold line breaks and every run of whitespace into one space."""
+    return F.regexp_replace(F.trim(_col(c)), _WIDE_SPACE, " ")
 
 
 def text_length(c: Column | str) -> Column:

@@ -86,13 +86,20 @@ class JsonField:
     def _is_number(self) -> Column:
         return self.schema.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
 
+    def _has_value(self) -> Column:
+        """Present and not null; the line text need not be searched otherwise."""
+        return self.schema != "VOID"
+
     def as_string(self) -> Column:
         """Strings sanitised, nested values as compact JSON, numbers as written."""
-        return F.when(self._is_string(), sanitize(self._get("string"))).otherwise(sanitize_json(self.raw))
+        return (
+            F.when(self._is_string(), sanitize(self._get("string")))
+            .when(self._has_value(), sanitize_json(self.raw))
+        )
 
     def as_json(self) -> Column:
         """Compact JSON text of any value; strings keep their quotes."""
-        quoted = F.when(self._is_string(), F.to_json(self._get("variant"))).otherwise(self.raw)
+        quoted = F.when(self._is_string(), F.to_json(self._get("variant"))).when(self._has_value(), self.raw)
         return sanitize_json(quoted)
 
     def as_raw_price(self) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions.numbers import safe_rate
-from reviewmill.functions.text import folded_name, is_blank, store_key
+from reviewmill.functions.text import folded_name, is_blank
 from reviewmill.functions.times import month_text
 from reviewmill.schemas import LABELS
 from reviewmill.settings import CONFIDENCE_BUCKETS, MONTH_FORMAT, UNKNOWN_NAME, ConfidenceBucket
@@ -84,25 +84,36 @@ def product_sentiment(view: DataFrame) -> DataFrame:
     return rated.drop("verified_count")
 
 
-def category_sentiment(view: DataFrame) -> DataFrame:
-    """Grain: folded category name; the shown name is the smallest spelling."""
-    grouped = view.groupBy(folded_name("main_category").alias("category_key")).agg(
-        F.coalesce(F.min("main_category"), F.lit(UNKNOWN_NAME)).alias("main_category"),
-        *_measures(), _products(), _rating(), _score(),
+def _by_name(view: DataFrame, name: str) -> DataFrame:
+    """Measures by folded name, with the smallest spelling of it.
+
+    Reviews are first summed by (name, product) with plain hash aggregation.
+    Folding the names, the smallest spelling and the distinct products then
+    work on those few rows instead of on all reviews.
+    """
+    pairs = view.groupBy(name, "parent_asin").agg(
+        *_measures(), *[F.sum(c).alias(f"{c}_sum") for c in ("rating", "pred_score")],
+        *[F.count(c).alias(f"{c}_rows") for c in ("rating", "pred_score")],
+    )
+    counts = ("review_count", *[f"{label}_count" for label in reversed(LABELS)])
+    grouped = pairs.groupBy(folded_name(name).alias("folded")).agg(
+        F.coalesce(F.min(name), F.lit(UNKNOWN_NAME)).alias(name),
+        *[F.sum(c).alias(c) for c in counts],
+        _products(),
+        (F.sum("rating_sum") / F.nullif(F.sum("rating_rows"), F.lit(0))).alias("average_rating"),
+        (F.sum("pred_score_sum") / F.nullif(F.sum("pred_score_rows"), F.lit(0))).alias("average_prediction_score"),
     )
     return with_rates(grouped)
 
 
-def store_sentiment(view: DataFrame) -> DataFrame:
-    """Grain: folded store name, identified by its hash.
+def category_sentiment(view: DataFrame) -> DataFrame:
+    """Grain: folded category name."""
+    return _by_name(view, "main_category").withColumnRenamed("folded", "category_key")
 
-    The hash is taken after the aggregation, once per store.
-    """
-    grouped = view.groupBy(folded_name("store_name").alias("folded")).agg(
-        F.coalesce(F.min("store_name"), F.lit(UNKNOWN_NAME)).alias("store_name"),
-        *_measures(), _products(), _rating(), _score(),
-    )
-    return with_rates(grouped).withColumn("store_key", store_key("folded")).drop("folded")
+
+def store_sentiment(view: DataFrame) -> DataFrame:
+    """Grain: folded store name, identified by its hash."""
+    return _by_name(view, "store_name").withColumn("store_key", F.sha2("folded", 256)).drop("folded")
 
 
 def verified_sentiment(view: DataFrame) -> DataFrame:

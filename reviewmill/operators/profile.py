@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import labels, numbers, times
 from reviewmill.functions.once import literal_rows
-from reviewmill.functions.text import strip
+from reviewmill.functions.text import missing_or_blank, strip
 from reviewmill.functions.variants import JsonField, kind_of, open_fields
 from reviewmill.schemas import FIELD_MEANINGS, UNKNOWN_MEANING
 
@@ -31,7 +31,7 @@ def exploded_fields(objects: DataFrame) -> DataFrame:
 def field_profile(objects: DataFrame) -> DataFrame:
     """Per field: occurrences, nulls, blank strings and the count of each JSON kind."""
     text = F.try_variant_get("node", "$", "string")
-    blank = (F.col("kind") == "string") & (strip(text) == "")
+    blank = (F.col("kind") == "string") & missing_or_blank(text)
     return exploded_fields(objects).groupBy("field").agg(
         F.count(F.lit(1)).alias("occurrences"),
         _rows(F.col("kind") == "null").alias("nulls"),
@@ -90,7 +90,7 @@ def _facts(objects: DataFrame) -> DataFrame:
     text, parent, verified = JsonField("text"), JsonField("parent_asin"), JsonField("verified_purchase")
     opened = open_fields(objects, "text", "rating", "timestamp", "helpful_vote", "parent_asin", "verified_purchase")
     parsed = opened.select(
-        text.kind.alias("text_kind"), strip(text.as_text()).alias("text"),
+        text.kind.alias("text_kind"), ((text.schema == "STRING") & missing_or_blank(text.as_text())).alias("blank_text"),
         numbers.parse_number(JsonField("rating").number_text()).alias("rating"),
         JsonField("timestamp").number_text().alias("time_text"),
         numbers.parse_number(JsonField("timestamp").number_text()).alias("time_raw"),
@@ -116,7 +116,7 @@ def review_profile(objects: DataFrame, metadata_parents: DataFrame) -> DataFrame
         "valid_object_count": F.lit(True),
         "missing_review_text_count": F.col("text_kind").isNull(),
         "null_review_text_count": F.col("text_kind") == "null",
-        "blank_review_text_count": F.col("text") == "",
+        "blank_review_text_count": F.col("blank_text"),
         "invalid_rating_count": F.col("rating").isNull(),
         "rating_outside_1_to_5_count": (F.col("rating") < 1) | (F.col("rating") > 5),
         **{f"weak_{name}_count": label == name for name in ("negative", "neutral", "positive")},

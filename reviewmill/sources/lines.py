@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions.once import computed_once
-from reviewmill.functions.text import strip
+from reviewmill.functions.text import missing_or_blank
 
 # The most physical lines a bounded inspection may ask for.
 LINE_LIMIT = 1_000_000
@@ -35,12 +35,11 @@ def classify(lines: DataFrame, value: str = "value") -> DataFrame:
     counted apart. The literals NaN and Infinity are not JSON here.
     """
     text = F.col(value)
-    blank = text.isNull() | (strip(text) == "")
     parsed = computed_once(lines, "v", F.try_parse_json(text))
     status = (
-        F.when(blank, F.lit(BLANK))
+        F.when(missing_or_blank(text), F.lit(BLANK))
         .when(F.col("v").isNull(), F.lit(MALFORMED))
-        .when(F.substring(strip(text), 1, 1) == "{", F.lit(OBJECT))
+        .when(text.rlike(r"(?U)^\s*\{"), F.lit(OBJECT))
         .otherwise(F.lit(NON_OBJECT))
     )
     return parsed.withColumn("status", status)
