@@ -93,10 +93,5 @@ def model_partition(c: Column | str) -> Column:
     return F.when(c.rlike(MODEL_VERSION_PATTERN), name)
 
 
-def store_key(c: Column | str) -> Column:
-    """Stable identifier of a store: hash of its folded name."""
-    return F.sha2(folded_name(c), 256)
-
-
 def folded_name(c: Column | str) -> Column:
     return F.coalesce(F.nullif(F.lower(F.trim(_col(c))), F.lit("")), F.lit(UNKNOWN_NAME))

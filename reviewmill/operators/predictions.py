@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from reviewmill.functions.labels import is_label
 from reviewmill.functions.numbers import safe_rate
 from reviewmill.functions.text import is_blank, model_partition
-from reviewmill.operators.aggregates import count_where
 from reviewmill.operators.joins import by_merge
 from reviewmill.schemas import (
     LABELS,

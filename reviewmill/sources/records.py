@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from reviewmill.functions.variants import JsonField, open_fields
 from reviewmill.schemas import METADATA_JSON_FIELDS, REVIEW_JSON_FIELDS

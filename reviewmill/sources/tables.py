@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -18,10 +19,12 @@ def write_clean(reviews: DataFrame, path: str) -> None:
     """Replace the (batch, year) partitions that occur in ``reviews``.
 
     Years that receive no row keep their old files; drop the batch folder first
-    when a batch is reloaded with fewer years. Rows of a year are spread over
-    the writers that hold them, so a year of any size is written in parallel.
+    when a batch is reloaded with fewer years. Rows are rebalanced by year, so
+    that a small year is one file and a year of any size is cut into files of
+    the advised partition size, written in parallel.
     """
-    reviews.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch_id", "review_year").parquet(path)
+    balanced = reviews.hint("rebalance", F.col("load_batch_id"), F.col("review_year"))
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_batch_id", "review_year").parquet(path)
 
 
 def overwrite_partition(table: DataFrame, path: str, spec: dict[str, str]) -> None:
@@ -30,16 +33,16 @@ def overwrite_partition(table: DataFrame, path: str, spec: dict[str, str]) -> No
     stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*spec).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def guard_version(spark: SparkSession, path: str, spec: dict[str, str], force: bool = False) -> None:
     """Refuse to import a partition that already has rows, unless forced."""
-    if force or not _exists(spark, path):
+    if force:
         return
-    rows = spark.read.parquet(path)
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return
+        raise
     for name, value in spec.items():
         rows = rows.filter(F.col(name) == value)
     if rows.limit(1).count():

@@ -1,6 +1,7 @@
 """Written tables: partitions, guards, export files, streams."""
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +33,19 @@ def test_clean_table_keeps_other_batches_and_text_years(spark, sf_dir, tmp_path)
     assert {r.load_batch_id: r["count"] for r in back.groupBy("load_batch_id").count().collect()} == {BATCH: table.count(), "b2": table.count()}
 
 
+def test_a_small_year_is_one_file(spark, sf_dir, tmp_path):
+    tables.write_clean(clean_table(spark, sf_dir).repartition(7), str(tmp_path / "clean"))
+    files = [p.parent for p in (tmp_path / "clean").rglob("*.parquet")]
+    assert len(files) == len(set(files)) > 1
+
+
+def test_stamp(spark, sf_dir):
+    from datetime import datetime, timedelta
+
+    row = fixtures.agg.stamp(fixtures.overview(spark, sf_dir), BATCH, MODEL).first()
+    assert abs(row.generated_at - datetime.now()) < timedelta(days=1) and (row.load_batch_id, row.model_version) == (BATCH, MODEL)
+
+
 def test_guard(spark, tmp_path):
     path, spec = str(tmp_path / "t"), {"load_batch_id": "b", "model_version": "m"}
     tables.guard_version(spark, path, spec)
@@ -100,6 +114,7 @@ def test_content_hash_ignores_order_but_not_copies(spark):
 
 def test_stream_gives_the_rows_of_the_batch_load(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "out")
+    name = f"reviews-{uuid.uuid4().hex}"  # progress outlives the run below the shared folder
     source.mkdir()
     record = {"rating": 5, "title": "t", "text": "x\ny", "asin": "A", "parent_asin": "P", "user_id": "U",
               "timestamp": 1, "helpful_vote": 0, "verified_purchase": True}
@@ -108,7 +123,7 @@ def test_stream_gives_the_rows_of_the_batch_load(spark, tmp_path):
         (source / name).write_text("".join(line + "\n" for line in lines))
 
     def run():
-        write_available(stream_reviews(spark, str(source), "b"), target, f"reviews-{tmp_path.name}", "load_batch_id").awaitTermination()
+        write_available(stream_reviews(spark, str(source), "b"), target, name, "load_batch_id").awaitTermination()
         return spark.read.parquet(target)
 
     add("1.jsonl", json.dumps(record), "", "{bad", "[1]")
