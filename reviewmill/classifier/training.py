@@ -29,8 +29,9 @@ def label_number(c: str) -> Column:
 
 
 def with_balanced_weights(table: DataFrame, label: str) -> DataFrame:
-    """Add ``weight``: all rows / (labels in use * rows of the label). One row per label comes to the driver."""
-    counts = {r[label]: r["n"] for r in table.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Add ``weight``: all rows / (labels in use * rows of the label). At most one row per known label comes to the driver."""
+    known = table.filter(F.col(label).isin(*LABELS)).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = {r[label]: r["n"] for r in known.collect()}
     total = sum(counts.values())
     weight = F.lit(None).cast("double")
     for name, n in counts.items():
