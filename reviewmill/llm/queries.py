@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import language_id, mixing, prefix_forest, secret_scan, simhash, toxicity, url_filter
+from reviewmill.llm import decontaminate, language_id, line_dedup, mixing, prefix_forest, secret_scan, simhash, toxicity, url_filter
 from reviewmill.llm.common import crc32_modulo, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,12 +93,76 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+_LEAK_SQL = r"""
+WITH items AS (
+  SELECT min(item_id) AS item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS words
+  FROM benchmark WHERE text IS NOT NULL GROUP BY text),
+sized AS (SELECT item_id, words, len(words) AS n FROM items WHERE len(words) >= 5),
+places AS (SELECT item_id, n, unnest(generate_series(0, n - 5)) AS place, words FROM sized),
+shingles AS (SELECT item_id, n, place, array_to_string(words[place + 1:place + 5], ' ') AS shingle FROM places),
+texts AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS words FROM documents WHERE text IS NOT NULL),
+spots AS (SELECT doc_id, len(words) AS size, unnest(generate_series(0, len(words) - 5)) AS spot, words FROM texts WHERE len(words) >= 5),
+marks AS (SELECT doc_id, size, spot, array_to_string(words[spot + 1:spot + 5], ' ') AS shingle FROM spots),
+windows AS (SELECT DISTINCT doc_id, item_id, n, size, greatest(0, least(spot - place, size - n)) AS start FROM marks JOIN shingles USING (shingle)),
+held AS (
+  SELECT w.doc_id, item_id, start, shingle, count(*) AS n FROM windows w JOIN marks m ON w.doc_id = m.doc_id AND spot BETWEEN start AND start + w.n - 5 GROUP BY ALL),
+wanted AS (SELECT item_id, shingle, count(*) AS n FROM shingles GROUP BY ALL),
+compared AS (
+  SELECT h.doc_id, h.item_id, h.start, sum(least(h.n, coalesce(w.n, 0))) AS shared, sum(h.n) AS own
+  FROM held h LEFT JOIN wanted w ON h.item_id = w.item_id AND h.shingle = w.shingle GROUP BY ALL),
+valued AS (SELECT doc_id, item_id, shared / (own + s.n - 4 - shared) AS similarity FROM compared JOIN sized s USING (item_id))
+SELECT doc_id, item_id, max(similarity) AS similarity FROM valued WHERE similarity >= 0.8 GROUP BY ALL
+"""
+
+
+@query("op6_decontaminate", _LEAK_SQL)
+def op6_decontaminate(spark, sf_dir):
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity")
+
+
 @query("op7_language_id")
 def op7_language_id(spark, sf_dir):
     learn = F.coalesce(crc32_modulo(F.col("doc_id"), 4) != 2, F.lit(False))
     return language_id.identify(table(spark, sf_dir, "documents"), learn)
 
 
+_LINE_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM documents WHERE text IS NOT NULL),
+normal AS (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words FROM lines),
+distinct_lines AS (
+  SELECT words, len(words) AS n, min(struct_pack(d := doc_id, p := place)) AS first FROM normal WHERE len(words) >= 5 GROUP BY words),
+cut AS (
+  SELECT first, n - 1 AS n, i, array_to_string(words[1:i - 1], ' ') || chr(10) || array_to_string(words[i + 1:], ' ') AS rest
+  FROM (SELECT first, n, words, unnest(generate_series(1, n)) AS i FROM distinct_lines)
+  UNION ALL
+  SELECT first, n, i, array_to_string(words[1:i - 1], ' ') || chr(10) || array_to_string(words[i:], ' ')
+  FROM (SELECT first, n, words, unnest(generate_series(1, n + 1)) AS i FROM distinct_lines)),
+keyed AS (SELECT first, md5_number(n || '|' || i || '|' || rest) AS variant FROM cut),
+later AS (SELECT first, min(first) OVER (PARTITION BY variant) AS earliest FROM keyed),
+near AS (SELECT DISTINCT first FROM later WHERE earliest < first),
+judged AS (
+  SELECT l.doc_id, l.place, l.line,
+         coalesce(d.first <> struct_pack(d := l.doc_id, p := l.place) OR near.first IS NOT NULL, false) AS gone
+  FROM normal l LEFT JOIN distinct_lines d ON l.words = d.words LEFT JOIN near ON near.first = d.first),
+kept AS (
+  SELECT doc_id, count(*) AS n_lines, sum(CAST(gone AS INT)) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text FROM judged GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS INT) AS n_lines, CAST(coalesce(n_removed, 0) AS INT) AS n_removed,
+       CASE WHEN documents.text IS NOT NULL THEN sha256(kept.text) END AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op8_line_dedup", _LINE_SQL)
+def op8_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 _URL_SQL = r"""
 WITH RECURSIVE base AS (
   SELECT page_id, url, coalesce(html, '') AS html,
