@@ -16,13 +16,14 @@ DIGITS = 3
 LEVELS = 4
 
 
-def sized(documents: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """``id, source, size, code`` of every row; the code is a hash of identifier and text."""
+def sized(documents: DataFrame, id_col: str, text_col: str, source_col: str, carried: list[str] | None = None) -> DataFrame:
+    """``id, source, size, code`` of every row; the code is a hash of identifier and text. ``row`` holds carried columns."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return documents.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(text))).alias("code"))
+        F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(text))).alias("code"),
+        *([F.struct(*carried).alias("row")] if carried else []))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -71,18 +72,37 @@ def mix(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     taken alike; extra columns are not carried; an empty table gives no rows.
     """
     rows = stored(sized(documents, id_col, text_col, source_col), "mix-sizes")
+    return _taken(rows, thresholds(rows, weights, most)).select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+
+
+def mixed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """The rows of ``documents`` that ``mix`` takes, all columns, with ``taken_words`` and ``taken_copies``.
+
+    Columns of these two names are replaced. Texts without words are never taken.
+    """
+    limits = thresholds(stored(sized(documents, id_col, text_col, source_col), "mix-sizes"), weights, most)
+    carried = [c for c in documents.columns if c not in ("taken_words", "taken_copies")]
+    rows = sized(documents, id_col, text_col, source_col, carried)
+    return _taken(rows, limits).filter("taken > 0").select(
+        *[F.col(f"row.{c}") for c in carried], F.col("taken").alias("taken_words"), (F.col("taken") / F.col("size")).cast("int").alias("taken_copies"))
+
+
+def thresholds(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """One row per source: its target, the copies taken of all its documents, and the hash up to which one more is."""
     goals = stored(targets(rows, weights, most), "mix-targets")
     whole = F.least(F.floor(F.col("target") / F.greatest("source_size", F.lit(1))), F.lit(most)).cast("long")
     state = goals.select("*", whole.alias("whole")).select(
         "*", (F.col("target") - F.col("whole") * F.col("source_size")).alias("rest"), F.lit("").alias("edge"))
     for level in range(1, LEVELS + 1):
         state = stored(_refined(rows, state, level), f"mix-level-{level}")
+    return state.select("source", "source_size", "target", "whole", "edge", "take_edge")
+
+
+def _taken(rows: DataFrame, limits: DataFrame) -> DataFrame:
     digits = F.substring("code", 1, DIGITS * LEVELS)
     extra = (digits < F.col("edge")) | (F.col("take_edge") & (digits == F.col("edge")))
-    known = state.select("source", "source_size", "target", "whole", "edge", "take_edge")
-    return _by_source(rows, known).select(
-        F.col("id").alias(id_col), "size", "source_size", "target",
-        (F.col("size") * (F.col("whole") + extra.cast("long"))).alias("taken"))
+    return _by_source(rows, limits).withColumn("taken", F.col("size") * (F.col("whole") + extra.cast("long")))
 
 
 def _by_source(rows: DataFrame, table: DataFrame) -> DataFrame:

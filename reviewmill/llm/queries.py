@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import decontaminate, language_id, line_dedup, mixing, prefix_forest, secret_scan, simhash, toxicity, url_filter
+from reviewmill.llm import decontaminate, language_id, line_dedup, mixing, prefix_forest, repeated_spans, secret_scan, simhash, toxicity, url_filter
 from reviewmill.llm.common import crc32_modulo, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,6 +163,12 @@ def op8_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op9_repeated_spans")
+def op9_repeated_spans(spark, sf_dir):
+    left = repeated_spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _URL_SQL = r"""
 WITH RECURSIVE base AS (
   SELECT page_id, url, coalesce(html, '') AS html,

@@ -9,8 +9,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from reviewmill.llm.common import components, stored
 
@@ -41,15 +42,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, fingerprint`` (long) of every row; a null, empty or blank text has fingerprint 0."""
-    table = documents.select(F.col(id_col), F.col(text_col).alias("__text"))
-    schema = f"`{id_col}` {table.schema[0].dataType.simpleString()}, fingerprint long"
+def fingerprints(documents: DataFrame, carried: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The ``carried`` columns and the ``fingerprint`` (long) of every row; a null, empty or blank text has fingerprint 0."""
+    table = documents.select(*carried, F.col(text_col).alias("__text"))
+    schema = StructType([*table.schema.fields[:-1], StructField("fingerprint", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = pa.array([fingerprint(x) for x in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), marks], [id_col, "fingerprint"])
+            marks = pa.array([fingerprint(x) for x in batch.columns[-1].to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], marks], [*carried, "fingerprint"])
 
     return table.mapInArrow(run, schema)
 
@@ -173,11 +174,30 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     Repeated rows are returned as often as they occur, extra columns are not
     carried, an empty table gives an empty result.
     """
-    marks = stored(fingerprints(documents, id_col, text_col), "fingerprints")
-    nodes = stored(marks.groupBy("fingerprint").agg(F.min(id_col).alias("first")), "fingerprint-nodes")
-    parts = components(links(nodes.select("fingerprint"), radius)).withColumnRenamed("node", "fingerprint")
-    rooted = nodes.join(parts, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    marks = stored(fingerprints(documents, (id_col,), text_col), "fingerprints")
+    rooted = _rooted(marks, id_col, radius)
     firsts = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
     named = stored(rooted.join(firsts, "component").select("fingerprint", "component_id"), "fingerprint-components")
     return marks.join(named, "fingerprint").select(
         id_col, F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _rooted(marks: DataFrame, first: str | Column, radius: int) -> DataFrame:
+    """``fingerprint, first, component`` of every distinct fingerprint; ``first`` is its least value of that column."""
+    nodes = stored(marks.groupBy("fingerprint").agg(F.min(first).alias("first")), "fingerprint-nodes")
+    parts = components(links(nodes.select("fingerprint"), radius)).withColumnRenamed("node", "fingerprint")
+    return nodes.join(parts, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+
+
+def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """One row of every component of ``near_duplicates``, all columns: that with the smallest identifier.
+
+    Null identifiers come last; of rows that share the smallest one the choice goes
+    by a hash of all columns, and of rows equal in all columns one stays.
+    """
+    key = F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in documents.columns])
+    keyed = documents.withColumn("__row", key)
+    marks = stored(fingerprints(keyed, ("__row", id_col), text_col), "fingerprints")
+    rooted = _rooted(marks, F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("__row")), radius)
+    kept = rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row"))
+    return keyed.join(stored(kept, "near-duplicate-kept"), "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")

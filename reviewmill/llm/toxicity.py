@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from reviewmill.llm.common import crc32_modulo, stored
 
@@ -27,6 +28,8 @@ HELD_OUT = 0
 CALIBRATION = 1
 #: Distinct words that a task gathers before it hands them on.
 FLUSH = 150_000
+#: Columns that a scored table has, all named with toxic_ before it.
+ADDED = {"held_out": BooleanType(), "score": DoubleType(), "predicted": IntegerType(), "whole": DoubleType(), "window": DoubleType()}
 START, END = "\x02", "\x03"
 WORDS = re.compile(r"[^\W_]+")
 
@@ -187,6 +190,16 @@ def score(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
           fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
     """All rows of ``documents`` as ``id_col, held_out, score, predicted``, with both features.
 
+    See ``annotated``.
+    """
+    found = annotated(documents.select(id_col, text_col), labels, id_col, text_col, label_col, fit_rows, calibration_rows)
+    return found.select(id_col, *[F.col(f"toxic_{n}").alias(n) for n in ADDED])
+
+
+def annotated(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+              fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
+    """All rows and columns of ``documents`` with ``toxic_held_out``, ``toxic_score``, ``toxic_predicted`` and both features.
+
     Labels of documents whose identifier's crc32 modulo ``FOLDS`` is ``HELD_OUT``
     are never read. A character is predicted from those before it in its word; the
     classes keep their own counts of the longest n-grams and share the backoff
@@ -201,14 +214,13 @@ def score(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     Without labels of both kinds every score is 0. Labels that are null, not 0 or 1,
     or whose document is missing are ignored; of repeated labels the larger counts.
     Rows with null identifiers are scored and not held out; repeated rows are
-    returned as often as they occur; extra columns are not carried.
+    returned as often as they occur; columns of the added names are replaced.
     """
     spark = documents.sparkSession
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1) and id is not null")
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).withColumn("fold", crc32_modulo(F.col("id"), FOLDS))
     known = stored(_sampled(known.filter(F.col("fold") != HELD_OUT), fit_rows), "toxic-labels")
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    held = F.coalesce(crc32_modulo(F.col("id"), FOLDS) == HELD_OUT, F.lit(False))
 
     table, beta = {}, np.array([-50.0, 0.0, 0.0])
     if known.select("toxic").distinct().count() == 2:
@@ -228,15 +240,18 @@ def score(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         table = dict(zip(rows["gram"], rows["all"]))
         beta = calibrated(seen[["whole", "window"]].to_numpy(), seen["toxic"].to_numpy(dtype=float)) if seen["toxic"].nunique() == 2 else np.array([-2.0, 0.0, 20.0])
     model = spark.sparkContext.broadcast(table)
-    names = [id_col, "held_out", "score", "predicted", "whole", "window"]
+    added = [StructField(f"toxic_{n}", t) for n, t in ADDED.items()]
+    carried = documents.select(*[c for c in documents.columns if c not in {f.name for f in added}])
+    at = carried.columns.index(text_col)
+    table = carried.withColumn("toxic_held_out", F.coalesce(crc32_modulo(F.col(id_col), FOLDS) == HELD_OUT, F.lit(False)))
+    schema = StructType([*carried.schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
         for batch in batches:
-            pairs = np.array([scorer.features(x) for x in batch.column(2).to_pylist()]).reshape(-1, 2)
+            pairs = np.array([scorer.features(x) for x in batch.column(at).to_pylist()]).reshape(-1, 2)
             p = 1 / (1 + np.exp(-np.clip(beta[0] + pairs @ beta[1:], -50, 50)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32)), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names)
+            columns = [p, (p >= 0.5).astype(np.int32), pairs[:, 0], pairs[:, 1]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, columns)], schema.names)
 
-    kind_of_id = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", held.alias("held_out"), "text").mapInArrow(
-        run, f"`{id_col}` {kind_of_id}, held_out boolean, score double, predicted int, whole double, window double")
+    return table.mapInArrow(run, schema)
