@@ -25,10 +25,10 @@ GRAM = 64
 FIRST = 8
 #: Bytes of a text handled at a time; parts overlap by a window.
 SEGMENT = 1 << 19
-#: Bytes refined at a time by one task, and members up to which a bucket is refined as a whole. The windows of
-#: larger buckets are grouped across tasks.
+#: Bytes refined at a time by one task, and bytes up to which a bucket is refined as a whole: some hundred MB of
+#: memory. The windows of larger buckets are grouped across tasks.
 CHUNK_BYTES = 1 << 20
-BUCKET_MEMBERS = 2000
+BUCKET_BYTES = 3 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,21 +100,21 @@ def refined(members: list[bytes], buckets: np.ndarray, starts: np.ndarray, lengt
     data = np.frombuffer(b"".join(members), dtype=np.uint8)
     sizes = np.array([len(m) for m in members])
     ends = np.cumsum(sizes)
-    left = np.repeat(ends, sizes) - np.arange(len(data))
-    owner = np.repeat(buckets, sizes)
+    left = (np.repeat(ends, sizes) - np.arange(len(data))).astype(np.int32)
+    owner = np.repeat(np.unique(buckets, return_inverse=True)[1], sizes)
     cover = min(FIRST, length)
     places = np.flatnonzero(left >= cover)
     value = np.zeros(len(places), dtype=np.uint64)
     for i in range(cover):
         value = value << np.uint64(8) | data[places + i]
-    number = np.unique(owner[places], return_inverse=True)[1]
-    ids = np.zeros(len(data), dtype=np.int64)
-    ids[places] = np.unique(number * (len(places) + 1) + np.unique(value, return_inverse=True)[1], return_inverse=True)[1]
+    ids = np.zeros(len(data), dtype=np.int32)
+    ids[places] = np.unique(owner[places] * (len(places) + 1) + np.unique(value, return_inverse=True)[1], return_inverse=True)[1]
+    del value, owner
     while cover < length:
         step = min(cover, length - cover)
         places = np.flatnonzero(left >= cover + step)
-        pairs = ids[places] * (len(data) + 1) + ids[places + step]
-        ids = np.zeros(len(data), dtype=np.int64)
+        pairs = ids[places] * np.int64(len(data) + 1) + ids[places + step]
+        ids = np.zeros(len(data), dtype=np.int32)
         ids[places] = np.unique(pairs, return_inverse=True)[1]
         cover += step
     firsts = np.repeat(ends - sizes, starts) + np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts)
@@ -129,7 +129,7 @@ def _runs(flags: np.ndarray, low: int) -> list[tuple[int, int]]:
 
 def _contexts(documents: DataFrame, open_classes: DataFrame, length: int) -> DataFrame:
     """Bytes of all windows of one member of every open class, with its bucket."""
-    wanted = open_classes.groupBy("row").agg(F.collect_list(F.struct("low", "at", "high", "bucket", "members", "single")).alias("wanted"))
+    wanted = open_classes.groupBy("row").agg(F.collect_list(F.struct("low", "at", "high", "bucket", "size", "single")).alias("wanted"))
     table = documents.join(wanted, "row").select("row", "text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,12 +137,12 @@ def _contexts(documents: DataFrame, open_classes: DataFrame, length: int) -> Dat
             rows = []
             for row, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 data = text.encode("utf-8", "surrogatepass")
-                rows += [(w["bucket"], w["members"], w["single"], row, w["low"], w["at"], data[w["low"]:w["high"] + length]) for w in wanted]
+                rows += [(w["bucket"], w["size"], w["single"], row, w["low"], w["at"], data[w["low"]:w["high"] + length]) for w in wanted]
             types = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
-                                             ["bucket", "members", "single", "row", "low", "at", "bytes"])
+                                             ["bucket", "size", "single", "row", "low", "at", "bytes"])
 
-    return table.mapInArrow(run, "bucket long, members long, single boolean, row long, low long, at long, bytes binary")
+    return table.mapInArrow(run, "bucket long, size long, single boolean, row long, low long, at long, bytes binary")
 
 
 def _refined_spans(contexts: DataFrame, length: int) -> DataFrame:
@@ -209,11 +209,11 @@ def repeated_starts(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     classes = stored(found.groupBy("bucket", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")), "anchor-classes")
     twice = classes.filter("n > 1").select("bucket", "whole")
     closed = found.join(twice, ["bucket", "whole"]).select("row", "low", "high")
-    kinds = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    still_open = classes.join(kinds, "bucket").select("bucket", "members", (F.col("n") == 1).alias("single"), "first.*")
+    kinds = classes.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("first.high") - F.col("first.low") + length).alias("size")).filter("members > 1")
+    still_open = classes.join(kinds, "bucket").select("bucket", "size", (F.col("n") == 1).alias("single"), "first.*")
     contexts = stored(_contexts(rows, still_open, length), "contexts")
-    small = _refined_spans(contexts.filter(F.col("members") <= BUCKET_MEMBERS), length)
-    large = _grouped_spans(contexts.filter(F.col("members") > BUCKET_MEMBERS), length)
+    small = _refined_spans(contexts.filter(F.col("size") <= BUCKET_BYTES), length)
+    large = _grouped_spans(contexts.filter(F.col("size") > BUCKET_BYTES), length)
     return closed.union(small).union(large)
 
 
