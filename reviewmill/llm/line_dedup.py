@@ -85,7 +85,9 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-_ORDER = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "place")
+def _order() -> Column:
+    """What earlier means: the smaller identifier, null last, then the smaller place."""
+    return F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "place")
 
 
 def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -93,13 +95,13 @@ def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark_lines = _lines(documents, id_col, text_col)
     hashes = (F.xxhash64("normal").alias("h"), F.xxhash64(F.lit("check"), F.col("normal")).alias("h2"))
     seen = stored(spark_lines.select("id", "row", "place", *hashes, _halves(F.col("normal"), F.col("n")).alias("halves")), "lines")
-    distinct = stored(seen.groupBy("h", "h2").agg(F.min(_ORDER).alias("first"), F.any_value("halves").alias("halves")), "distinct-lines")
+    distinct = stored(seen.groupBy("h", "h2").agg(F.min(_order()).alias("first"), F.any_value("halves").alias("halves")), "distinct-lines")
 
     halves = distinct.select("h", "h2", F.explode(F.array_distinct("halves")).alias("half"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
     chosen = halves.join(shared, "half").select("h", "h2").distinct().join(distinct.select("h", "h2", "first"), ["h", "h2"])
     chosen = stored(chosen, "lines-with-partners")
-    texts = spark_lines.select(*hashes, _ORDER.alias("first"), "normal")
+    texts = spark_lines.select(*hashes, _order().alias("first"), "normal")
     wanted = F.broadcast(chosen) if chosen.count() <= BROADCAST_LINES else chosen
     partners = texts.join(wanted, ["h", "h2", "first"]).dropDuplicates(["h", "h2"])
     partners = stored(partners.select("h", "h2", "first", F.split("normal", " ").alias("words")), "partner-texts")
@@ -115,7 +117,7 @@ def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     near = stored(near.filter(one_edit(F.col("words"), F.col("other"))).select("h", "h2", F.lit(True).alias("near")), "near-lines")
 
     known = distinct.select("h", "h2", "first").join(near, ["h", "h2"], "left")
-    gone = seen.join(known, ["h", "h2"]).filter(F.col("near") | (_ORDER != F.col("first")))
+    gone = seen.join(known, ["h", "h2"]).filter(F.col("near") | (_order() != F.col("first")))
     return gone.groupBy("row").agg(F.collect_set("place").alias("places"))
 
 
