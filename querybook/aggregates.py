@@ -89,7 +89,10 @@ TEXT_ASPECTS = RuleSet(
         KeywordRule("appearance", "Appearance", "(^| )(the|that)( |$)"),
         KeywordRule("comfort", "Comfort", "(^| )(and|for)( |$)"),
         KeywordRule("size_fit", "Size & Fit", "(^| )(le|la)( |$)"),
+        KeywordRule("material", "Material", "(^| )(in|it)( |$)"),
+        KeywordRule("price_value", "Price & Value", "(^| )(to|was)( |$)"),
         KeywordRule("quality", "Quality", "(^| )(und|der)( |$)"),
+        KeywordRule("shipping_packaging", "Shipping & Packaging", "(^| )(de|los)( |$)"),
         KeywordRule("durability", "Durability", "(^| )neverfound( |$)"),
     ),
     "test_aspects_v1",
@@ -99,6 +102,12 @@ TEXT_REASONS = RuleSet(
         KeywordRule("wrong_size", "Wrong size", "(^| )(the|of) [a-z]+ (in|is)( |$)"),
         KeywordRule("poor_quality", "Poor quality", "(^| )(erth|ent)( |$)"),
         KeywordRule("return_issue", "Return issue", "(^| )(of|el)( |$)"),
+        KeywordRule("overpriced", "Overpriced", "(^| )(are|as)( |$)"),
+        KeywordRule("damaged_item", "Damaged item", "(^| )(by|be)( |$)"),
+        KeywordRule("uncomfortable", "Uncomfortable", "(^| )(with|from)( |$)"),
+        KeywordRule("color_mismatch", "Color mismatch", "(^| )(die|das)( |$)"),
+        KeywordRule("not_as_described", "Not as described", "(^| )(que|por)( |$)"),
+        KeywordRule("delivery_issue", "Delivery issue", "(^| )neverfound( |$)"),
     ),
     "test_reasons_v1",
 )

@@ -345,7 +345,8 @@ def _dws_gate(spark, sf):
 def _aspect_checks(spark, sf):
     # One code is left out of the vocabulary to show that it is reported.
     stamped = agg.stamp(tables.aspects(spark, sf), BATCH, MODEL)
-    checked = checks.check_aspects(stamped, ("appearance", "comfort", "size_fit", "quality"), BATCH, MODEL)
+    known = ("appearance", "comfort", "material", "price_value", "quality", "shipping_packaging", "size_fit")
+    checked = checks.check_aspects(stamped, known, BATCH, MODEL)
     return checked.select("aspect_code", F.concat_ws(",", "errors").alias("error_codes"))
 
 

@@ -12,7 +12,6 @@ from reviewmill.session import configure
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 COMMON_TABLES: dict[str, str] = {}
-_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -58,15 +57,5 @@ def with_tables(sql: str) -> str:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. These are single files of one row group, which one task
-    reads; a table with fewer file splits than cores is spread over the cores by
-    its first column, the row identifier.
-    Tables of a real warehouse have more splits and stay as they are.
-    """
-    context = spark.sparkContext
-    place = (context.applicationId, f"{sf_dir}/{name}.parquet")
-    if place not in _TABLES:
-        table, cores = spark.read.parquet(place[1]), context.defaultParallelism
-        few = table.rdd.getNumPartitions() < cores
-        _TABLES[place] = table.repartition(cores, table.columns[0]) if few else table
-    return _TABLES[place]
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

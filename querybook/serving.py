@@ -290,7 +290,6 @@ _ASPECT_ORDER = "ORDER BY mention_count DESC, negative_rate DESC, aspect_code"
 _REASON_ORDER = "ORDER BY mention_count DESC, share_of_negative_reviews DESC, reason_code"
 common_table("top_product", f"SELECT * FROM dws_product WHERE review_count >= 5 {_NEG}, {_GRAIN} LIMIT 1")
 common_table("top_store", f"SELECT * FROM dws_store WHERE review_count >= 20 {_NEG}, store_key LIMIT 1")
-common_table("shown_alerts", f"SELECT * FROM dws_alerts {_ALERT_ORDER} LIMIT 20")
 
 
 def _product_ranking():
@@ -320,7 +319,7 @@ def _joined(*parts):
 
 @query("product_risk_report", _joined(
     _metric_sql("top_product", ["negative_rate", "negative_count", "review_count", "average_prediction_score"]),
-    _product_ranking(), _alert_sql("(SELECT * FROM shown_alerts WHERE entity_id IN (SELECT parent_asin FROM top_product)) a", 20),
+    _product_ranking(), _alert_sql("(SELECT * FROM dws_alerts WHERE entity_id IN (SELECT parent_asin FROM top_product)) a", 20),
     _aspect_sql(5), _reason_sql(5), _SAMPLE_SQL))
 def _product_risk(spark, sf):
     return reports.product_risk(tables.products(spark, sf), tables.alert_table(spark, sf), tables.aspects(spark, sf),
@@ -330,7 +329,7 @@ def _product_risk(spark, sf):
 @query("store_risk_report", _joined(
     _metric_sql("top_store", ["negative_rate", "review_count", "product_count", "average_rating"]),
     _section_sql("ranking", "(SELECT * FROM dws_store WHERE review_count >= 20) s", f"{_NEG}, store_key", "store_key", "store_name", "negative_rate", "review_count", 3),
-    _alert_sql("(SELECT * FROM shown_alerts WHERE entity_id IN (SELECT store_key FROM top_store)) a", 20)))
+    _alert_sql("(SELECT * FROM dws_alerts WHERE entity_id IN (SELECT store_key FROM top_store)) a", 20)))
 def _store_risk(spark, sf):
     return reports.store_risk(tables.stores(spark, sf), tables.alert_table(spark, sf))
 

@@ -7,14 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
 from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _WORD = r"(?U)(\w\w+)"
-# From 1.0 on the vectoriser takes its upper limit for a number of documents.
-_NO_LIMIT = float(2**63 - 1)
 
 
 @dataclass(frozen=True)
@@ -101,11 +99,16 @@ def fit_features(table: DataFrame, text: str, settings: FeatureSettings = Featur
 
 
 def learn_from_terms(terms: DataFrame, settings: FeatureSettings = FeatureSettings()) -> FeatureModel:
-    """Two passes over the terms: counting the vocabulary, then the documents of each term."""
-    share = settings.max_document_share
-    counter = CountVectorizer(
-        inputCol="terms", outputCol="_counts", vocabSize=settings.max_terms,
-        minDF=settings.min_documents, maxDF=share if share < 1.0 else _NO_LIMIT,
-    ).fit(terms)
+    """Vocabulary and document frequencies. Terms are taken by count, ties by the term
+    itself, so the vocabulary never depends on how the input is partitioned."""
+    rows = terms.count()
+    counts = terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
+    documents = terms.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+    least, share = settings.min_documents, settings.max_document_share
+    known = documents.filter(F.col("documents") >= (least if least >= 1.0 else least * rows))
+    if share < 1.0:
+        known = known.filter(F.col("documents") <= share * rows)
+    chosen = known.join(counts, "term").orderBy(F.desc("uses"), "term").limit(settings.max_terms).select("term").collect()
+    counter = CountVectorizerModel.from_vocabulary([row.term for row in chosen], "terms", "_counts")
     frequencies = IDF(inputCol="_counts", outputCol="_idf").fit(counter.transform(terms).select("_counts"))
     return FeatureModel(counter, DenseVector(frequencies.idf.toArray() + 1.0))

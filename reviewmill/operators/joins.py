@@ -8,19 +8,17 @@ from pyspark.sql import functions as F
 from reviewmill.functions.numbers import safe_rate
 from reviewmill.functions.text import is_blank, strip
 
-# A key table of this many rows is broadcast; that is its largest possible size.
+# A list of up to this many hot keys is broadcast; a longer one is joined.
 HOT_KEY_LIMIT = 4096
 
 
 def hot_keys(table: DataFrame, key: str, rows_per_split: int = 1_000_000) -> DataFrame:
     """Keys with more rows than one task should hold, and into how many parts to cut them.
 
-    Counting runs on the key column alone with map-side combining. At most
-    ``HOT_KEY_LIMIT`` keys come back, the largest first; keys beyond that stay
-    ordinary and are left to the adaptive skew join.
+    Counting runs on the key column alone with map-side combining.
     """
     counted = table.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = counted.filter(F.col("n") > rows_per_split).orderBy(F.desc("n"), key).limit(HOT_KEY_LIMIT)
+    hot = counted.filter(F.col("n") > rows_per_split)
     return hot.select(key, F.ceil(F.col("n") / rows_per_split).cast("int").alias("_splits"))
 
 
@@ -34,7 +32,8 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     """
     if hot is None:
         return rows.join(lookup, key, how)
-    hot = F.broadcast(hot)
+    if hot.count() <= HOT_KEY_LIMIT:
+        hot = F.broadcast(hot)
     spread = F.xxhash64(*rows.columns) if spread_by is None else spread_by
     part = F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("_splits")).cast("int"))
     parted = rows.join(hot, key, "left").withColumn("_part", part).drop("_splits")

@@ -46,7 +46,8 @@ def distributed_rank(table: DataFrame, group: str, key: str, seed: int, rank: st
     The hash space is cut into ``slices``; a row's rank is the number of rows in
     the lower slices plus its place in its own slice, so a group of any size is
     shared by all tasks. Only the slice counts, at most ``slices`` rows per
-    group value, are ordered and joined back. ``total`` names a column for the
+    group value, are ordered and joined back. A null group ranks like any other.
+    ``total`` names a column for the
     size of the group.
     """
     hashed = table.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))).withColumn("_slice", _slice(slices))
@@ -57,7 +58,9 @@ def distributed_rank(table: DataFrame, group: str, key: str, seed: int, rank: st
         group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_size")
     )
     place = F.row_number().over(Window.partitionBy(group, "_slice").orderBy("_h", key))
-    joined = hashed.withColumn("_place", place).join(offsets, [group, "_slice"])
+    offsets = offsets.withColumnsRenamed({group: "_group", "_slice": "_of_slice"})
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_slice") == F.col("_of_slice"))
+    joined = hashed.withColumn("_place", place).join(offsets, same).drop("_group", "_of_slice")
     ranked = joined.withColumn(rank, (F.col("_before") + F.col("_place")).cast("bigint"))
     if total is not None:
         ranked = ranked.withColumn(total, F.col("_size"))

@@ -78,7 +78,7 @@ def _sample_section(samples: DataFrame, first: int = 3) -> DataFrame:
 def product_risk(products: DataFrame, alerts: DataFrame, aspects: DataFrame, reasons: DataFrame, samples: DataFrame) -> DataFrame:
     """The riskiest product with at least five reviews; rules and samples are context for the whole scope."""
     top = serving.top_negative_products(products, 1, 5)
-    own_alerts = serving.alerts_of(serving.alert_rows(alerts, 20), top, "parent_asin")
+    own_alerts = serving.alert_rows(serving.alerts_of(alerts, top, "parent_asin"), 20)
     return _all([
         _metrics(top, ["negative_rate", "negative_count", "review_count", "average_prediction_score"]),
         _product_ranking(products), _alert_section(own_alerts),
@@ -91,7 +91,7 @@ def store_risk(stores: DataFrame, alerts: DataFrame) -> DataFrame:
     top = serving.top_negative_stores(stores, 1, 20)
     ranking = _section(serving.top_negative_stores(stores, 10, 20), "ranking", _order("negative", ("store_key",)),
                        "store_key", "store_name", "negative_rate", "review_count", 3)
-    own_alerts = serving.alerts_of(serving.alert_rows(alerts, 20), top, "store_key")
+    own_alerts = serving.alert_rows(serving.alerts_of(alerts, top, "store_key"), 20)
     return _all([
         _metrics(top, ["negative_rate", "review_count", "product_count", "average_rating"]),
         ranking, _alert_section(own_alerts),

@@ -18,8 +18,11 @@ from reviewmill.functions.text import equals_ignore_case
 PRODUCT_GRAIN = ("parent_asin", "product_title", "store_name", "main_category")
 
 
-def clamp(value: int, low: int, high: int) -> int:
-    return max(low, min(high, int(value)))
+def positive(value: int) -> int:
+    """A number of rows to return; what is asked for is returned, whatever its size."""
+    if int(value) < 1:
+        raise ValueError("the limit must be at least 1")
+    return int(value)
 
 
 def min_reviews(table: DataFrame, n: int) -> DataFrame:
@@ -41,7 +44,7 @@ def _ranked(table: DataFrame, label: str, keys: tuple[str, ...]) -> list[Column]
 
 
 def _top(table: DataFrame, label: str, keys: tuple[str, ...], limit: int, least: int) -> DataFrame:
-    return min_reviews(table, least).orderBy(*_ranked(table, label, keys)).limit(clamp(limit, 1, 50))
+    return min_reviews(table, least).orderBy(*_ranked(table, label, keys)).limit(positive(limit))
 
 
 def kpi(overview: DataFrame) -> DataFrame:
@@ -85,7 +88,7 @@ def trend(daily: DataFrame, start: str | None = None, end: str | None = None, li
 def monthly_trend(monthly: DataFrame, last: int | None = None) -> DataFrame:
     if last is None:
         return monthly.orderBy("month_id")
-    return monthly.orderBy(F.desc("month_id")).limit(clamp(last, 1, 60)).orderBy("month_id")
+    return monthly.orderBy(F.desc("month_id")).limit(positive(last)).orderBy("month_id")
 
 
 def categories(table: DataFrame) -> DataFrame:
@@ -135,13 +138,13 @@ def alert_order() -> list[Column]:
 def alert_rows(alerts: DataFrame, limit: int = 20, level: str | None = None) -> DataFrame:
     if level:
         alerts = alerts.filter(equals_ignore_case("alert_level", level))
-    return alerts.orderBy(*alert_order()).limit(clamp(limit, 1, 200))
+    return alerts.orderBy(*alert_order()).limit(positive(limit))
 
 
 def sample_rows(samples: DataFrame, limit: int = 20, label: str | None = None) -> DataFrame:
     if label:
         samples = samples.filter(equals_ignore_case("pred_label", label))
-    return samples.orderBy("sample_rank", F.desc("pred_score"), "sample_id").limit(clamp(limit, 1, 150))
+    return samples.orderBy("sample_rank", F.desc("pred_score"), "sample_id").limit(positive(limit))
 
 
 def high_and_critical(alerts: DataFrame, limit: int = 20) -> DataFrame:

@@ -46,11 +46,14 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors can reach, named by ``spark.checkpoint.dir``.
 
-    A local folder is chosen only when the setting is absent, which is the case
-    for single-machine test sessions.
+    A local folder is chosen only for single-machine sessions without the setting;
+    on a cluster its absence is an error, as executors would not see each other's files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="reviewmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

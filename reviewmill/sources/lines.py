@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from reviewmill.functions.once import computed_once
 from reviewmill.functions.text import missing_or_blank
 
-# The most physical lines a bounded inspection may ask for.
-LINE_LIMIT = 1_000_000
 OBJECT, BLANK, MALFORMED, NON_OBJECT = "object", "blank", "malformed", "non_object"
 
 
@@ -75,15 +73,14 @@ def _block_offsets(lines: DataFrame) -> DataFrame:
 def first_lines(lines: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows in physical order, numbered from 1 in ``line_no``.
 
-    Only blocks that start before row ``n`` are kept, at most ``n`` of them
-    (each holds a row), so the list of kept blocks is bounded and is broadcast;
-    the rest of the input is dropped without a shuffle.
+    Only blocks that start before row ``n`` are kept. Their list is broadcast
+    where its measured size allows it, and joined otherwise.
     """
-    if not 1 <= n <= LINE_LIMIT:
-        raise ValueError(f"n must be between 1 and {LINE_LIMIT}")
+    if n < 1:
+        raise ValueError("n must be at least 1")
     needed = _block_offsets(lines).filter(F.col("before") < n)
     inside = Window.partitionBy("file", "block").orderBy("place")
-    numbered = lines.join(F.broadcast(needed), ["file", "block"]).withColumn(
+    numbered = lines.join(needed, ["file", "block"]).withColumn(
         "line_no", F.col("before") + F.row_number().over(inside)
     )
     return numbered.filter(F.col("line_no") <= n).drop("before")
