@@ -97,13 +97,15 @@ def leaks(documents: DataFrame, items: DataFrame, text_col: str = "text", item_i
     sampled = split.select("key", F.size("words").alias("size"), step.alias("step"), F.posexplode(_shingles(F.col("words"), step)).alias("at", "shingle"))
     hits = _looked_up(sampled, places, "shingle")
     start = F.greatest(F.lit(0), F.least(F.col("at") * F.col("step") - F.col("offset"), F.col("size") - F.col("n")))
-    hits = stored(hits.select("key", "item", start.alias("start")).distinct(), "leak-windows")
+    hits = stored(hits.select("key", "item", "n", start.alias("start")).distinct(), "leak-windows")
 
     texts = _looked_up(keyed, hits.select("key").distinct(), "key").dropDuplicates(["key"])
     texts = stored(texts.select("key", _words(F.col("text")).alias("words")), "leak-texts")
-    windows = texts.join(hits, "key").join(index, "item")
-    windows = computed_once(windows, "own", _shingles(F.slice("words", F.col("start") + 1, F.col("n")), F.lit(1)))
-    windows = computed_once(windows.drop("words", "shingles"), "own_mark", _fingerprint(F.col("own")))
+    # Windows are cut out before the second join, so that it never moves whole texts.
+    windows = computed_once(texts.join(hits, "key"), "window", F.slice("words", F.col("start") + 1, F.col("n")))
+    windows = windows.select("key", "item", "start", "window").join(index.drop("n", "shingles"), "item")
+    windows = computed_once(windows, "own", _shingles(F.col("window"), F.lit(1)))
+    windows = computed_once(windows.drop("window"), "own_mark", _fingerprint(F.col("own")))
     near = windows.filter(F.arrays_overlap(_blocks(F.col("own_mark"), radius), "blocks")) \
         .filter(F.bit_count(F.col("own_mark").bitwiseXOR(F.col("mark"))) <= radius)
     near = computed_once(near, "shared", F.size(F.array_intersect(_weighted(F.col("own")), "weighted")))
