@@ -107,8 +107,10 @@ def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     partners = stored(partners.select("h", "h2", "first", F.split("normal", " ").alias("words")), "partner-texts")
 
     keyed = partners.select("h", "h2", "first", F.explode(_variants(F.col("words"))).alias("variant"))
-    groups = keyed.groupBy("variant").agg(F.min(F.struct("first", "h", "h2")).alias("best"), F.max("first").alias("latest"))
-    groups = groups.filter("best.first < latest").drop("latest")
+    # Most variants stand alone: they are counted by hash only before anything else is moved.
+    twice = keyed.groupBy("variant").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("variant")
+    keyed = stored(keyed.join(twice, "variant"), "shared-variants")
+    groups = keyed.groupBy("variant").agg(F.min(F.struct("first", "h", "h2")).alias("best"))
     later = keyed.join(groups, "variant").filter(F.col("best.first") < F.col("first"))
     pairs = later.groupBy("h", "h2").agg(F.min("best").alias("best"))
     own = partners.select("h", "h2", "words")
