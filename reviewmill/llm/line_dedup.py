@@ -12,6 +12,9 @@ from reviewmill.llm.common import stored
 LEAST_WORDS = 5
 #: Line hashes up to this many are sent to all tasks; beyond that they are joined.
 BROADCAST_LINES = 1_000_000
+#: Words whose hashes are chained at a time. Longer lines chain block by block, with the same result: one chain
+#: copies itself for every word.
+BLOCK = 64
 
 
 def _normal(line: Column) -> Column:
@@ -47,9 +50,20 @@ def _variants(words: Column) -> Column:
     a key differ in that one place only. Prefixes and suffixes are hashed by the
     exclusive or of their words, each hashed with its place from that end.
     """
-    def running(hashes: Column) -> Column:
+    def chained(hashes: Column) -> Column:
         return F.aggregate(hashes, F.array(F.lit(0).cast("long")), lambda a, x: F.array_append(a, F.element_at(a, -1).bitwiseXOR(x)))
 
+    def joined(blocks: Column) -> Column:
+        before = chained(F.transform(blocks, lambda b: F.element_at(b, -1)))
+        pairs = F.arrays_zip(blocks.alias("block"), F.slice(before, 1, F.size(blocks)).alias("before"))
+        return F.concat(F.array(F.lit(0).cast("long")), F.flatten(F.transform(
+            pairs, lambda p: F.transform(F.slice(p["block"], 2, BLOCK), lambda x: x.bitwiseXOR(p["before"])))))
+
+    def running(hashes: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(words), F.lit(BLOCK))
+        blocks = F.transform(F.array(hashes), lambda h: F.transform(places, lambda i: chained(F.slice(h, i, BLOCK))))
+        return F.when(F.size(words) <= BLOCK, chained(hashes)).otherwise(F.flatten(F.transform(blocks, joined)))
+
     n = F.size(words)
     prefix = running(F.transform(words, lambda w, i: F.xxhash64(F.lit("p"), w, i)))
     suffix = running(F.transform(F.reverse(words), lambda w, i: F.xxhash64(F.lit("s"), w, i)))
