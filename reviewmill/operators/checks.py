@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.labels import is_label
 from reviewmill.functions.numbers import safe_rate
-from reviewmill.functions.text import is_blank, looks_like_smoke_model, review_key
+from reviewmill.functions.text import is_blank, looks_like_smoke_model, missing_or_blank, review_key
 from reviewmill.operators import aggregates as agg
 from reviewmill.operators.clean import eligible, for_batch, with_text
 from reviewmill.operators.joins import by_merge, metadata_match, unknown_keys
@@ -219,8 +219,8 @@ def reconcile_handoff(handoff_checks: DataFrame) -> DataFrame:
 def export_errors(batch: str) -> Column:
     """Error codes of one classifier-input row."""
     return codes({
-        "blank_review_key": is_blank("review_key"),
-        "blank_review_text": is_blank("review_text_clean"),
+        "blank_review_key": missing_or_blank("review_key"),
+        "blank_review_text": missing_or_blank("review_text_clean"),
         "invalid_rating_label": ~is_label("rating_label"),
         "rating_not_numeric": F.col("rating").isNull(),
         "rating_out_of_range": ~F.col("rating").between(1, 5),
@@ -244,15 +244,15 @@ def export_metrics(export: DataFrame) -> DataFrame:
     Rows are counted per key first, so distinct and duplicate keys come from the
     same pass as the other measures, with partial sums before the shuffle.
     """
-    blank_key = is_blank("review_key")
+    blank_key = missing_or_blank("review_key")
     present = {"parent_asin": "rows_with_parent_asin", "main_category": "rows_with_main_category", "review_time": "rows_with_review_time"}
     per_key = export.groupBy(F.when(~blank_key, F.col("review_key")).alias("k")).agg(
         F.count(F.lit(1)).alias("n"),
-        rows_where(is_blank("review_text_clean")).alias("blank_text"),
+        rows_where(missing_or_blank("review_text_clean")).alias("blank_text"),
         rows_where(~is_label("rating_label")).alias("bad_label"),
         *[rows_where(F.col("rating_label") == label).alias(label) for label in ("negative", "neutral", "positive")],
         F.min("rating").alias("low"), F.max("rating").alias("high"),
-        *[rows_where(~is_blank(F.col(c).cast("string"))).alias(name) for c, name in present.items()],
+        *[rows_where(~missing_or_blank(F.col(c).cast("string"))).alias(name) for c, name in present.items()],
     )
     has_key = F.col("k").isNotNull()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.labels import is_label
 from reviewmill.functions.once import computed_once
-from reviewmill.functions.text import is_blank
+from reviewmill.functions.text import missing_or_blank
 from reviewmill.functions.times import parse_utc
 from reviewmill.functions.variants import JsonField, open_fields
 from reviewmill.operators.predictions import codes, field_name_errors
@@ -32,14 +32,14 @@ def _score_ok(name: str) -> Column:
 def _record_errors(model: str) -> Column:
     """Error codes of one JSON object against the closed prediction schema."""
     version = F.col("model_version")
-    version_blank = is_blank("model_version")
+    version_blank = missing_or_blank("model_version")
     safe = version.rlike(MODEL_VERSION_PATTERN)
     optional_bad = F.lit(False)
     for name in PREDICTION_OPTIONAL:
         given = F.coalesce(F.col(f"_kind_{name}"), F.lit("null")) != "null"
         optional_bad = optional_bad | (given & ~_score_ok(name))
     values = codes({
-        "invalid_review_key": is_blank("review_key") | F.col("review_key").rlike(_CONTROL),
+        "invalid_review_key": missing_or_blank("review_key") | F.col("review_key").rlike(_CONTROL),
         "invalid_label": ~is_label("pred_label"),
         "invalid_score": ~_score_ok("pred_score"),
         "invalid_optional_score": optional_bad,
