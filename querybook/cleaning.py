@@ -11,6 +11,8 @@ from reviewmill.functions.serving_values import normalise
 from reviewmill.operators import clean, joins
 from reviewmill.operators import predictions as pred
 from reviewmill.operators.checks import bad_raw_values
+from reviewmill.session import scratch_path
+from reviewmill.sources import delimited, tables
 
 _RAW_KEY = ("sha256(concat(COALESCE(user_id, ''), '|#|', COALESCE(asin, ''), '|#|', COALESCE(parent_asin, ''), '|#|', "
             "COALESCE(CAST(review_timestamp AS VARCHAR), ''), '|#|', COALESCE(title, ''), '|#|', COALESCE(review_text, '')))")
@@ -208,11 +210,12 @@ def _parse_utc(spark, sf):
     return normalise(_time_texts(spark, sf).select("o_orderkey", times.parse_utc("raw").alias("at_time")))
 
 
-@query("load_timestamps")
+@query("load_timestamps", f"SELECT dt, true AS stamped_now, '{BATCH}' AS load_batch_id, '{MODEL}' AS model_version FROM dws_daily")
 def _load_timestamps(spark, sf):
     from reviewmill.operators.aggregates import sentiment_daily, stamp
 
-    return stamp(sentiment_daily(review_view(spark, sf)), BATCH, MODEL).select("dt", "generated_at", "load_batch_id", "model_version")
+    now = (F.col("generated_at") == F.current_timestamp()).alias("stamped_now")
+    return stamp(sentiment_daily(review_view(spark, sf)), BATCH, MODEL).select("dt", now, "load_batch_id", "model_version")
 
 
 # ---- filters -----------------------------------------------------------------
@@ -347,7 +350,9 @@ _MISSING = "SELECT DISTINCT parent_asin FROM raw_reviews WHERE trim(parent_asin)
 
 @query("missing_parent_sink", _MISSING)
 def _missing_parents(spark, sf):
-    return joins.missing_parents(raw_reviews(spark, sf), raw_metadata(spark, sf))
+    path = scratch_path(spark, "missing-parents")
+    delimited.write_keys(joins.missing_parents(raw_reviews(spark, sf), raw_metadata(spark, sf)), path)
+    return delimited.read_keys(spark, path, "parent_asin")
 
 
 @query("set_difference", "SELECT DISTINCT parent_asin FROM review_view WHERE trim(parent_asin) <> '' EXCEPT SELECT parent_asin FROM raw_metadata")
@@ -394,10 +399,12 @@ def _spot_check(spark, sf):
 
 @query("list_partitions", "SELECT DISTINCT load_batch_id, review_year FROM clean_table")
 def _partitions(spark, sf):
-    return clean_table(spark, sf).select("load_batch_id", "review_year").distinct()
+    path = scratch_path(spark, "clean")
+    tables.write_clean(clean_table(spark, sf), path)
+    return normalise(tables.partitions(spark.read.parquet(path), "load_batch_id", "review_year"))
 
 
-@query("uniform_sample")
+@query("uniform_sample", "SELECT doc_id, lang FROM documents ORDER BY sha256('42:' || doc_id), doc_id LIMIT 100")
 def _uniform(spark, sf):
     from reviewmill.operators.ranking import uniform_sample
 

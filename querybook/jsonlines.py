@@ -12,17 +12,18 @@ from reviewmill.functions.variants import JsonField, open_fields
 from reviewmill.operators import predictions as pred
 from reviewmill.operators import profile
 from reviewmill.schemas import REVIEW_JSON_FIELDS
+from reviewmill.session import scratch_path
 from reviewmill.sources import lines, prediction_files, records
 
 # One JSON review per order, with every kind of value and fault. `k` is the order key.
 _FIELDS = {
-    "rating": """CASE k % 8 WHEN 0 THEN '5' WHEN 1 THEN '5.0' WHEN 2 THEN '"4"' WHEN 3 THEN 'null' WHEN 4 THEN 'true'
-        WHEN 5 THEN '3.5' WHEN 6 THEN '0' ELSE '"$1,234.50"' END""",
-    "title": """CASE k % 5 WHEN 0 THEN 'null' WHEN 1 THEN NULL WHEN 2 THEN concat('"a', chr(92), 'tb ', k, '"')
-        WHEN 3 THEN '7.0' ELSE concat('"tïtle ', k, '"') END""",
+    "rating": """CASE k % 47 WHEN 3 THEN 'NaN' WHEN 5 THEN '-Infinity' WHEN 6 THEN '1e400' WHEN 8 THEN '2,"rating":4.5' ELSE CASE k % 8 WHEN 0 THEN '5' WHEN 1 THEN '5.0' WHEN 2 THEN '"4"' WHEN 3 THEN 'null' WHEN 4 THEN 'true'
+        WHEN 5 THEN '3.5' WHEN 6 THEN '0' ELSE '"$1,234.50"' END END""",
+    "title": """CASE WHEN k % 47 = 6 THEN '1e400' WHEN k % 47 = 8 THEN '7,"title":8.0' ELSE CASE k % 5 WHEN 0 THEN 'null' WHEN 1 THEN NULL WHEN 2 THEN concat('"a', chr(92), 'tb ', k, '"')
+        WHEN 3 THEN '7.0' ELSE concat('"tïtle ', k, '"') END END""",
     "text": """CASE k % 6 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN '"  "' WHEN 3 THEN concat('["x', chr(92), 'ny"]')
         ELSE concat('"review text ', k, '"') END""",
-    "images": """CASE k % 3 WHEN 0 THEN '[]' WHEN 1 THEN concat('[{"url":"u', chr(92), 'n', k, '","a":1.0}]') ELSE '"img"' END""",
+    "images": """CASE WHEN k % 47 = 8 THEN '["a"],"images":["b"]' ELSE CASE k % 3 WHEN 0 THEN '[]' WHEN 1 THEN concat('[{"url":"u', chr(92), 'n', k, '","a":1.0}]') ELSE '"img"' END END""",
     "asin": "concat('\"A', k, '\"')",
     "parent_asin": "CASE k % 9 WHEN 0 THEN '\" \"' WHEN 1 THEN '12' ELSE concat('\"P', k % 300, '\"') END",
     "user_id": "CASE WHEN k % 11 = 0 THEN 'null' ELSE concat('\"U', c, '\"') END",
@@ -46,6 +47,22 @@ def raw_lines(spark, sf):
     return computed_once(base, "value", value).selectExpr("value", "'orders' AS file", "k div 1000 AS block", "k AS place")
 
 
+def _as_files(table, name, order):
+    """Path of a folder of text files that hold ``value`` in the order of a column."""
+    path = scratch_path(table.sparkSession, name)
+    table.repartitionByRange(order).sortWithinPartitions(order).select("value").write.option("maxRecordsPerFile", 4000).text(path)
+    return path
+
+
+def _review_files(spark, sf):
+    return _as_files(raw_lines(spark, sf), "review-lines", "place")
+
+
+def _key_in_line():
+    """The order key in the asin of a line; null where the line is no review."""
+    return F.nullif(F.regexp_extract("value", '"asin":"A([0-9]+)"', 1), F.lit("")).cast("bigint").alias("k")
+
+
 def review_objects(spark, sf):
     return lines.objects(lines.classify(raw_lines(spark, sf)))
 
@@ -54,29 +71,32 @@ def review_objects(spark, sf):
   COUNT(*) FILTER (k % 50 = 11) AS malformed_json_count, COUNT(*) FILTER (k % 50 IN (13, 17)) AS non_object_json_count,
   COUNT(*) FILTER ({_OBJECT}) AS valid_object_count FROM (SELECT o_orderkey AS k FROM orders) o""")
 def _scan(spark, sf):
-    return lines.status_counts(lines.classify(raw_lines(spark, sf)))
+    return lines.status_counts(lines.read_jsonl(spark, _review_files(spark, sf)))
 
 
-@query("bounded_lines", """SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) AS line_no, o_orderkey AS place FROM orders ORDER BY o_orderkey LIMIT 1200""")
+@query("bounded_lines", f"""SELECT line_no, CASE WHEN {_OBJECT} THEN k END AS k FROM (
+  SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) AS line_no, o_orderkey AS k FROM orders ORDER BY o_orderkey LIMIT 1200) o""")
 def _bounded(spark, sf):
-    return lines.first_lines(raw_lines(spark, sf), 1200).select("line_no", "place")
+    return lines.first_lines(lines.read_lines(spark, _review_files(spark, sf)), 1200).select("line_no", _key_in_line())
 
 
-@query("first_n_valid", "SELECT ROW_NUMBER() OVER (ORDER BY k) AS line_no, k AS place FROM json_rows ORDER BY k LIMIT 1200")
+@query("first_n_valid", "SELECT ROW_NUMBER() OVER (ORDER BY k) AS line_no, k FROM json_rows ORDER BY k LIMIT 1200")
 def _first_valid(spark, sf):
-    return lines.first_valid(lines.classify(raw_lines(spark, sf)), 1200).select("line_no", "place")
+    return lines.first_valid(lines.read_jsonl(spark, _review_files(spark, sf)), 1200).select("line_no", _key_in_line())
 
 
 @query("malformed_examples", """SELECT line_no, 'invalid_json' AS error FROM (SELECT o_orderkey AS k, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS line_no FROM orders) o
   WHERE k % 50 = 11 ORDER BY line_no LIMIT 5""")
 def _malformed(spark, sf):
-    return lines.malformed_examples(lines.classify(lines.number_lines(raw_lines(spark, sf))))
+    return lines.malformed_examples(lines.classify(lines.number_lines(lines.read_lines(spark, _review_files(spark, sf)))))
 
 
 _TEXT_SQL = "CASE k % 6 WHEN 3 THEN '[\"x y\"]' WHEN 2 THEN '  ' WHEN 4 THEN 'review text ' || k WHEN 5 THEN 'review text ' || k END"
-_TITLE_SQL = "CASE k % 5 WHEN 2 THEN 'a b ' || k WHEN 3 THEN '7.0' WHEN 4 THEN 'tïtle ' || k END"
-_IMAGES_SQL = """CASE k % 3 WHEN 0 THEN '[]' WHEN 1 THEN '[{"url":"u ' || k || '","a":1.0}]' ELSE '"img"' END"""
-_RATING_SQL = "CASE k % 8 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 5.0 WHEN 2 THEN 4.0 WHEN 5 THEN 3.5 WHEN 6 THEN 0.0 END"
+# Numbers that are not finite count as missing, a repeated field has its last value.
+_ODD_RATING_SQL = "CASE WHEN k % 47 IN (3, 5, 6) THEN NULL WHEN k % 47 = 8 THEN 4.5::DOUBLE ELSE {0} END"
+_TITLE_SQL = "CASE WHEN k % 47 = 6 THEN 'inf' WHEN k % 47 = 8 THEN '8.0' ELSE CASE k % 5 WHEN 2 THEN 'a b ' || k WHEN 3 THEN '7.0' WHEN 4 THEN 'tïtle ' || k END END"
+_IMAGES_SQL = """CASE WHEN k % 47 = 8 THEN '["b"]' ELSE CASE k % 3 WHEN 0 THEN '[]' WHEN 1 THEN '[{"url":"u ' || k || '","a":1.0}]' ELSE '"img"' END END"""
+_RATING_SQL = _ODD_RATING_SQL.format("CASE k % 8 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 5.0 WHEN 2 THEN 4.0 WHEN 5 THEN 3.5 WHEN 6 THEN 0.0 END")
 _TIME_SQL = "CASE k % 7 WHEN 0 THEN ms WHEN 1 THEN ms // 1000 WHEN 4 THEN ms WHEN 5 THEN ms END"
 _PARENT_SQL = "CASE k % 9 WHEN 0 THEN ' ' WHEN 1 THEN '12' ELSE 'P' || (k % 300) END"
 _VOTE_SQL = "CASE k % 4 WHEN 0 THEN k % 10 WHEN 1 THEN -1 WHEN 2 THEN 3 END"
@@ -90,10 +110,10 @@ def _convert_review(spark, sf):
 
 
 _KINDS_SQL = {
-    "rating": "CASE k % 8 WHEN 0 THEN 'integer' WHEN 1 THEN 'number' WHEN 2 THEN 'string' WHEN 3 THEN 'null' WHEN 4 THEN 'boolean' WHEN 5 THEN 'number' WHEN 6 THEN 'integer' ELSE 'string' END",
-    "title": "CASE k % 5 WHEN 0 THEN 'null' WHEN 1 THEN NULL WHEN 3 THEN 'number' ELSE 'string' END",
+    "rating": "CASE WHEN k % 47 IN (3, 5, 6, 8) THEN 'number' ELSE CASE k % 8 WHEN 0 THEN 'integer' WHEN 1 THEN 'number' WHEN 2 THEN 'string' WHEN 3 THEN 'null' WHEN 4 THEN 'boolean' WHEN 5 THEN 'number' WHEN 6 THEN 'integer' ELSE 'string' END END",
+    "title": "CASE WHEN k % 47 IN (6, 8) THEN 'number' ELSE CASE k % 5 WHEN 0 THEN 'null' WHEN 1 THEN NULL WHEN 3 THEN 'number' ELSE 'string' END END",
     "text": "CASE k % 6 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 3 THEN 'array' ELSE 'string' END",
-    "images": "CASE k % 3 WHEN 2 THEN 'string' ELSE 'array' END",
+    "images": "CASE WHEN k % 3 = 2 AND k % 47 <> 8 THEN 'string' ELSE 'array' END",
     "asin": "'string'",
     "parent_asin": "CASE k % 9 WHEN 1 THEN 'integer' ELSE 'string' END",
     "user_id": "CASE WHEN k % 11 = 0 THEN 'null' ELSE 'string' END",
@@ -159,7 +179,7 @@ def _set_union(spark, sf):
     return dictionary.select("field", (F.col("status") != "missing").alias("is_observed"))
 
 
-_LENIENT_SQL = "CASE k % 8 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 5.0 WHEN 2 THEN 4.0 WHEN 5 THEN 3.5 WHEN 6 THEN 0.0 WHEN 7 THEN 1234.5 END"
+_LENIENT_SQL = _ODD_RATING_SQL.format("CASE k % 8 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 5.0 WHEN 2 THEN 4.0 WHEN 5 THEN 3.5 WHEN 6 THEN 0.0 WHEN 7 THEN 1234.5 END")
 _MOMENT_SQL = """CASE k % 7 WHEN 0 THEN t WHEN 1 THEN t WHEN 3 THEN TIMESTAMP '2020-02-03 04:05:06' WHEN 4 THEN t WHEN 5 THEN t END"""
 _RAW_TIME_SQL = "CASE k % 7 WHEN 0 THEN ms::DOUBLE WHEN 1 THEN (ms // 1000)::DOUBLE WHEN 3 THEN 1580702706.0 WHEN 4 THEN ms::DOUBLE WHEN 5 THEN ms::DOUBLE END"
 common_table("review_facts", f"""SELECT k, {_LENIENT_SQL} AS rating, {_MOMENT_SQL} AS moment, {_RAW_TIME_SQL} AS raw_time,
@@ -240,7 +260,7 @@ def _review_profile(spark, sf):
     return normalise(profile.review_profile(review_objects(spark, sf), profile.metadata_parents(metadata_objects(spark, sf))))
 
 
-@query("rating_distribution", "SELECT CASE rating WHEN 5 THEN '5' WHEN 4 THEN '4' WHEN 3.5 THEN '3.5' WHEN 0 THEN '0' ELSE '1234.5' END AS rating, COUNT(*) AS row_count FROM review_facts WHERE rating IS NOT NULL GROUP BY 1")
+@query("rating_distribution", "SELECT CASE rating WHEN 5 THEN '5' WHEN 4.5 THEN '4.5' WHEN 4 THEN '4' WHEN 3.5 THEN '3.5' WHEN 0 THEN '0' ELSE '1234.5' END AS rating, COUNT(*) AS row_count FROM review_facts WHERE rating IS NOT NULL GROUP BY 1")
 def _rating_distribution(spark, sf):
     return profile.rating_distribution(review_objects(spark, sf))
 
@@ -294,7 +314,7 @@ common_table("kept_rows", "SELECT * FROM prediction_rows WHERE g NOT IN (SELECT
 @query("prediction_jsonl_scan", """SELECT COUNT(*) AS physical_lines, COUNT(*) FILTER (g = 0) AS blank_lines, COUNT(*) FILTER (g = 1) AS malformed_json_count,
   COUNT(*) FILTER (g = 2) AS non_object_json_count, COUNT(*) FILTER (g > 2) AS valid_object_count FROM prediction_rows""")
 def _prediction_scan(spark, sf):
-    return lines.status_counts(lines.classify(prediction_lines(spark, sf)))
+    return lines.status_counts(prediction_files.read_predictions(spark, _as_files(prediction_lines(spark, sf), "prediction-lines", "line_no")))
 
 
 @query("prediction_record_check", """SELECT k AS line_no, COALESCE((SELECT string_agg(error, ',' ORDER BY error) FROM fault_codes f WHERE f.g = p.g), '') AS error_codes
@@ -319,6 +339,8 @@ def _intersection(spark, sf):
 
 
 def _count_of(code):
+    if code == "invalid_score":  # takes in the optional scores
+        return "(SELECT COUNT(*) FROM prediction_rows p JOIN fault_codes f ON f.g = p.g WHERE error IN ('invalid_score', 'invalid_optional_score')) AS invalid_score_count"
     return f"(SELECT COUNT(*) FROM prediction_rows p JOIN fault_codes f ON f.g = p.g WHERE error = '{code}') AS {code}_count"
 
 
@@ -337,6 +359,7 @@ _FAILED = sorted({c for cs in _CODES.values() for c in cs} | {"duplicate_key_mod
   {_DUPLICATES} AS duplicate_count, (SELECT COUNT(*) FROM prediction_rows WHERE g <> 0) AS prediction_row_count,
   CAST({_MATCHED} AS DOUBLE) / {_ALL_ROWS} AS coverage_rate, (SELECT COUNT(*) FROM prediction_rows WHERE g > 2) AS parsed_object_count,
   (SELECT COUNT(*) FROM prediction_rows WHERE g <> 0) - {_KEPT} AS invalid_record_count,
+  '{{"{MODEL}":' || {_KEPT} || '}}' AS model_version_distribution,
   '{",".join(_FAILED)}' AS failure_reasons, 'FAIL' AS validation_status, '{BATCH}' AS batch_id, '{MODEL}' AS expected_model_version,
   'm1_' || substring(sha256('{MODEL}'), 1, 12) AS model_version_partition, false AS allow_partial, 1.0::DOUBLE AS minimum_coverage""")
 def _file_check(spark, sf):

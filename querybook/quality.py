@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from querybook import aggregates as tables
@@ -9,6 +11,7 @@ from querybook.cleaning import clean_table
 from querybook.fixtures import BATCH, MODEL, predictions, raw_metadata, raw_reviews, review_view, text_view
 from querybook.registry import common_table, load, query
 from reviewmill.functions.serving_values import normalise
+from reviewmill.functions.times import parse_utc
 from reviewmill.operators import aggregates as agg
 from reviewmill.operators import checks, clean
 from reviewmill.operators import predictions as pred
@@ -225,24 +228,33 @@ def _export_record_check(spark, sf):
     return checked.select("review_key", "rating", F.concat_ws(",", "errors").alias("error_codes"))
 
 
-@query("run_summary", f"SELECT *, '{BATCH}' AS batch_id, 'production_v1.0' AS schema_version FROM export_facts")
+@query("run_summary", f"""SELECT *, '{BATCH}' AS batch_id, 'production_v1.0' AS schema_version, 'clean_reviews' AS source_table, 'data' AS output_name,
+  true AS has_time FROM export_facts""")
 def _summary(spark, sf):
-    return handoff_files.summary(_handoff(spark, sf), BATCH).drop("content_hash")
+    made = handoff_files.summary(_handoff(spark, sf), BATCH)
+    return made.withColumn("has_time", parse_utc("export_timestamp").isNotNull()).drop("content_hash", "export_timestamp")
 
 
 @query("export_manifest", f"""SELECT 'production_v1.0' AS schema_version, '{",".join(HANDOFF_FIELDS)}' AS field_order, '{BATCH}' AS batch_id,
-  true AS rating_label_is_weak_label, 8 AS meanings, 3 AS labels, COUNT(*) > 0 AS has_rows FROM export_table""")
+  true AS rating_label_is_weak_label, 8 AS meanings, 3 AS labels, COUNT(*) > 0 AS has_rows, 8 AS types, 'number' AS rating_type, 'clean_reviews' AS source_table,
+  'data' AS output_name, true AS has_statement, true AS has_time FROM export_table""")
 def _manifest(spark, sf):
     made = handoff_files.manifest(handoff_files.summary(_handoff(spark, sf), BATCH))
     return made.select(
         "schema_version", F.concat_ws(",", "field_order").alias("field_order"), "batch_id", "rating_label_is_weak_label",
-        F.size("field_meanings").alias("meanings"), F.size("label_mapping").alias("labels"), (F.col("content_hash") != "0").alias("has_rows"))
+        F.size("field_meanings").alias("meanings"), F.size("label_mapping").alias("labels"), (F.col("content_hash") != "0").alias("has_rows"),
+        F.size("expected_types").alias("types"), F.col("expected_types")["rating"].alias("rating_type"), "source_table", "output_name",
+        F.col("rating_label_statement").contains("not an NLP model prediction").alias("has_statement"),
+        parse_utc("generated_timestamp").isNotNull().alias("has_time"))
 
 
-@query("schema_columns", "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}', {i}, false)" for i, c in enumerate(HANDOFF_FIELDS, 1))
+@query("schema_columns", "SELECT c.*, (SELECT COUNT(*) FROM export_table) AS line_count FROM (VALUES "
+       + ", ".join(f"({i}, '{c}', {i}, false)" for i, c in enumerate(HANDOFF_FIELDS, 1))
        + ") c(position, column_name, expected_position, forbidden)")
 def _schema_columns(spark, sf):
-    return checks.schema_columns(_handoff(spark, sf))
+    path = scratch_path(spark, "handoff-lines")
+    handoff_files.write_jsonl(_handoff(spark, sf), path)
+    return checks.schema_columns(spark.read.text(path))
 
 
 # ---- predictions -----------------------------------------------------------------
@@ -469,18 +481,25 @@ def _refuse(spark, sf):
     return rows.select(*[F.lit(f).alias(n) for f, n in zip(facts, ("refused", "allowed_other", "allowed_forced"))], "row_count")
 
 
-@query("sample_sink", "SELECT 100 AS row_count, 100 AS key_count")
+@query("sample_sink", "SELECT doc_id, lang, sha256(text) AS text_hash FROM documents ORDER BY sha256('42:' || doc_id), doc_id LIMIT 100")
 def _sample_sink(spark, sf):
     from reviewmill.operators.ranking import uniform_sample
 
     path = scratch_path(spark, "samples")
     uniform_sample(load(spark, sf, "documents").select("doc_id", "text", "lang"), 100, "doc_id").write.json(path)
-    return spark.read.schema("doc_id BIGINT, text STRING, lang STRING").json(path).agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_distinct("doc_id").alias("key_count"))
+    back = spark.read.schema("doc_id BIGINT, text STRING, lang STRING").json(path)
+    return back.select("doc_id", "lang", F.sha2("text", 256).alias("text_hash"))
 
 
-@query("export_revalidate", "SELECT 0 AS differences")
+# A record of a wrong label and rating and a blank line are added to the written data.
+@query("export_revalidate", """SELECT unnest(['export_row_count', 'unique_review_key_count', 'invalid_rating_label_count', 'maximum_rating', 'invalid_records', 'blank_lines', 'content_hash']) AS fact,
+  unnest([CAST(export_row_count AS VARCHAR), CAST(unique_review_key_count AS VARCHAR), CAST(invalid_rating_label_count AS VARCHAR), CAST(maximum_rating AS VARCHAR), '0', '0', NULL]) AS stated,
+  unnest([CAST(export_row_count + 1 AS VARCHAR), CAST(unique_review_key_count + 1 AS VARCHAR), CAST(invalid_rating_label_count + 1 AS VARCHAR), '9.0', '1', '1', NULL]) AS found FROM export_facts""")
 def _revalidate(spark, sf):
     path = scratch_path(spark, "handoff")
     handoff_files.export(_handoff(spark, sf), path, BATCH)
-    return handoff_files.revalidate(spark, path, BATCH).agg(F.count(F.lit(1)).alias("differences"))
+    planted = {"review_key": "planted", "review_text_clean": "x", "rating_label": "unknown", "rating": 9.0,
+               "parent_asin": None, "main_category": None, "review_time": None, "load_batch_id": BATCH}
+    spark.createDataFrame([(json.dumps(planted),), (" ",)], "value string").write.mode("append").text(f"{path}/{handoff_files.DATA}")
+    known = F.col("fact") != "content_hash"
+    return handoff_files.revalidate(spark, path, BATCH).select("fact", *[F.when(known, F.col(c)).alias(c) for c in ("stated", "found")])

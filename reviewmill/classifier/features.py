@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
 from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,9 +99,21 @@ def fit_features(table: DataFrame, text: str, settings: FeatureSettings = Featur
     return learn_from_terms(with_terms(table.select(text), text).select("terms"), settings)
 
 
+def _counter(vocabulary: list[str]) -> CountVectorizerModel:
+    """A counter of these terms. They reach the JVM as one text: an array would be filled by one call per term."""
+    if not vocabulary:
+        return CountVectorizerModel.from_vocabulary([], "terms", "_counts")
+    jvm = SparkSession.active().sparkContext._jvm
+    terms = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(vocabulary))
+    counter = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", terms)
+    counter._set(vocabSize=len(vocabulary))
+    return counter.setInputCol("terms").setOutputCol("_counts")
+
+
 def learn_from_terms(terms: DataFrame, settings: FeatureSettings = FeatureSettings()) -> FeatureModel:
     """Vocabulary and document frequencies. Terms are taken by count, ties by the term
-    itself, so the vocabulary never depends on how the input is partitioned."""
+    itself, so the vocabulary never depends on how the input is partitioned. One row
+    per chosen term, ``settings.max_terms`` at most, comes to the driver."""
     rows = terms.count()
     counts = terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
     documents = terms.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
@@ -108,7 +121,6 @@ def learn_from_terms(terms: DataFrame, settings: FeatureSettings = FeatureSettin
     known = documents.filter(F.col("documents") >= (least if least >= 1.0 else least * rows))
     if share < 1.0:
         known = known.filter(F.col("documents") <= share * rows)
-    chosen = known.join(counts, "term").orderBy(F.desc("uses"), "term").limit(settings.max_terms).select("term").collect()
-    counter = CountVectorizerModel.from_vocabulary([row.term for row in chosen], "terms", "_counts")
-    frequencies = IDF(inputCol="_counts", outputCol="_idf").fit(counter.transform(terms).select("_counts"))
-    return FeatureModel(counter, DenseVector(frequencies.idf.toArray() + 1.0))
+    chosen = known.join(counts, "term").orderBy(F.desc("uses"), "term").limit(settings.max_terms).select("term", "documents").collect()
+    counter = _counter([row.term for row in chosen])
+    return FeatureModel(counter, DenseVector([math.log((rows + 1) / (row.documents + 1)) + 1.0 for row in chosen]))

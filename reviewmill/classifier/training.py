@@ -88,8 +88,13 @@ def fit(train: DataFrame, c: float = 0.5, text: str = "review_text_clean", label
 
 def _fit_each(train: DataFrame, grid: tuple[float, ...], text: str, label: str, max_iterations: int,
               settings: FeatureSettings) -> list[SentimentModel]:
-    """One model per C over the same features, which are computed and kept once."""
-    terms = with_terms(train.select(text, label), text).select("terms", label).persist(StorageLevel.MEMORY_AND_DISK)
+    """One model per C over the same features, which are computed and kept once.
+
+    Rows whose label is none of the known ones teach nothing and are left out.
+    The words are cut anew for each pass: kept, they would be several times the text.
+    """
+    labelled = train.filter(F.col(label).isin(*LABELS))
+    terms = with_terms(labelled.select(text, label), text).select("terms", label)
     features = learn_from_terms(terms, settings)
     ready = with_balanced_weights(features.transform_terms(terms), label).select(
         "features", "weight", label_number(label).alias("label")
@@ -105,7 +110,6 @@ def _fit_each(train: DataFrame, grid: tuple[float, ...], text: str, label: str,
         ]
     finally:
         ready.unpersist()
-        terms.unpersist()
 
 
 @dataclass

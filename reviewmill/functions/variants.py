@@ -2,8 +2,10 @@
 
 A line is parsed once into a VARIANT. The type of every field that is read is
 taken once too, as a column of its own (:func:`open_fields`), because the typed
-reads below look at it several times. The line text is consulted only where the
-VARIANT has normalised the spelling away (``5.0`` against ``5``, key order).
+reads below look at it several times. Where the VARIANT has normalised the spelling
+away (``5.0`` against ``5``, key order), the text of the field is read, which one
+more parse of the line gives for all fields. A repeated field has its last value
+in both.
 """
 
 from __future__ import annotations
@@ -12,12 +14,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewmill.functions.numbers import finite, text_to_integer, text_to_number, whole_or_null
 from reviewmill.functions.text import sanitize
 
 # An escaped line break, tab or field delimiter that is not itself escaped.
 _ESCAPED_CONTROL = r"(?<!\\)((?:\\\\)*)\\(?:[rnt]|u0001)"
+_TEXTS = "_texts"
 
 
 def sanitize_json(c: Column) -> Column:
@@ -48,11 +52,15 @@ def _schema_column(name: str) -> str:
     return f"_type_{name}"
 
 
-def open_fields(objects: DataFrame, *names: str, variant: str = "v") -> DataFrame:
-    """Add the type of each named field, for :class:`JsonField`; null where the field is absent."""
+def open_fields(objects: DataFrame, *names: str, variant: str = "v", line: str = "value") -> DataFrame:
+    """Add, for :class:`JsonField`, the type of each named field (null where it is absent) and its text.
+
+    All texts come from one parse, which is left out where none of them is read.
+    """
+    texts = F.from_json(F.col(line), StructType([StructField(name, StringType()) for name in names]))
     return objects.withColumns({
-        _schema_column(name): F.schema_of_variant(F.try_variant_get(F.col(variant), f"$.{name}", "variant"))
-        for name in names
+        _TEXTS: texts,
+        **{_schema_column(name): F.schema_of_variant(F.try_variant_get(F.col(variant), f"$.{name}", "variant")) for name in names},
     })
 
 
@@ -62,7 +70,6 @@ class JsonField:
 
     name: str
     variant: str = "v"
-    line: str = "value"
 
     @property
     def schema(self) -> Column:
@@ -70,8 +77,8 @@ class JsonField:
 
     @property
     def raw(self) -> Column:
-        """Text of the field as written; strings lose their quotes."""
-        return F.get_json_object(F.col(self.line), f"$.{self.name}")
+        """Text of the field; strings lose their quotes, numbers beyond a double have some."""
+        return F.col(_TEXTS).getField(self.name)
 
     @property
     def kind(self) -> Column:
@@ -86,24 +93,35 @@ class JsonField:
     def _is_number(self) -> Column:
         return self.schema.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
 
+    def _is_not_finite(self) -> Column:
+        """NaN, an infinity, or a number too large for a double."""
+        return (self.schema == "DOUBLE") & ~(F.abs(self._get("double")) < float("inf"))
+
+    def _bare(self) -> Column:
+        """Text of a number that is not finite: NaN, Infinity or -Infinity."""
+        return F.replace(self.raw, F.lit('"'), F.lit(""))
+
     def _has_value(self) -> Column:
-        """Present and not null; the line text need not be searched otherwise."""
+        """Present and not null."""
         return self.schema != "VOID"
 
     def as_string(self) -> Column:
-        """Strings sanitised, nested values as compact JSON, numbers as written."""
+        """Strings sanitised, nested values as compact JSON, numbers as text (nan, inf and -inf beyond a double)."""
         return (
             F.when(self._is_string(), sanitize(self._get("string")))
+            .when(self._is_not_finite(), F.lower(F.replace(self._bare(), F.lit("inity"), F.lit(""))))
             .when(self._has_value(), sanitize_json(self.raw))
         )
 
     def as_json(self) -> Column:
         """Compact JSON text of any value; strings keep their quotes."""
-        quoted = F.when(self._is_string(), F.to_json(self._get("variant"))).when(self._has_value(), self.raw)
+        quoted = F.when(self._is_string(), F.to_json(self._get("variant"))).when(self._is_not_finite(), self._bare()) \
+            .when(self._has_value(), self.raw)
         return sanitize_json(quoted)
 
     def as_raw_price(self) -> Column:
-        return self.as_string()
+        """As :meth:`as_string`; numbers in JSON spelling."""
+        return F.when(self._is_not_finite(), self._bare()).otherwise(self.as_string())
 
     def as_number(self) -> Column:
         return (

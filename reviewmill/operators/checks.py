@@ -171,13 +171,14 @@ def reconcile_counts(export: DataFrame, clean: DataFrame) -> DataFrame:
     )
 
 
-def schema_columns(export: DataFrame) -> DataFrame:
-    """Column names in order with the position the contract gives them."""
-    expected = {name: i for i, name in enumerate(HANDOFF_FIELDS, 1)}
-    rows = [(i, name, expected.get(name), name in HANDOFF_FORBIDDEN) for i, name in enumerate(export.columns, 1)]
-    return export.sparkSession.createDataFrame(
-        rows, "position int, column_name string, expected_position int, forbidden boolean"
-    )
+def schema_columns(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Position and name of the fields that the JSON lines of an export carry, with the position
+    the contract gives them (null for others) and the number of lines."""
+    fields = lines.select(F.posexplode(F.json_object_keys(value)).alias("at", "column_name"))
+    place = F.array_position(F.array(*[F.lit(name) for name in HANDOFF_FIELDS]), F.col("column_name")).cast("int")
+    return fields.groupBy("at", "column_name").agg(F.count(F.lit(1)).alias("line_count")).select(
+        (F.col("at") + 1).alias("position"), "column_name", F.nullif(place, F.lit(0)).alias("expected_position"),
+        F.col("column_name").isin(*HANDOFF_FORBIDDEN).alias("forbidden"), "line_count")
 
 
 def check_handoff(clean: DataFrame, export: DataFrame, batch: str) -> DataFrame:
@@ -283,49 +284,59 @@ def reconcile_export(metrics: DataFrame) -> DataFrame:
 
 # ---- predictions -----------------------------------------------------------------
 def check_import(staged: DataFrame, imported: DataFrame, reviews: DataFrame, view: DataFrame, batch: str, model: str) -> DataFrame:
-    """(name, value) rows about staged and imported predictions of one model."""
+    """(name, value) rows about staged and imported predictions of one model.
+
+    Staged, imported and review rows are marked, united and summed per key and
+    model, then per key; all but the row count of the view follows from that table.
+    """
     staged, imported, reviews = (for_batch(t, batch) for t in (staged, imported, reviews))
     optional = reduce(Column.__or__, [~null_or_in_unit(c) for c in PREDICTION_OPTIONAL])
-    of_model = F.col("model_version") == model
-    pair = ("review_key", "model_version")
-
-    def totals(pairs: DataFrame, **renamed: str) -> DataFrame:
-        """Sums over the pairs, and the pairs with more than one row."""
-        repeated = F.count(F.when(F.col("rows") > 1, 1))
-        return pairs.agg(*[
-            (repeated if c == "repeated" else F.coalesce(F.sum(c), F.lit(0))).alias(name) for name, c in renamed.items()
-        ])
-
-    # Rows are counted per (key, model) first: sums, repeated pairs and the joins
-    # below all start from one row per pair.
-    staged_pairs = staged.groupBy(*pair).agg(
-        F.count(F.lit(1)).alias("rows"),
-        rows_where(is_valid(model)).alias("valid"),
-        rows_where(~is_label("pred_label")).alias("label"),
-        rows_where(~in_unit("pred_score") | optional).alias("score"),
-        rows_where(is_blank("model_version")).alias("version"),
-        rows_where(F.col("inferred_at").isNull()).alias("time"),
-    )
-    staging = totals(
-        staged_pairs, staging_row_count="rows", valid_staging_row_count="valid", invalid_label_count="label",
-        invalid_score_count="score", blank_model_version_count="version", invalid_inferred_timestamp_count="time",
-        duplicate_staging_prediction_key_groups="repeated",
-    )
-    unknown = unknown_keys(staged_pairs.filter(of_model), reviews).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("unknown_review_key_count"))
     bad = ~is_label("pred_label") | ~in_unit("pred_score") | F.col("inferred_at").isNull()
-    pairs = imported.filter(of_model).groupBy(*pair).agg(F.count(F.lit(1)).alias("rows"), rows_where(bad).alias("bad"))
-    production = totals(
-        pairs, production_sentiment_row_count="rows", invalid_production_row_count="bad",
-        duplicate_production_prediction_key_groups="repeated",
+
+    def marked(table: DataFrame, version: Column, **conditions: Column) -> DataFrame:
+        marks = [F.coalesce(condition, F.lit(False)).cast("long").alias(name) for name, condition in conditions.items()]
+        return table.select("review_key", version.alias("model_version"), *marks)
+
+    def total(c: str | Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0))
+
+    one, version = F.lit(True), F.col("model_version")
+    faults = {
+        "valid_staging_row_count": is_valid(model),
+        "invalid_label_count": ~is_label("pred_label"),
+        "invalid_score_count": ~in_unit("pred_score") | optional,
+        "blank_model_version_count": is_blank("model_version"),
+        "invalid_inferred_timestamp_count": F.col("inferred_at").isNull(),
+    }
+    parts = (marked(staged, version, staged=one, **faults), marked(imported, version, imported=one, bad=bad),
+             marked(reviews, F.lit(None).cast("string"), reviews=one))
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    pairs = united.groupBy("review_key", "model_version").agg(*[total(c).alias(c) for c in ("staged", *faults, "imported", "bad", "reviews")])
+
+    def of_model(value: Column | str) -> Column:
+        return F.when(version == model, value)
+
+    keys = pairs.groupBy("review_key").agg(
+        *[F.sum(c).alias(c) for c in ("staged", *faults, "reviews")],
+        F.count(F.when(F.col("staged") > 1, 1)).alias("staged_twice"),
+        total(of_model(F.col("staged"))).alias("staged_of_model"),
+        total(of_model(F.col("imported"))).alias("imported"), total(of_model(F.col("bad"))).alias("bad"),
+        F.count(of_model(F.when(F.col("imported") > 1, 1))).alias("imported_twice"),
+    )
+    # As in a join, a null key meets nothing.
+    found = F.when(F.col("review_key").isNotNull(), F.col("imported")).otherwise(0)
+    known = F.col("review_key").isNotNull() & (F.col("reviews") > 0)
+    counts = keys.agg(
+        total("staged").alias("staging_row_count"), *[total(c).alias(c) for c in faults],
+        total("staged_twice").alias("duplicate_staging_prediction_key_groups"),
+        total(F.when(~known, F.col("staged_of_model"))).alias("unknown_review_key_count"),
+        total("imported").alias("production_sentiment_row_count"), total("bad").alias("invalid_production_row_count"),
+        total("imported_twice").alias("duplicate_production_prediction_key_groups"),
+        total(F.when(found == 0, F.col("reviews"))).alias("missing_review_key_count"),
+        safe_rate(total(F.col("reviews") * found), total(F.col("reviews") * F.greatest(found, F.lit(1)))).alias("prediction_coverage"),
     )
-    covered = reviews.select("review_key").join(by_merge(pairs.select("review_key", "rows")), "review_key", "left").agg(
-        rows_where(F.col("rows").isNull()).alias("missing_review_key_count"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("covered"),
-        F.coalesce(F.sum(F.coalesce("rows", F.lit(1))), F.lit(0)).alias("total"),
-    ).select("missing_review_key_count", safe_rate("covered", "total").alias("prediction_coverage"))
     joined = agg.scope(view, batch, model).agg(F.count(F.lit(1)).alias("joined_view_row_count"))
-    return together(*map(as_rows, (staging, unknown, production, covered, joined)))
+    return together(as_rows(counts), as_rows(joined))
 
 
 def reconcile_import(import_checks: DataFrame) -> DataFrame:

@@ -28,16 +28,20 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
 
     With ``hot`` (from :func:`hot_keys`), rows of a hot key are spread over
     several tasks and only that key's lookup rows are repeated, so every row
-    still meets its match exactly once.
+    still meets its match exactly once. Rows without a key meet nothing; they are
+    spread over all tasks by ``spread_by`` (by all columns, if it is not given).
     """
+    spread = F.xxhash64(*rows.columns) if spread_by is None else spread_by
     if hot is None:
-        return rows.join(lookup, key, how)
+        part = F.when(F.col(key).isNull(), spread).otherwise(F.lit(0).cast("bigint"))
+        # Always 0, but no literal: a literal would be taken out of the join's keys.
+        only = lookup.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(1).cast("bigint")))
+        return rows.withColumn("_part", part).join(only, [key, "_part"], how).drop("_part")
     if hot.count() <= HOT_KEY_LIMIT:
         hot = F.broadcast(hot)
-    spread = F.xxhash64(*rows.columns) if spread_by is None else spread_by
-    part = F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("_splits")).cast("int"))
+    part = F.when(F.col(key).isNull(), spread).when(F.col("_splits").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(spread, F.col("_splits").cast("bigint")))
     parted = rows.join(hot, key, "left").withColumn("_part", part).drop("_splits")
-    every_part = F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)
+    every_part = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_splits", F.lit(1)).cast("bigint") - 1)
     repeated = lookup.join(hot, key, "left").withColumn("_part", F.explode(every_part)).drop("_splits")
     return parted.join(repeated, [key, "_part"], how).drop("_part")
 

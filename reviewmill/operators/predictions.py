@@ -156,6 +156,8 @@ def validate_predictions(checked: DataFrame, known: DataFrame, batch: str, model
     ``checked`` has the prediction columns, ``line_no`` and ``errors``; ``known``
     has the review keys of the batch. Rows with the same key and model are
     folded before any join, so a key repeated without bound is one row there.
+    ``invalid_score_count`` takes in faults of the optional scores, which are also
+    counted apart.
     """
     if not 0 <= minimum_coverage <= 1:
         raise ValueError("minimum coverage must lie between 0 and 1")
@@ -206,7 +208,11 @@ def validate_predictions(checked: DataFrame, known: DataFrame, batch: str, model
         "partial_file_not_allowed": (F.col("missing_key_count") > 0) & F.lit(not allow_partial),
         "no_review_keys": F.col("dwd_key_count") == 0,
     })
+    valid = F.col("valid_prediction_row_count")
     return row.drop("clean_rows").withColumns({
+        "invalid_score_count": F.col("invalid_score_count") + F.col("invalid_optional_score_count"),
+        # Valid rows carry the expected version only.
+        "model_version_distribution": F.when(valid > 0, F.to_json(F.create_map(F.lit(model), valid))).otherwise(F.lit("{}")),
         "failure_reasons": F.concat_ws(",", F.array_sort(failures)),
         "validation_status": F.when(F.size(failures) == 0, F.lit("PASS")).otherwise(F.lit("FAIL")),
         "batch_id": F.lit(batch),

@@ -20,11 +20,11 @@ def _rows(condition: Column) -> Column:
 
 def exploded_fields(objects: DataFrame) -> DataFrame:
     """One row per object field: its name ``field``, value ``node`` and JSON ``kind``."""
-    source = objects.select(F.col("value").alias("_line"), F.col("v").alias("_v"))
+    source = objects.select(F.from_json("value", "map<string,string>").alias("_texts"), F.col("v").alias("_v"))
     fields = source.lateralJoin(source.sparkSession.tvf.variant_explode(F.col("_v").outer()))
     typed = fields.withColumn("_type", F.schema_of_variant("value"))
-    path = F.concat(F.lit("$['"), F.col("key"), F.lit("']"))
-    raw = F.call_function("get_json_object", F.col("_line"), path)
+    # Of a repeated field the last text, as the VARIANT has the last value.
+    raw = F.element_at(F.filter(F.map_entries("_texts"), lambda e: e["key"] == F.col("key")), -1)["value"]
     return typed.select(F.col("key").alias("field"), F.col("value").alias("node"), kind_of(F.col("_type"), raw).alias("kind"))
 
 

@@ -77,4 +77,4 @@ def _slice(slices: int) -> Column:
 
 def uniform_sample(table: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a seeded hash: uniform, and the same on every run."""
-    return table.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return table.orderBy(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256), key).limit(n)

@@ -28,6 +28,17 @@ HANDOFF_MEANINGS = {
     "review_time": "Parsed review timestamp.",
     "load_batch_id": "Warehouse production batch identifier.",
 }
+HANDOFF_TYPES = {
+    "review_key": "string",
+    "review_text_clean": "string",
+    "rating_label": "string enum: negative|neutral|positive",
+    "rating": "number",
+    "parent_asin": "string|null",
+    "main_category": "string|null",
+    "review_time": "string|null (Hive timestamp)",
+    "load_batch_id": "string",
+}
+WEAK_LABEL_STATEMENT = "rating_label is derived from star rating and is not an NLP model prediction."
 WEAK_LABEL_MAPPING = {"rating_1_to_2": "negative", "rating_3": "neutral", "rating_4_to_5": "positive"}
 
 PREDICTION_REQUIRED = ("review_key", "pred_label", "pred_score", "model_version", "inferred_at")

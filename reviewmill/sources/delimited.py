@@ -77,6 +77,15 @@ def write_raw(table: DataFrame, path: str, batch: str, columns: str = RAW_REVIEW
     _write(table, path, batch, columns)
 
 
+def write_keys(keys: DataFrame, path: str) -> None:
+    """One key per line, in the order given."""
+    keys.write.mode("overwrite").text(path)
+
+
+def read_keys(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.text(path).withColumnRenamed("value", name)
+
+
 def write_staging(predictions: DataFrame, path: str, batch: str) -> None:
     """Write checked predictions of one batch as nine fields, the last one being the batch."""
     _write(predictions, path, batch, PREDICTION_STAGING, F.lit(batch))

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.once import computed_once
 from reviewmill.functions.text import missing_or_blank
+from reviewmill.session import scratch_path
 
+#: Lists of blocks up to this many rows are sent to all tasks; longer ones are joined.
+BROADCAST_BLOCKS = 500_000
 OBJECT, BLANK, MALFORMED, NON_OBJECT = "object", "blank", "malformed", "non_object"
 
 
@@ -30,10 +33,13 @@ def classify(lines: DataFrame, value: str = "value") -> DataFrame:
     """Add the parsed value ``v`` and the ``status`` of each line.
 
     Text that is no JSON at all is malformed; JSON that is not an object is
-    counted apart. The literals NaN and Infinity are not JSON here.
+    counted apart. Lines that fail for the bare literals NaN and Infinity are parsed
+    once more by a reader that knows these numbers.
     """
     text = F.col(value)
-    parsed = computed_once(lines, "v", F.try_parse_json(text))
+    may_hold = text.rlike("NaN|Infinity") & text.rlike(r"(NaN|Infinity|[\]}])\s*$")
+    again = F.when(may_hold, F.from_json(text, "variant", {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}))
+    parsed = computed_once(lines, "v", F.coalesce(F.try_parse_json(text), again))
     status = (
         F.when(missing_or_blank(text), F.lit(BLANK))
         .when(F.col("v").isNull(), F.lit(MALFORMED))
@@ -63,41 +69,58 @@ def status_counts(classified: DataFrame) -> DataFrame:
     )
 
 
-def _block_offsets(lines: DataFrame) -> DataFrame:
-    """Rows before each block. One row per block: a small table even for very large inputs."""
-    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("rows"))
-    before = Window.partitionBy(F.lit(1)).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.select("file", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+def _blocks(lines: DataFrame) -> DataFrame:
+    """Rows, first place and rows before, of each block; one pass over the lines, written once.
+
+    Offsets are summed up within each file; across files one row per file is
+    summed, and the driver lists the files of an input anyway.
+    """
+    counted = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("start"))
+    counted = _kept(counted, "blocks")
+    earlier = Window.unboundedPreceding, -1
+    within = Window.partitionBy("file").orderBy("block").rowsBetween(*earlier)
+    files = counted.groupBy("file").agg(F.sum("rows").alias("rows"))
+    files = files.select("file", F.coalesce(F.sum("rows").over(Window.orderBy("file").rowsBetween(*earlier)), F.lit(0)).alias("before_file"))
+    placed = counted.withColumn("before_block", F.coalesce(F.sum("rows").over(within), F.lit(0))).join(files, "file")
+    return _kept(placed.select("file", "block", "rows", "start", (F.col("before_file") + F.col("before_block")).alias("before")), "block-offsets")
+
+
+def _kept(table: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def _with_blocks(lines: DataFrame, blocks: DataFrame, how: str) -> DataFrame:
+    return lines.join(F.broadcast(blocks) if blocks.count() <= BROADCAST_BLOCKS else blocks, ["file", "block"], how)
 
 
 def first_lines(lines: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows in physical order, numbered from 1 in ``line_no``.
 
-    Only blocks that start before row ``n`` are kept. Their list is broadcast
-    where its measured size allows it, and joined otherwise.
+    Only blocks that start before row ``n`` are kept.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    needed = _block_offsets(lines).filter(F.col("before") < n)
+    needed = _blocks(lines).filter(F.col("before") < n).select("file", "block", "before")
     inside = Window.partitionBy("file", "block").orderBy("place")
-    numbered = lines.join(needed, ["file", "block"]).withColumn(
-        "line_no", F.col("before") + F.row_number().over(inside)
-    )
+    numbered = _with_blocks(lines, needed, "inner").withColumn("line_no", F.col("before") + F.row_number().over(inside))
     return numbered.filter(F.col("line_no") <= n).drop("before")
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
-    """All physical lines with their line number, without moving them.
+    """All physical lines with their line number.
 
     Only for unfiltered lines: inside a block the places are then consecutive,
-    so a line's number follows from the first place of its block. The joined
-    table has one row per block.
+    so a line's number follows from the first place of its block. The table of
+    blocks is sent to the lines where its measured size allows it. The input is
+    read twice; if the second reading cuts it into other blocks, as it may when
+    the number of cores has changed, the job fails instead of counting wrongly.
     """
-    starts = lines.groupBy("file", "block").agg(F.min("place").alias("start"))
-    offsets = _block_offsets(lines).join(starts, ["file", "block"])
-    return lines.join(offsets, ["file", "block"]).withColumn(
-        "line_no", F.col("before") + F.col("place") - F.col("start") + 1
-    ).drop("before", "start")
+    place = F.col("place") - F.col("start")
+    changed = F.raise_error(F.lit("the blocks of the input have changed between two readings")).cast("bigint")
+    line_no = F.when((place >= 0) & (place < F.col("rows")), F.col("before") + place + 1).otherwise(changed)
+    return _with_blocks(lines, _blocks(lines), "left").withColumn("line_no", line_no).drop("before", "start", "rows")
 
 
 def first_valid(classified: DataFrame, n: int) -> DataFrame:

@@ -12,6 +12,7 @@ from reviewmill.functions.times import parse_utc
 from reviewmill.functions.variants import JsonField, open_fields
 from reviewmill.operators.predictions import codes, field_name_errors
 from reviewmill.schemas import MODEL_VERSION_PATTERN, PREDICTION_OPTIONAL
+from reviewmill.session import scratch_path
 from reviewmill.sources.delimited import write_staging
 from reviewmill.sources.lines import BLANK, MALFORMED, NON_OBJECT, OBJECT, classify, number_lines, read_lines
 
@@ -48,7 +49,9 @@ def _record_errors(model: str) -> Column:
         "model_version_mismatch": ~version_blank & safe & (version != model),
         "invalid_timestamp": F.col("inferred_at").isNull(),
     })
-    return F.concat(field_name_errors(F.json_object_keys("value")), values)
+    # Lines with NaN or Infinity are no JSON to the first reader of names.
+    names = F.coalesce(F.json_object_keys("value"), F.map_keys(F.from_json("value", "map<string,string>")))
+    return F.concat(field_name_errors(names), values)
 
 
 def check_records(classified: DataFrame, model: str) -> DataFrame:
@@ -76,7 +79,10 @@ def check_records(classified: DataFrame, model: str) -> DataFrame:
 
 
 def stage(checked: DataFrame, path: str, batch: str) -> None:
-    """Write checked predictions to the staging area; all or nothing."""
+    """Write checked predictions to the staging area; all or nothing. ``checked`` is evaluated once."""
+    once = scratch_path(checked.sparkSession, "checked-predictions")
+    checked.write.parquet(once)
+    checked = checked.sparkSession.read.schema(checked.schema).parquet(once)
     if checked.filter(F.size("errors") > 0).limit(1).count():
         raise ValueError("the prediction file has invalid records")
     repeated = checked.groupBy("review_key", "model_version").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

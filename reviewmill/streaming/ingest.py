@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reviewmill.classifier.training import SentimentModel, prediction_output
-from reviewmill.session import shared_folder
 from reviewmill.sources.lines import classify, objects
 from reviewmill.sources.records import to_metadata, to_reviews
 
@@ -30,13 +29,12 @@ def stream_metadata(spark: SparkSession, path: str, batch: str) -> DataFrame:
     return to_metadata(stream_objects(spark, path)).withColumn("load_batch_id", F.lit(batch))
 
 
-def write_available(rows: DataFrame, path: str, name: str, *partition_by: str) -> StreamingQuery:
+def write_available(rows: DataFrame, path: str, progress: str, *partition_by: str) -> StreamingQuery:
     """Append everything that has arrived to a Parquet table and stop.
 
-    ``name`` identifies the stream: its progress is kept below the shared
-    folder, so a restarted job goes on where the last one ended.
+    ``progress`` is the folder that keeps what has been taken up: a restarted job
+    that names the same one goes on where the last ended. On a cluster it must be shared.
     """
-    progress = f"{shared_folder(rows.sparkSession)}/reviewmill/streams/{name}"
     writer = rows.writeStream.format("parquet").option("checkpointLocation", progress).trigger(availableNow=True)
     return writer.partitionBy(*partition_by).start(path)
 

@@ -1,7 +1,6 @@
 """Splits, features, metrics and models on literal and generated rows."""
 
 import math
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,5 +104,5 @@ def test_stream_scoring(spark, reviews, tmp_path):
     reviews.select("review_key", "review_text_clean").write.parquet(str(tmp_path / "in"))
     model = training.fit(reviews, max_iterations=10)
     stream = spark.readStream.schema("review_key string, review_text_clean string").parquet(str(tmp_path / "in"))
-    write_available(score_stream(model, stream, "v1"), str(tmp_path / "out"), f"score-{uuid.uuid4().hex}").awaitTermination()
+    write_available(score_stream(model, stream, "v1"), str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).select("review_key").distinct().count() == 120

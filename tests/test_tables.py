@@ -1,7 +1,6 @@
 """Written tables: partitions, guards, export files, streams."""
 
 import json
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,7 +113,6 @@ def test_content_hash_ignores_order_but_not_copies(spark):
 
 def test_stream_gives_the_rows_of_the_batch_load(spark, tmp_path):
     source, target = tmp_path / "in", str(tmp_path / "out")
-    name = f"reviews-{uuid.uuid4().hex}"  # progress outlives the run below the shared folder
     source.mkdir()
     record = {"rating": 5, "title": "t", "text": "x\ny", "asin": "A", "parent_asin": "P", "user_id": "U",
               "timestamp": 1, "helpful_vote": 0, "verified_purchase": True}
@@ -123,7 +121,7 @@ def test_stream_gives_the_rows_of_the_batch_load(spark, tmp_path):
         (source / name).write_text("".join(line + "\n" for line in lines))
 
     def run():
-        write_available(stream_reviews(spark, str(source), "b"), target, name, "load_batch_id").awaitTermination()
+        write_available(stream_reviews(spark, str(source), "b"), target, str(tmp_path / "progress"), "load_batch_id").awaitTermination()
         return spark.read.parquet(target)
 
     add("1.jsonl", json.dumps(record), "", "{bad", "[1]")
