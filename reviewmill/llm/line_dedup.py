@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions.once import computed_once
 from reviewmill.llm.common import stored
 
-#: Shorter lines are never removed: one word in five is the most that near copies may differ in.
+#: Shorter lines have no near copies, equal ones only: one word in five is the most that near copies may differ in.
 LEAST_WORDS = 5
 #: Line hashes up to this many are sent to all tasks; beyond that they are joined.
 BROADCAST_LINES = 1_000_000
@@ -86,12 +86,12 @@ def one_edit(a: Column, b: Column) -> Column:
             .when(F.size(a) == F.size(b) + 1, inserted(b, a)).otherwise(False))
 
 
-def _lines(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Every line of ``LEAST_WORDS`` words or more: its document and place, and its normal form."""
+def _lines(documents: DataFrame, id_col: str, text_col: str, shortest: int) -> DataFrame:
+    """Every line of ``shortest`` words or more: its document and place, and its normal form."""
     rows = documents.filter(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row"), F.posexplode(F.split(text_col, "\n")).alias("place", "line"))
     rows = computed_once(rows, "normal", _normal(F.col("line"))).drop("line")
-    return rows.withColumn("n", _count(F.col("normal"))).filter(F.col("n") >= LEAST_WORDS)
+    return rows.withColumn("n", _count(F.col("normal"))).filter(F.col("n") >= shortest)
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -104,11 +104,12 @@ def _order() -> Column:
     return F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "place")
 
 
-def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 1) -> DataFrame:
     """``row, places``: for every document (by ``row_key``) that loses lines, their places from 0 on."""
-    spark_lines = _lines(documents, id_col, text_col)
+    spark_lines = _lines(documents, id_col, text_col, shortest)
     hashes = (F.xxhash64("normal").alias("h"), F.xxhash64(F.lit("check"), F.col("normal")).alias("h2"))
-    seen = stored(spark_lines.select("id", "row", "place", *hashes, _halves(F.col("normal"), F.col("n")).alias("halves")), "lines")
+    halves = F.when(F.col("n") >= LEAST_WORDS, _halves(F.col("normal"), F.col("n"))).otherwise(F.array().cast("array<bigint>"))
+    seen = stored(spark_lines.select("id", "row", "place", *hashes, halves.alias("halves")), "lines")
     distinct = stored(seen.groupBy("h", "h2").agg(F.min(_order()).alias("first"), F.any_value("halves").alias("halves")), "distinct-lines")
 
     halves = distinct.select("h", "h2", F.explode(F.array_distinct("halves")).alias("half"))
@@ -137,14 +138,15 @@ def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return gone.groupBy("row").agg(F.collect_set("place").alias("places"))
 
 
-def dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = 1) -> DataFrame:
     """All rows and columns of ``documents`` with repeated lines taken out, plus ``n_lines`` and ``n_removed``.
 
     Lines are compared by their words. A line is removed if an earlier one, in the
-    order of identifier (null last) and place, has the same words or is one
-    inserted, deleted or replaced word away; lines of fewer than ``LEAST_WORDS``
-    words always stay. Candidates share half a line; their deletion neighbourhoods
-    are joined by hash and the edit distance is verified on the words.
+    order of identifier (null last) and place, has the same words or, among lines
+    of ``LEAST_WORDS`` words or more, is one inserted, deleted or replaced word
+    away. Blank lines and lines of fewer than ``shortest`` words always stay.
+    Candidates share half a line; their deletion neighbourhoods are joined by hash
+    and the edit distance is verified on the words.
 
     Equal lines are reduced to their first place before anything is joined, and a
     neighbourhood is reduced to its earliest line, so no pairs within a group are
@@ -153,7 +155,7 @@ def dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     the same lines; of rows with a null identifier the order is by a hash. Columns
     named ``n_lines`` or ``n_removed`` are replaced. An empty table stays empty.
     """
-    found = stored(repeats(documents, id_col, text_col), "repeated-lines").withColumnRenamed("row", "__row").withColumnRenamed("places", "__places")
+    found = stored(repeats(documents, id_col, text_col, shortest), "repeated-lines").withColumnRenamed("row", "__row").withColumnRenamed("places", "__places")
     rows = documents.join(found, row_key(id_col, text_col) == F.col("__row"), "left")
     lines = F.split(text_col, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__places")

@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import near_copies
+from reviewmill.llm import line_dedup, near_copies
 from reviewmill.llm.common import prepare
 
 
@@ -53,3 +54,10 @@ def test_prefixes_of_similar_sets_share_a_hash():
                 assert set(a[:near_copies.prefix(len(a))]) & set(b[:near_copies.prefix(len(b))])
                 marks = np.stack([near_copies.sketch(x).view(np.uint64) for x in (a, b)])
                 assert near_copies.near(0, np.array([len(a), len(b)]), marks, 0.8)[1]
+
+
+def test_equal_short_lines_are_removed(spark):
+    texts = ["All rights reserved.\na b c d", "x\n\nAll  rights reserved.\na b c e", "这是一个没有空格的很长的句子\nx", "这是一个没有空格的很长的句子\n \nnew"]
+    table = prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup(table).collect()}
+    assert found == {0: (texts[0], 0), 1: ("x\n\na b c e", 1), 2: ("这是一个没有空格的很长的句子", 1), 3: (" \nnew", 1)}
