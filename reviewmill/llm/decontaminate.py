@@ -88,7 +88,8 @@ def leaks(documents: DataFrame, items: DataFrame, text_col: str = "text", item_i
     index = stored(indexed(items, item_id_col, item_text_col, radius), "items")
     least = index.agg(F.min(F.size("shingles"))).first()[0]
     stride = STRIDE if least is not None and least >= STRIDE else 1
-    places = index.select("item", F.posexplode("shingles").alias("offset", "shingle")).groupBy("shingle", "item").agg(F.min("offset").alias("offset"))
+    # All offsets of a shingle that an item repeats: each aligns another window.
+    places = index.select("item", F.posexplode("shingles").alias("offset", "shingle"))
     places = stored(places.join(index.select("item", "n"), "item"), "item-shingles")
 
     keyed = documents.filter(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import line_dedup, near_copies
+from reviewmill.llm import decontaminate, line_dedup, near_copies
 from reviewmill.llm.common import prepare
 
 
@@ -61,3 +61,12 @@ def test_equal_short_lines_are_removed(spark):
     table = prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup(table).collect()}
     assert found == {0: (texts[0], 0), 1: ("x\n\na b c e", 1), 2: ("这是一个没有空格的很长的句子", 1), 3: (" \nnew", 1)}
+
+
+def test_repetitive_items_are_found_at_every_place(spark):
+    fill = [f"w{i}" for i in range(100)]
+    texts = [(at, " ".join(fill[:20 + at] + ["no"] * 8 + fill[20 + at:])) for at in range(4)]
+    table = prepare(spark).createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(["no"] * 8))], "item_id long, text string")
+    found = decontaminate.contaminated(table, items).collect()
+    assert sorted((r.doc_id, r.similarity, r.start) for r in found) == [(at, 1.0, 20 + at) for at in range(4)]
