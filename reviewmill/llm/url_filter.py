@@ -50,14 +50,28 @@ def address(url: Column) -> Column:
     return F.when(host != "", F.concat(host, rest))
 
 
+def without_dots(path: Column) -> Column:
+    """A path that begins with a slash, its ``.`` and ``..`` segments resolved; none leads above the root."""
+    segments = F.slice(F.split(path, "/", -1), 2, F.size(F.split(path, "/", -1)))
+    walked = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == ".", kept).when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.array_append(kept, s)))
+    ended = F.when(path.rlike(r"(?s)/\.\.?\z"), F.array_append(walked, F.lit(""))).otherwise(walked)
+    return F.when(path.rlike(r"(?s)/\.\.?(?:/|\z)"), F.concat(F.lit("/"), F.array_join(ended, "/"))).otherwise(path)
+
+
 def resolved(base: Column, link: Column) -> Column:
-    """Absolute form of a link found on the page ``base``."""
+    """Absolute form of a link found on the page ``base``. Links with a host are taken as written, as urls of pages are."""
     root = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*", 0)
-    folder = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*(?:[^?#]*/)?", 0)
+    page = F.regexp_extract(base, r"(?s)^.*?://[^?#]*", 0)
+    folder = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*((?:[^?#]*/)?)", 1)
+    path, tail = F.regexp_extract(link, r"(?s)^[^?#]*", 0), F.regexp_extract(link, r"(?s)^[^?#]*(.*)", 1)
+    merged = F.when(path.startswith("/"), path).when(folder == "", F.concat(F.lit("/"), path)).otherwise(F.concat(folder, path))
     return (F.when(link == "", None).when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
             .when(link.startswith("//"), F.concat(F.lit("http:"), link))
-            .when(link.startswith("/"), F.concat(root, link))
-            .when(folder.endswith("/") & ~folder.endswith("://"), F.concat(folder, link)).otherwise(F.concat(root, F.lit("/"), link)))
+            .when(link.startswith("#"), base)
+            .when(link.startswith("?"), F.concat(page, link))
+            .otherwise(F.concat(root, without_dots(merged), tail)))
 
 
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:

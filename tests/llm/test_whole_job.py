@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import decontaminate, line_dedup, near_copies
+from reviewmill.llm import decontaminate, line_dedup, near_copies, url_filter
 from reviewmill.llm.common import prepare
 
 
@@ -70,3 +70,21 @@ def test_repetitive_items_are_found_at_every_place(spark):
     items = spark.createDataFrame([(1, " ".join(["no"] * 8))], "item_id long, text string")
     found = decontaminate.contaminated(table, items).collect()
     assert sorted((r.doc_id, r.similarity, r.start) for r in found) == [(at, 1.0, 20 + at) for at in range(4)]
+
+
+def test_relative_links_are_resolved(spark):
+    cases = [
+        ("http://h.com/a/b/c?q=1", "../x", "http://h.com/a/x"), ("http://h.com/a/b/c", "./x?y=../z", "http://h.com/a/b/x?y=../z"),
+        ("http://h.com/a/b/c?q=1#f", "?page=2", "http://h.com/a/b/c?page=2"), ("http://h.com/a/b/c?q=1", "#top", "http://h.com/a/b/c?q=1"),
+        ("http://h.com/a", "../../x", "http://h.com/x"), ("http://h.com", "x", "http://h.com/x"), ("http://h.com/a/b/", "..", "http://h.com/a/"),
+        ("http://h.com/a/b/c", ".", "http://h.com/a/b/"), ("http://h.com/a", "/p/./q/../r", "http://h.com/p/r"), ("http://h.com/a", "/p/.q/..r", "http://h.com/p/.q/..r"),
+        ("http://h.com/a/b", "c", "http://h.com/a/c"), ("http://h.com/a", "//i.com/x", "http://i.com/x"), ("http://h.com/a", "http://i.com/x", "http://i.com/x"),
+    ]
+    table = spark.createDataFrame(cases, "base string, link string, expected string")
+    found = table.select("base", "link", url_filter.resolved(F.col("base"), F.col("link")), "expected").collect()
+    assert [r[2] for r in found] == [r.expected for r in found]
+    link = '<link rel="canonical" href="%s">'
+    pages = [(1, "http://a.com/de/x", ""), (2, "http://a.com/fr2/y/z", link % "../../de/x"), (3, "http://a.com/p?page=2", link % "http://a.com/de/x"),
+             (4, "http://a.com/p?page=3", link % "?page=2"), (5, "http://a.com/q/r", link % "./s")]
+    verdicts = url_filter.judge(prepare(spark).createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.verdict for r in verdicts} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
