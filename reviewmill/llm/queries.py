@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import decontaminate, language_id, line_dedup, mixing, prefix_forest, repeated_spans, secret_scan, simhash, toxicity, url_filter
+from reviewmill.llm import (
+    decontaminate, language_id, line_dedup, mixing, prefix_forest, repeated_spans, secret_scan, simhash, token_files, toxicity, url_filter,
+)
 from reviewmill.llm.common import crc32_modulo, prepare
+from reviewmill.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -212,3 +215,12 @@ FROM base LEFT JOIN ruled ON ruled.address = host || tail LEFT JOIN reached r ON
 @query("op10_url_filter", _URL_SQL)
 def op10_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op13_token_files")
+def op13_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.checksums(token_files.read(spark, path))
