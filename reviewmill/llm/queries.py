@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.llm import (
-    decontaminate, language_id, line_dedup, mixing, prefix_forest, repeated_spans, secret_scan, simhash, token_files, toxicity, url_filter,
+    conversation_repair, decontaminate, language_id, line_dedup, mixing, prefix_forest, repeated_spans, resampling, secret_scan, simhash, token_files, toxicity, url_filter,
 )
 from reviewmill.llm.common import crc32_modulo, prepare
 from reviewmill.session import scratch_path
@@ -217,6 +217,62 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+_RESAMPLE_SQL = r"""
+WITH crc AS (  -- the 256 entries of the crc32 table, by its rule
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS entries),
+sides AS (
+  SELECT true AS source, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT false, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+used AS (SELECT source, doc_id, unnest(words) AS word FROM sides),
+spelt AS (SELECT word, hex(word) AS h FROM (SELECT DISTINCT word FROM used)),
+coded AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT))),
+    lambda c, b: xor(entries[(xor(c, b) & 255) + 1], c >> 8))) % 10000 AS bucket FROM spelt, crc),
+met AS (
+  SELECT bucket, count(*) FILTER (source) AS s, count(*) FILTER (NOT source) AS t FROM used JOIN coded USING (word) GROUP BY bucket),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * ((SELECT sum(s) FROM met) + 10000) / (CAST(s + 1 AS DOUBLE) * ((SELECT sum(t) FROM met) + 10000)))) AS BIGINT) AS gain FROM met),
+heavy AS (SELECT doc_id, sum(gain) AS total FROM used JOIN coded USING (word) JOIN gain USING (bucket) WHERE source GROUP BY doc_id),
+weights AS (
+  SELECT doc_id, coalesce(len(words), 0) AS n_features,
+         CASE WHEN coalesce(len(words), 0) = 0 THEN 0 ELSE CAST(floor(CAST(total AS DOUBLE) / len(words)) AS BIGINT) END AS weight,
+         CAST('0x' || sha256('2024:' || doc_id)[1:8] AS BIGINT) AS h
+  FROM sides LEFT JOIN heavy USING (doc_id) WHERE source),
+scores AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM weights),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+       CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scores LEFT JOIN ranked USING (doc_id)
+"""
+
+
+@query("op11_resampling", _RESAMPLE_SQL)
+def op11_resampling(spark, sf_dir):
+    scored = resampling.weighed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return resampling.drawn(scored).select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The turns after the damage that crc32 of their place in the conversation deals out: nulls count as one space."""
+    space = F.lit(" ")
+    place = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), space), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.crc32(place.cast("binary")) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    hurt = F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+    rows = conversations.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"), hurt.alias("text"), kind.alias("kind"))
+    copies = F.when(F.col("kind") == 0, F.array()).when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("copy", F.explode(copies)).drop("copy", "kind")
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations")
+    return conversation_repair.audits(damaged(given), given)
+
+
 @query("op13_token_files")
 def op13_token_files(spark, sf_dir):
     import public_tokenizers

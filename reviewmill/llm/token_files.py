@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -20,8 +21,9 @@ PAGE_BYTES = 128 << 10
 PAGE_ROWS = 512
 #: Texts are encoded in slices of about this many characters, cut at blanks.
 SLICE = 1 << 20
-#: Pieces whose ids a worker remembers; beyond them it starts anew.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers, in two generations; characters of text that it looks up at a time.
+REMEMBERED = 300_000
+LOOKED_UP = 1 << 18
 
 # The normaliser and pre-tokeniser of vocabularies whose pieces can be encoded one by one.
 SPLITS = {
@@ -33,9 +35,9 @@ SPLITS = {
 }
 # Characters whose class is beyond doubt: ASCII, Latin letters, common marks. Others go to the library as whole slices.
 _LETTERS = "a-zß-öø-ÿ"
-_MARKS = "¡§«¶»¿×÷–—‘’“”„…€"
-PLAIN = re.compile(f"[\\x00-\\x7fÀ-ÿ{_MARKS}]*")
-PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^ \\t-\\r0-9{_LETTERS}]+")
+PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7fÀ-ÿ¡§«¶»¿–—‘’“”„…€]*")
+#: What stands between runs of letters, as the vocabulary cuts it.
+MARK = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[0-9]|[^ \\t-\\r0-9{_LETTERS}]+")
 _BLANK = re.compile("[ \\t-\\r]")
 
 _CODERS: dict[str, Coder] = {}
@@ -47,6 +49,9 @@ class Coder:
     def __init__(self, vocabulary: str):
         import json
 
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         with open(vocabulary, encoding="utf-8") as file:
@@ -54,7 +59,8 @@ class Coder:
         self.library = Tokenizer.from_str(json.dumps(form))
         self.splits = all(form.get(k) == v for k, v in SPLITS.items())
         self.special = [t["content"] for t in form.get("added_tokens", [])]
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def of(vocabulary: str) -> Coder:
@@ -64,22 +70,38 @@ class Coder:
         return _CODERS[vocabulary]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text, as 32-bit integers."""
         if not self.splits:
             return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        parts = [[self._pieces(part) for part in slices(text)] for text in texts]
-        new = list({p for text in parts for found in text for p in found if p not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list({p for text in parts for found in text for p in found})
-        encoded = self.library.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, (e.ids for e in encoded)))
-        recall = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(recall, chain.from_iterable(text))), np.int32) for text in parts]
+        found: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            for part in slices(text):
+                held.append((i, self._pieces(part)))
+                size += len(part)
+                if size >= LOOKED_UP:
+                    self._look_up(held, found)
+                    held, size = [], 0
+        self._look_up(held, found)
+        return [np.frombuffer(b"".join(x), np.int32) for x in found]
+
+    def _look_up(self, held: list[tuple[int, list[str]]], found: list[list[bytes]]) -> None:
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        new = set(chain.from_iterable(pieces for _, pieces in held)).difference(self.known)
+        for piece in [p for p in new if p in self.older]:
+            self.known[piece] = self.older[piece]
+            new.remove(piece)
+        fresh = list(new)
+        for piece, coded in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False)):
+            self.known[piece] = array("i", coded.ids).tobytes()
+        for i, pieces in held:
+            found[i].append(b"".join(map(self.known.__getitem__, pieces)))
 
     def _pieces(self, part: str) -> list[str]:
         """Pieces that the vocabulary never joins; the whole ``part`` where a character leaves doubt."""
         if PLAIN.fullmatch(part) and not any(s in part for s in self.special):
-            return PIECE.findall(part.lower())
+            return MARK.sub(r" \g<0> ", part.lower()).split()
         return [part]
 
 
