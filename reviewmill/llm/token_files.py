@@ -6,7 +6,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +20,8 @@ PAGE_BYTES = 128 << 10
 PAGE_ROWS = 512
 #: Texts are encoded in slices of about this many characters, cut at blanks.
 SLICE = 1 << 20
-#: Pieces whose ids a worker remembers, in two generations; characters of text that it looks up at a time.
-REMEMBERED = 300_000
-LOOKED_UP = 1 << 18
+#: Pieces whose ids a worker remembers, in two generations.
+REMEMBERED = 400_000
 
 # The normaliser and pre-tokeniser of vocabularies whose pieces can be encoded one by one.
 SPLITS = {
@@ -43,12 +41,35 @@ _BLANK = re.compile("[ \\t-\\r]")
 _CODERS: dict[str, Coder] = {}
 
 
+def _letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it shows, else one from 256 on in order."""
+    shown = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    hidden = iter(range(256, 512))
+    return [chr(b if b in shown else next(hidden)) for b in range(256)]
+
+
+class _Pieces(dict):
+    """Ids of pieces as bytes, by the vocabulary's model where they are not remembered."""
+
+    def __init__(self, model):
+        self.model, self.letters, self.older = model, _letters(), {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED // 2:
+            self.older = dict(self)
+            self.clear()
+        coded = self.older.get(piece)
+        if coded is None:
+            coded = array("i", [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))]).tobytes()
+        self[piece] = coded
+        return coded
+
+
 class Coder:
     """Ids of texts, by the tokenizers library; ids of pieces seen before come from memory."""
 
     def __init__(self, vocabulary: str):
         import json
-
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -59,8 +80,7 @@ class Coder:
         self.library = Tokenizer.from_str(json.dumps(form))
         self.splits = all(form.get(k) == v for k, v in SPLITS.items())
         self.special = [t["content"] for t in form.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = _Pieces(self.library.model)
 
     @staticmethod
     def of(vocabulary: str) -> Coder:
@@ -73,36 +93,13 @@ class Coder:
         """Ids of every text, as 32-bit integers."""
         if not self.splits:
             return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        found: list[list[bytes]] = [[] for _ in texts]
-        held, size = [], 0
-        for i, text in enumerate(texts):
-            for part in slices(text):
-                held.append((i, self._pieces(part)))
-                size += len(part)
-                if size >= LOOKED_UP:
-                    self._look_up(held, found)
-                    held, size = [], 0
-        self._look_up(held, found)
-        return [np.frombuffer(b"".join(x), np.int32) for x in found]
-
-    def _look_up(self, held: list[tuple[int, list[str]]], found: list[list[bytes]]) -> None:
-        if len(self.known) > REMEMBERED // 2:
-            self.known, self.older = {}, self.known
-        new = set(chain.from_iterable(pieces for _, pieces in held)).difference(self.known)
-        for piece in [p for p in new if p in self.older]:
-            self.known[piece] = self.older[piece]
-            new.remove(piece)
-        fresh = list(new)
-        for piece, coded in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.known[piece] = array("i", coded.ids).tobytes()
-        for i, pieces in held:
-            found[i].append(b"".join(map(self.known.__getitem__, pieces)))
-
-    def _pieces(self, part: str) -> list[str]:
-        """Pieces that the vocabulary never joins; the whole ``part`` where a character leaves doubt."""
+        return [np.frombuffer(b"".join(map(self._coded, slices(text))), np.int32) for text in texts]
+
+    def _coded(self, part: str) -> bytes:
+        """Piece by piece, as the vocabulary never joins them; by the whole ``part`` where a character leaves doubt."""
         if PLAIN.fullmatch(part) and not any(s in part for s in self.special):
-            return MARK.sub(r" \g<0> ", part.lower()).split()
-        return [part]
+            return b"".join(map(self.known.__getitem__, MARK.sub(r" \g<0> ", part.lower()).split()))
+        return array("i", self.library.encode(part, add_special_tokens=False).ids).tobytes()
 
 
 def slices(text: str) -> Iterator[str]:
