@@ -5,7 +5,7 @@ from __future__ import annotations
 from querybook.fixtures import predictions, raw_metadata, raw_reviews, review_view, text_view
 from querybook.registry import common_table, query
 from reviewmill.operators import aggregates as agg
-from reviewmill.operators import alerts, rules
+from reviewmill.operators import alerts, partials, rules
 from reviewmill.operators.ranking import review_samples
 from reviewmill.settings import KeywordRule, RuleSet
 
@@ -82,30 +82,30 @@ common_table("dws_alerts", f"""
 # The test prose has invented words; these rules use words that occur in it.
 TEXT_ASPECTS = RuleSet(
     (
-        KeywordRule("appearance", "Appearance", "(^| )(the|that)( |$)"),
-        KeywordRule("comfort", "Comfort", "(^| )(and|for)( |$)"),
-        KeywordRule("size_fit", "Size & Fit", "(^| )(le|la)( |$)"),
-        KeywordRule("material", "Material", "(^| )(in|it)( |$)"),
-        KeywordRule("price_value", "Price & Value", "(^| )(to|was)( |$)"),
-        KeywordRule("quality", "Quality", "(^| )(und|der)( |$)"),
-        KeywordRule("shipping_packaging", "Shipping & Packaging", "(^| )(de|los)( |$)"),
-        KeywordRule("durability", "Durability", "(^| )neverfound( |$)"),
+        KeywordRule("appearance", "Appearance", "(^| )(the|that)( |$)", ("the", "that")),
+        KeywordRule("comfort", "Comfort", "(^| )(and|for)( |$)", ("and", "for")),
+        KeywordRule("size_fit", "Size & Fit", "(^| )(le|la)( |$)", ("le", "la")),
+        KeywordRule("material", "Material", "(^| )(in|it)( |$)", ("in", "it")),
+        KeywordRule("price_value", "Price & Value", "(^| )(to|was)( |$)", ("to", "was")),
+        KeywordRule("quality", "Quality", "(^| )(und|der)( |$)", ("und", "der")),
+        KeywordRule("shipping_packaging", "Shipping & Packaging", "(^| )(de|los)( |$)", ("de", "los")),
+        KeywordRule("durability", "Durability", "(^| )neverfound( |$)", ("neverfound",)),
     ),
-    "test_aspects_v1",
+    "test_aspects_v1", separator=" ",
 )
 TEXT_REASONS = RuleSet(
     (
-        KeywordRule("wrong_size", "Wrong size", "(^| )(the|of) [a-z]+ (in|is)( |$)"),
-        KeywordRule("poor_quality", "Poor quality", "(^| )(erth|ent)( |$)"),
-        KeywordRule("return_issue", "Return issue", "(^| )(of|el)( |$)"),
-        KeywordRule("overpriced", "Overpriced", "(^| )(are|as)( |$)"),
-        KeywordRule("damaged_item", "Damaged item", "(^| )(by|be)( |$)"),
-        KeywordRule("uncomfortable", "Uncomfortable", "(^| )(with|from)( |$)"),
-        KeywordRule("color_mismatch", "Color mismatch", "(^| )(die|das)( |$)"),
-        KeywordRule("not_as_described", "Not as described", "(^| )(que|por)( |$)"),
-        KeywordRule("delivery_issue", "Delivery issue", "(^| )neverfound( |$)"),
+        KeywordRule("wrong_size", "Wrong size", "(^| )(the|of) [a-z]+ (in|is)( |$)", needs=("the", "of")),
+        KeywordRule("poor_quality", "Poor quality", "(^| )(erth|ent)( |$)", ("erth", "ent")),
+        KeywordRule("return_issue", "Return issue", "(^| )(of|el)( |$)", ("of", "el")),
+        KeywordRule("overpriced", "Overpriced", "(^| )(are|as)( |$)", ("are", "as")),
+        KeywordRule("damaged_item", "Damaged item", "(^| )(by|be)( |$)", ("by", "be")),
+        KeywordRule("uncomfortable", "Uncomfortable", "(^| )(with|from)( |$)", ("with", "from")),
+        KeywordRule("color_mismatch", "Color mismatch", "(^| )(die|das)( |$)", ("die", "das")),
+        KeywordRule("not_as_described", "Not as described", "(^| )(que|por)( |$)", ("que", "por")),
+        KeywordRule("delivery_issue", "Delivery issue", "(^| )neverfound( |$)", ("neverfound",)),
     ),
-    "test_reasons_v1",
+    "test_reasons_v1", separator=" ",
 )
 
 
@@ -292,3 +292,31 @@ def _sample_rank(spark, sf):
 @query("first_metadata_products", "SELECT COUNT(DISTINCT parent_asin) AS distinct_products FROM raw_metadata")
 def _meta_products(spark, sf):
     return agg.distinct_products(raw_metadata(spark, sf))
+
+
+# -- the same tables from one table of partials, with exact distinct counts that merge ----
+def _partials(spark, sf):
+    view = review_view(spark, sf)
+    return partials.kept(partials.daily_partials(view, partials.product_numbers(view)), "daily-partials")
+
+
+def _from_partials(name: str, sql: str, build):
+    query(name, sql)(lambda spark, sf: build(_partials(spark, sf)))
+
+
+_from_partials("partial_overview", "SELECT * FROM dws_overview", lambda p: partials.overview(partials.bitmaps(p)))
+_from_partials("partial_categories", "SELECT * FROM dws_category", lambda p: partials.categories(partials.bitmaps(p, "main_category")))
+_from_partials("partial_stores", "SELECT * FROM dws_store", partials.stores)
+_from_partials("partial_months", "SELECT * FROM dws_monthly", lambda p: partials.monthly(partials.bitmaps(p, "month_id")))
+_from_partials("partial_products", "SELECT * FROM dws_product", partials.products)
+
+
+@query("merged_overview", "SELECT * FROM dws_overview")
+def _merged_overview(spark, sf):
+    """The overview of two halves of the time, delivered one after the other; products of the first keep their numbers."""
+    view = review_view(spark, sf)
+    early, late = view.filter("dt < '1995-06-01'"), view.filter("dt >= '1995-06-01'")
+    first = partials.kept(partials.product_numbers(early), "product-numbers")
+    both = partials.kept(partials.product_numbers(late, first), "product-numbers")
+    halves = [partials.bitmaps(partials.daily_partials(rows, numbers)) for rows, numbers in ((early, first), (late, both))]
+    return partials.overview(partials.merged(*halves))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from querybook import aggregates as tables
+from querybook import warehouse as tables
 from querybook.fixtures import BATCH, MODEL, predictions, review_view
 from querybook.registry import common_table, query
 from reviewmill.functions.labels import level_rank

@@ -8,20 +8,37 @@ from pyspark.sql import functions as F
 from reviewmill.functions.numbers import safe_rate
 from reviewmill.functions.once import literal_rows
 from reviewmill.operators.aggregates import label_counts, with_rates
-from reviewmill.settings import ASPECT_RULES, REASON_RULES, RuleSet
+from reviewmill.settings import ASPECT_RULES, REASON_RULES, KeywordRule, RuleSet
 
 _EVERY = "*"
 
 
 def matched_codes(text: Column, rules: RuleSet) -> Column:
-    """Codes of all rules whose pattern occurs in the text.
+    """Codes of all rules that occur in the text.
 
-    One literal pattern per rule, so each is compiled once per task.
+    The text is cut into words once, and these are looked up in the table of all words that rules
+    begin with or need. What is found, a handful at most, decides: single words at once, phrases and patterns
+    by one search in those texts that hold a word of theirs. Only rules without any word are searched everywhere.
     """
+    heads = sorted({w.split(" ")[0] for rule in rules.rules for w in (*rule.words, *rule.needs)})
     lowered = F.lower(text)
-    return F.array_compact(F.array(*[
-        F.when(lowered.rlike(rule.pattern), F.lit(rule.code)) for rule in rules.rules
-    ]))
+    found = F.array_intersect(F.split(lowered, rules.separator), F.array(*map(F.lit, heads))) if heads else F.array().cast("array<string>")
+
+    def holds(hits: Column, words: tuple[str, ...]) -> Column:
+        return F.arrays_overlap(hits, F.array(*map(F.lit, words))) if words else F.lit(False)
+
+    def met(x: Column, rule: KeywordRule) -> Column:
+        searched = x["text"].rlike(rule.pattern)
+        if not rule.words:
+            return holds(x["hits"], rule.needs) & searched if rule.needs else searched
+        phrases = tuple(dict.fromkeys(w.split(" ")[0] for w in rule.words if " " in w))
+        return holds(x["hits"], tuple(w for w in rule.words if " " not in w)) | (holds(x["hits"], phrases) & searched)
+
+    def codes(x: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(met(x, rule), F.lit(rule.code)) for rule in rules.rules]))
+
+    # One element, so that the words of a text are looked up once for all rules.
+    return F.flatten(F.transform(F.array(F.struct(lowered.alias("text"), found.alias("hits"))), codes))
 
 
 def _rule_table(counted: DataFrame, rules: RuleSet, prefix: str) -> DataFrame:

@@ -36,52 +36,63 @@ class AlertPolicy:
 
 @dataclass(frozen=True)
 class KeywordRule:
+    """A rule given by ``words`` (words or phrases that stand in the text), or else by ``pattern``.
+
+    A pattern is searched only in texts that hold one of ``needs``, where these are given. For a rule
+    of words the pattern says the same once more; it decides where a phrase of several words begins in a text.
+    """
+
     code: str
     name: str
     pattern: str
+    words: tuple[str, ...] = ()
+    needs: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
 class RuleSet:
+    """Rules whose words are what ``separator`` cuts lower-cased text into; phrases have one blank between words."""
+
     rules: tuple[KeywordRule, ...]
     version: str
     method: str = EXTRACTION_METHOD
+    separator: str = r"(?U)\W+"
     codes: tuple[str, ...] = field(init=False)
 
     def __post_init__(self):
         object.__setattr__(self, "codes", tuple(rule.code for rule in self.rules))
 
 
-def _words(*stems: str) -> str:
-    """Pattern for whole words or phrases, matched against lower-cased text."""
-    return r"(?U)\b(" + "|".join(stems) + r")\b"
+def _words(*stems: str) -> tuple[str, tuple[str, ...]]:
+    """Whole words or phrases, matched against lower-cased text, as a pattern and as they are."""
+    return r"(?U)\b(" + "|".join(stems) + r")\b", stems
 
 
 # Keyword lists are ours: the contract fixes the codes and names only.
 ASPECT_RULES = RuleSet(
     (
-        KeywordRule("appearance", "Appearance", _words("look", "looks", "color", "colour", "style", "pretty", "cute", "beautiful", "design")),
-        KeywordRule("size_fit", "Size & Fit", _words("size", "sizes", "fit", "fits", "small", "large", "tight", "loose")),
-        KeywordRule("comfort", "Comfort", _words("comfort", "comfortable", "comfy", "soft", "itchy", "uncomfortable")),
-        KeywordRule("material", "Material", _words("material", "fabric", "cotton", "leather", "polyester", "thin", "thick")),
-        KeywordRule("price_value", "Price & Value", _words("price", "value", "cheap", "expensive", "worth", "money")),
-        KeywordRule("quality", "Quality", _words("quality", "well made", "poorly made", "craftsmanship")),
-        KeywordRule("shipping_packaging", "Shipping & Packaging", _words("shipping", "shipped", "delivery", "package", "packaging", "arrived")),
-        KeywordRule("durability", "Durability", _words("durable", "broke", "broken", "ripped", "tore", "lasted", "fell apart")),
+        KeywordRule("appearance", "Appearance", *_words("look", "looks", "color", "colour", "style", "pretty", "cute", "beautiful", "design")),
+        KeywordRule("size_fit", "Size & Fit", *_words("size", "sizes", "fit", "fits", "small", "large", "tight", "loose")),
+        KeywordRule("comfort", "Comfort", *_words("comfort", "comfortable", "comfy", "soft", "itchy", "uncomfortable")),
+        KeywordRule("material", "Material", *_words("material", "fabric", "cotton", "leather", "polyester", "thin", "thick")),
+        KeywordRule("price_value", "Price & Value", *_words("price", "value", "cheap", "expensive", "worth", "money")),
+        KeywordRule("quality", "Quality", *_words("quality", "well made", "poorly made", "craftsmanship")),
+        KeywordRule("shipping_packaging", "Shipping & Packaging", *_words("shipping", "shipped", "delivery", "package", "packaging", "arrived")),
+        KeywordRule("durability", "Durability", *_words("durable", "broke", "broken", "ripped", "tore", "lasted", "fell apart")),
     ),
     ASPECT_RULE_VERSION,
 )
 REASON_RULES = RuleSet(
     (
-        KeywordRule("return_issue", "Return issue", _words("return", "returned", "returning", "refund")),
-        KeywordRule("wrong_size", "Wrong size", _words("too small", "too big", "too large", "too tight", "wrong size", "runs small", "runs large")),
-        KeywordRule("poor_quality", "Poor quality", _words("poor quality", "bad quality", "cheaply made", "poorly made", "low quality")),
-        KeywordRule("overpriced", "Overpriced", _words("overpriced", "too expensive", "not worth", "waste of money")),
-        KeywordRule("damaged_item", "Damaged item", _words("broke", "broken", "damaged", "ripped", "torn", "hole", "holes")),
-        KeywordRule("uncomfortable", "Uncomfortable", _words("uncomfortable", "itchy", "hurts", "scratchy")),
-        KeywordRule("color_mismatch", "Color mismatch", _words("wrong color", "different color", "color is off", "faded")),
-        KeywordRule("not_as_described", "Not as described", _words("not as described", "not as pictured", "not what", "misleading")),
-        KeywordRule("delivery_issue", "Delivery issue", _words("never arrived", "late", "delayed", "missing", "lost")),
+        KeywordRule("return_issue", "Return issue", *_words("return", "returned", "returning", "refund")),
+        KeywordRule("wrong_size", "Wrong size", *_words("too small", "too big", "too large", "too tight", "wrong size", "runs small", "runs large")),
+        KeywordRule("poor_quality", "Poor quality", *_words("poor quality", "bad quality", "cheaply made", "poorly made", "low quality")),
+        KeywordRule("overpriced", "Overpriced", *_words("overpriced", "too expensive", "not worth", "waste of money")),
+        KeywordRule("damaged_item", "Damaged item", *_words("broke", "broken", "damaged", "ripped", "torn", "hole", "holes")),
+        KeywordRule("uncomfortable", "Uncomfortable", *_words("uncomfortable", "itchy", "hurts", "scratchy")),
+        KeywordRule("color_mismatch", "Color mismatch", *_words("wrong color", "different color", "color is off", "faded")),
+        KeywordRule("not_as_described", "Not as described", *_words("not as described", "not as pictured", "not what", "misleading")),
+        KeywordRule("delivery_issue", "Delivery issue", *_words("never arrived", "late", "delayed", "missing", "lost")),
     ),
     REASON_RULE_VERSION,
 )

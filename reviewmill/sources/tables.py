@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from reviewmill.operators import aggregates as agg
+from reviewmill.operators import partials
 from reviewmill.operators.alerts import sentiment_alerts
 from reviewmill.operators.ranking import review_samples
 from reviewmill.operators.rules import aspect_summary, negative_reasons
@@ -71,20 +71,15 @@ def build_serving(view: DataFrame, aspect_rules: RuleSet = ASPECT_RULES, reason_
     """All serving tables of a view that is narrowed to one batch and model.
 
     The view must carry ``review_text_clean``; tables that do not use the text
-    do not read it.
+    do not read it. Partials of days and products are written on the way.
     """
-    products, stores, categories = agg.product_sentiment(view), agg.store_sentiment(view), agg.category_sentiment(view)
-    return {
-        "dws_sentiment_overview": agg.sentiment_overview(view),
-        "dws_sentiment_daily": agg.sentiment_daily(view),
-        "dws_product_sentiment": products,
-        "dws_category_sentiment": categories,
-        "dws_store_sentiment": stores,
+    summed = partials.serving_tables(view)
+    alerts = sentiment_alerts(*[summed[f"dws_{entity}_sentiment"] for entity in ("product", "store", "category")], policy)
+    return summed | {
         "dws_verified_purchase_sentiment": agg.verified_sentiment(view),
         "dws_rating_prediction_matrix": agg.rating_matrix(view),
         "dws_prediction_confidence": agg.confidence_buckets(view),
-        "dws_monthly_sentiment": agg.monthly_sentiment(view),
-        "dws_sentiment_alerts": sentiment_alerts(products, stores, categories, policy),
+        "dws_sentiment_alerts": alerts,
         "dws_review_samples": review_samples(view),
         "dws_aspect_summary": aspect_summary(view, aspect_rules),
         "dws_negative_reasons": negative_reasons(view, reason_rules),
@@ -94,23 +89,20 @@ def build_serving(view: DataFrame, aspect_rules: RuleSet = ASPECT_RULES, reason_
 def publish(view: DataFrame, root: str, batch: str, model: str, **options) -> list[str]:
     """Build and write all serving tables of one scope.
 
-    The joined view is kept once for thirteen reads, on disk where memory is
-    short; a lost executor costs the recomputation of its own blocks. Alerts
-    read the product, store and category tables just written.
+    The joined view is written once, and read by column from there; a lost executor costs nothing that was
+    written. Six tables come from one table of partials, alerts from the product, store and
+    category tables just written.
     """
     spark = view.sparkSession
-    scoped = agg.scope(view, batch, model).persist(StorageLevel.MEMORY_AND_DISK)
+    scoped = partials.kept(agg.scope(view, batch, model), "serving-view")
     spec = {"load_batch_id": batch, "model_version": model}
-    try:
-        tables = build_serving(scoped, **options)
-        for name, table in tables.items():
-            if name == "dws_sentiment_alerts":
-                written = [serving_table(spark, root, t, batch, model)
-                           for t in ("dws_product_sentiment", "dws_store_sentiment", "dws_category_sentiment")]
-                table = sentiment_alerts(*written, options.get("policy", AlertPolicy()))
-            overwrite_partition(agg.stamp(table, batch, model), f"{root}/{name}", spec)
-    finally:
-        scoped.unpersist()
+    tables = build_serving(scoped, **options)
+    for name, table in tables.items():
+        if name == "dws_sentiment_alerts":
+            written = [serving_table(spark, root, t, batch, model)
+                       for t in ("dws_product_sentiment", "dws_store_sentiment", "dws_category_sentiment")]
+            table = sentiment_alerts(*written, options.get("policy", AlertPolicy()))
+        overwrite_partition(agg.stamp(table, batch, model), f"{root}/{name}", spec)
     return list(tables)
 
 
