@@ -128,7 +128,7 @@ common_table("field_kinds", " UNION ALL ".join(
 
 @query("value_type", "SELECT field, kind, COUNT(*) AS row_count FROM field_kinds WHERE kind IS NOT NULL GROUP BY ALL")
 def _value_type(spark, sf):
-    return profile.exploded_fields(review_objects(spark, sf)).groupBy("field", "kind").agg(F.count(F.lit(1)).alias("row_count"))
+    return profile.field_shapes(review_objects(spark, sf)).groupBy("field", "kind").agg(F.sum("row_count").alias("row_count"))
 
 
 _PROFILE_SQL = ("SELECT field, COUNT(kind) AS occurrences, COUNT(*) FILTER (kind = 'null') AS nulls, COUNT(*) FILTER (blank) AS blank_strings, "
@@ -149,7 +149,7 @@ common_table("typed_fields", f"""SELECT *, {_TYPE_SQL} AS proposed_type FROM (SE
 
 @query("hive_type_proposal", "SELECT field, proposed_type FROM typed_fields")
 def _type_proposal(spark, sf):
-    kinds = profile.exploded_fields(review_objects(spark, sf)).groupBy("field").agg(F.collect_set("kind").alias("kinds"))
+    kinds = profile.field_shapes(review_objects(spark, sf)).groupBy("field").agg(F.collect_set("kind").alias("kinds"))
     return kinds.select("field", profile.proposed_type(F.col("kinds")).alias("proposed_type"))
 
 

@@ -28,16 +28,38 @@ def exploded_fields(objects: DataFrame) -> DataFrame:
     return typed.select(F.col("key").alias("field"), F.col("value").alias("node"), kind_of(F.col("_type"), raw).alias("kind"))
 
 
+def field_shapes(objects: DataFrame) -> DataFrame:
+    """``field, kind, blank, row_count``: how often each field has each JSON kind, blank strings apart.
+
+    A line's shape is the list of its fields with their kinds. Lines are counted by shape, which takes
+    one row from each of them; only the shapes, few where lines come from one writer, are unfolded. The text of numbers
+    is parsed only in lines that hold a number whose spelling decides its kind.
+    """
+    fields = F.map_entries(F.try_variant_get("v", "$", "map<string,variant>"))
+    spelt = F.when(F.col("value").rlike(r"\d[.eE]|\d{19}"), F.map_entries(F.from_json("value", "map<string,string>")))
+
+    def shape(entry: Column, texts: Column) -> Column:
+        schema = F.schema_of_variant(entry["value"])
+        # Of a repeated field the last text, as the VARIANT has the last value.
+        raw = F.element_at(F.filter(texts, lambda t: t["key"] == entry["key"]), -1)["value"]
+        blank = (schema == "STRING") & missing_or_blank(F.try_variant_get(entry["value"], "$", "string"))
+        return F.struct(entry["key"].alias("field"), kind_of(schema, raw).alias("kind"), F.coalesce(blank, F.lit(False)).alias("blank"))
+
+    lines = F.transform(F.array(F.struct(fields.alias("fields"), spelt.alias("texts"))),
+                        lambda x: F.transform(x["fields"], lambda e: shape(e, x["texts"])))
+    shapes = objects.select(F.flatten(lines).alias("shape")).groupBy("shape").agg(F.count(F.lit(1)).alias("n"))
+    return shapes.select("n", F.inline("shape")).groupBy("field", "kind", "blank").agg(F.sum("n").alias("row_count"))
+
+
 def field_profile(objects: DataFrame) -> DataFrame:
     """Per field: occurrences, nulls, blank strings and the count of each JSON kind."""
-    text = F.try_variant_get("node", "$", "string")
-    blank = (F.col("kind") == "string") & missing_or_blank(text)
-    return exploded_fields(objects).groupBy("field").agg(
-        F.count(F.lit(1)).alias("occurrences"),
-        _rows(F.col("kind") == "null").alias("nulls"),
-        _rows(blank).alias("blank_strings"),
-        *[_rows(F.col("kind") == kind).alias(f"{kind}_count") for kind in KINDS],
-    )
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("row_count"))), F.lit(0))
+
+    kind = F.col("kind")
+    return field_shapes(objects).groupBy("field").agg(
+        F.sum("row_count").alias("occurrences"), rows(kind == "null").alias("nulls"), rows(F.col("blank")).alias("blank_strings"),
+        *[rows(kind == k).alias(f"{k}_count") for k in KINDS])
 
 
 def proposed_type(kinds: Column) -> Column:

@@ -51,6 +51,19 @@ def test_profile_of_values(spark, review_file):
     assert "images" not in fields
 
 
+def test_shapes_equal_single_fields(spark):
+    rows = ['{"a":1,"b":"x","b":" "}', '{"a":1.0}', '{"a":12345678901234567890123,"c":{"a":1.5}}', '{"a":1e3,"b":null}', '{}', '{"a":[],"b":true,"a":7.25}',
+            '{"a":5.0,"text":"a 5.0 b"}', '{"a":NaN,"d e":""}', '{"a":5,"b":"12345678901234567890"}'] * 3
+    objects = lines.objects(lines.classify(spark.createDataFrame([(r,) for r in rows], "value string")))
+    found = {(r.field, r.kind): r.n for r in profile.field_shapes(objects).groupBy("field", "kind").agg(F.sum("row_count").alias("n")).collect()}
+    single = {(r.field, r.kind): r.n for r in profile.exploded_fields(objects).groupBy("field", "kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert found == {k: n for k, n in single.items() if k[0] is not None} and found["a", "integer"] == 9 and found["a", "number"] == 15
+    assert {r.field: r.blank_strings for r in profile.field_profile(objects).collect()} == {"a": 0, "b": 3, "c": 0, "d e": 3, "text": 0}
+    plan = profile.field_shapes(objects)._jdf.queryExecution().optimizedPlan().toString()
+    # Fields are unfolded above the count of shapes, not for every line.
+    assert plan.index("Generate inline") < plan.index("Aggregate [shape") and "variant_explode" not in plan
+
+
 def test_dictionary_statuses(spark, review_file):
     objects = lines.objects(read(spark, review_file))
     rows = {r.field: r for r in profile.data_dictionary(objects, REVIEW_JSON_FIELDS[1:], "review").collect()}
