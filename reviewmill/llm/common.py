@@ -19,13 +19,38 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(table: DataFrame, name: str) -> DataFrame:
-    """``table`` written to the shared folder and read again, which cuts its lineage."""
+def stored(table: DataFrame, name: str, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """``table`` written to the shared folder and read again, which cuts its lineage.
+
+    ``instead_of`` are tables of this kind that nobody reads once this one is written; their files are deleted.
+    """
     path = scratch_path(table.sparkSession, name)
     table.write.parquet(path)
+    for old in instead_of:
+        dropped(old)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete the files of a ``stored`` table."""
+    spark = table.sparkSession
+    for file in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        if "/reviewmill/" in file:
+            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh(table: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores ahead until no column of ``table`` is called so in any case."""
+    taken, found = {c.lower() for c in table.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text`` with A-Z lower-cased; empty for null and blank texts."""
     lowered = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
@@ -52,7 +77,7 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while (state := links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()) != seen:
         seen = state
-        links = stored(_contract(links), "links")
+        links = stored(_contract(links), "links", (links,))
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 

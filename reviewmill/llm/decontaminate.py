@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.once import computed_once
-from reviewmill.llm.common import stored
+from reviewmill.llm.common import fresh, stored
 
 SHINGLE = 5
 #: Weighted Jaccard similarity of shingles from which a window counts as a copy of an item.
@@ -131,6 +131,11 @@ def contaminated(documents: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 
 def clean(documents: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``documents``, all columns, whose text holds no item."""
-    found = stored(leaks(documents, items, text_col).select(F.col("key").alias("__leak")).distinct(), "leaks")
-    return documents.join(found, F.xxhash64(text_col) == F.col("__leak"), "left_anti")
+    """The rows of ``documents``, all columns, whose text holds no item.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together; columns may have any
+    names; an empty table of items keeps all rows.
+    """
+    leak, = fresh(documents, "leak")
+    found = stored(leaks(documents, items, text_col).select(F.col("key").alias(leak)).distinct(), "leaks")
+    return documents.join(found, F.xxhash64(text_col) == F.col(leak), "left_anti")

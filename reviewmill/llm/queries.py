@@ -137,13 +137,13 @@ WITH lines AS (
   FROM documents WHERE text IS NOT NULL),
 normal AS (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words FROM lines),
 distinct_lines AS (
-  SELECT words, len(words) AS n, min(struct_pack(d := doc_id, p := place)) AS first FROM normal WHERE len(words) >= 5 GROUP BY words),
+  SELECT words, len(words) AS n, min(struct_pack(d := doc_id, p := place)) AS first FROM normal WHERE len(words) >= 1 GROUP BY words),
 cut AS (
   SELECT first, n - 1 AS n, i, array_to_string(words[1:i - 1], ' ') || chr(10) || array_to_string(words[i + 1:], ' ') AS rest
-  FROM (SELECT first, n, words, unnest(generate_series(1, n)) AS i FROM distinct_lines)
+  FROM (SELECT first, n, words, unnest(generate_series(1, n)) AS i FROM distinct_lines WHERE n >= 5)
   UNION ALL
   SELECT first, n, i, array_to_string(words[1:i - 1], ' ') || chr(10) || array_to_string(words[i:], ' ')
-  FROM (SELECT first, n, words, unnest(generate_series(1, n + 1)) AS i FROM distinct_lines)),
+  FROM (SELECT first, n, words, unnest(generate_series(1, n + 1)) AS i FROM distinct_lines WHERE n >= 5)),
 keyed AS (SELECT first, md5_number(n || '|' || i || '|' || rest) AS variant FROM cut),
 later AS (SELECT first, min(first) OVER (PARTITION BY variant) AS earliest FROM keyed),
 near AS (SELECT DISTINCT first FROM later WHERE earliest < first),
@@ -162,8 +162,7 @@ FROM documents LEFT JOIN kept USING (doc_id)
 
 @query("op8_line_dedup", _LINE_SQL)
 def op8_line_dedup(spark, sf_dir):
-    # The SQL twin leaves out lines below LEAST_WORDS altogether; the operator and the pipeline do not.
-    kept = line_dedup.dedup(table(spark, sf_dir, "documents"), shortest=line_dedup.LEAST_WORDS)
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

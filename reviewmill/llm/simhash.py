@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from reviewmill.llm.common import components, stored
+from reviewmill.llm.common import components, fresh, stored
 
 SHINGLE = 3
 SEED = 42
@@ -44,7 +44,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(documents: DataFrame, carried: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """The ``carried`` columns and the ``fingerprint`` (long) of every row; a null, empty or blank text has fingerprint 0."""
-    table = documents.select(*carried, F.col(text_col).alias("__text"))
+    table = documents.select(*carried, F.col(text_col).alias("text of the row"))
     schema = StructType([*table.schema.fields[:-1], StructField("fingerprint", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,11 +193,12 @@ def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row of every component of ``near_duplicates``, all columns: that with the smallest identifier.
 
     Null identifiers come last; of rows that share the smallest one the choice goes
-    by a hash of all columns, and of rows equal in all columns one stays.
+    by a hash of all columns, and of rows equal in all columns one stays. Null, empty and blank texts form one
+    group; extra columns are carried whatever their names; an empty table stays empty.
     """
-    key = F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in documents.columns])
-    keyed = documents.withColumn("__row", key)
-    marks = stored(fingerprints(keyed, ("__row", id_col), text_col), "fingerprints")
-    rooted = _rooted(marks, F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("__row")), radius)
-    kept = rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.__row").alias("__row"))
-    return keyed.join(stored(kept, "near-duplicate-kept"), "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    row, = fresh(documents, "row")
+    keyed = documents.withColumn(row, F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in documents.columns]))
+    marks = stored(fingerprints(keyed, (row, id_col), text_col), "fingerprints")
+    rooted = _rooted(marks, F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row)), radius)
+    kept = rooted.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first")[row].alias(row))
+    return keyed.join(stored(kept, "near-duplicate-kept", (marks,)), row, "left_semi").dropDuplicates([row]).drop(row)

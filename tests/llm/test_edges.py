@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import decontaminate, language_id, line_dedup, mixing, prefix_forest, repeated_spans, secret_scan, simhash, toxicity, url_filter
+from reviewmill.llm import (
+    decontaminate, language_id, line_dedup, mixing, prefix_forest, repeated_spans, resampling, secret_scan, simhash, toxicity, url_filter,
+)
 from reviewmill.llm.common import prepare
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -15,7 +17,8 @@ ROWS = [
     (None, None, None, None, None), (4, LONG, "de", "a", len(LONG)), (5, LONG, "de", "a", len(LONG)), (6, " \n\t ", "fr", "c", 4),
     (7, "İstanbul secret: abcdefghijkl 0123456789abcdef", "tr", "c", 40),
 ]
-EXTRA = ["score", "rank", "n_lines", "toxic_score", "taken_words", "key", "row", "fingerprint", "words"]
+EXTRA = ["score", "rank", "n_lines", "toxic_score", "taken_words", "key", "row", "fingerprint", "words", "_row", "__row", "Places", "__places", "leak",
+         "__leak", "__text", "text of the row", "weight", "features", "n_words", "at", "part", "before", "h", "h2", "id", "place", "first"]
 
 
 @pytest.fixture
@@ -64,6 +67,23 @@ def test_leaks(docs, items):
     assert decontaminate.clean(docs, items).count() == len(ROWS) - 2
 
 
+def test_clashing_columns_are_carried(docs, items):
+    """Values of columns whose names the operators use are those of the input."""
+    for kept in (simhash.one_of_each(docs), line_dedup.dedup(docs), decontaminate.clean(docs, items), resampling.resampled(docs, items, least_words=0, percent=100)):
+        for row in kept.collect():
+            assert all(row[c] == "x" for c in EXTRA if c != "n_lines")
+
+
+def test_resampling(docs, items):
+    scored = resampling.weighed(docs, items)
+    assert scored.count() == len(ROWS)
+    found = resampling.drawn(scored, percent=50, least_words=5).select("row.doc_id", "n_features", "weight", "rank").collect()
+    assert sorted(r["rank"] for r in found if r["rank"]) == [1, 2]
+    assert all(r.n_features == 0 and r.weight == 0 for r in found if r.doc_id in (2, 3, 6))
+    assert resampling.drawn(resampling.weighed(docs.limit(0), items)).count() == 0
+    assert resampling.resampled(docs, items.limit(0), percent=100, least_words=1).count() == len([r for r in ROWS if r[1] and r[1].strip()])
+
+
 def test_repeated_rows_and_identifiers(docs):
     marks = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
     assert marks[4].component_id == marks[5].component_id == 4

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import prefix_forest, repeated_spans, secret_scan, simhash
+from reviewmill.llm import prefix_forest, repeated_spans, resampling, secret_scan, simhash
 from reviewmill.llm.common import components, crc32_modulo, prepare
 from reviewmill.llm.language_id import codewords
 from reviewmill.llm.queries import QUERIES
@@ -130,6 +131,21 @@ def test_recall_of_the_forest(spark, sf_dir):
     assert len(parts) == len(found)
 
 
+@pytest.mark.parametrize("longest", [1, 3])
+def test_features_of_a_batch(monkeypatch, longest):
+    monkeypatch.setattr(resampling, "STEP", 7)
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abC1 é-\x00ß\n_") for _ in range(rng.randrange(40))) for _ in range(60)] + ["", "A" * 50]
+    expected = []
+    for text in texts:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        runs = [" ".join(words[i:i + n]) for n in range(1, longest + 1) for i in range(len(words) - n + 1)]
+        expected.append((len(words), sorted(zlib.crc32(r.encode()) % 1000 for r in runs)))
+    n_words, n_features, found = resampling.features([t.encode() for t in texts], longest, 1000)
+    parts = np.split(found, np.cumsum(n_features)[:-1])
+    assert [(n, sorted(p.tolist())) for n, p in zip(n_words, parts, strict=True)] == expected
+
+
 def test_held_out_accuracy_of_languages(spark, sf_dir, documents):
     found = QUERIES["op7_language_id"](spark, sf_dir).toPandas().merge(documents[["doc_id", "lang"]], on="doc_id")
     held = found[found.held_out]

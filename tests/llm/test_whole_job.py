@@ -1,61 +1,11 @@
 """Cases that an earlier version left out."""
 
-import random
-
-import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from reviewmill.llm import decontaminate, line_dedup, near_copies, url_filter
+from reviewmill.llm import decontaminate, line_dedup, url_filter
 from reviewmill.llm.common import prepare
 
 
-def jaccard(a, b):
-    a, b = ({tuple(x[i:i + 5]) for i in range(max(1, len(x) - 4))} for x in (a.lower().split(), b.lower().split()))
-    return len(a & b) / len(a | b)
-
-
-@pytest.mark.parametrize("part_rows", [256, 3])
-def test_near_copies_of_similarity_four_fifths(spark, monkeypatch, part_rows):
-    """Planted copies with some words replaced, a shared boilerplate line in all texts, against all pairs."""
-    monkeypatch.setattr(near_copies, "PART_ROWS", part_rows)
-    rng = random.Random(11)
-    line = " ".join(f"licence{i}" for i in range(12))
-    texts = []
-    for size in (9, 40, 120, 400, 1500):
-        for _ in range(4):
-            words = [f"w{rng.randrange(5000)}" for _ in range(size)]
-            texts.append(" ".join(words) + " " + line)
-            for share in (0.0, 0.01, 0.02, 0.04):
-                copy = [w if rng.random() >= share else f"x{rng.randrange(5000)}" for w in words]
-                texts.append(" ".join(copy) + " " + line)
-    texts += ["one two", "One  TWO", "one two three", "", None]
-    rng.shuffle(texts)
-    table = prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            blank = not (texts[i] or "").strip(), not (texts[j] or "").strip()
-            if all(blank) or not any(blank) and jaccard(texts[i], texts[j]) >= 0.8:
-                a, b = sorted((root[i], root[j]))
-                root = [a if r == b else r for r in root]
-    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, table, "").collect()
-    assert sorted(r.doc_id for r in kept) == sorted(set(root)) and len(set(root)) < len(texts) - 20
-
-
-def test_prefixes_of_similar_sets_share_a_hash():
-    rng = np.random.default_rng(4)
-    for n in range(1, 60):
-        whole = np.unique(rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
-        for shared in range(n + 1):
-            a, b = np.sort(whole[:n]), np.sort(np.r_[whole[:shared], whole[n:2 * n - shared]])
-            if near_copies.similar(a, b, 0.8):
-                assert set(a[:near_copies.prefix(len(a))]) & set(b[:near_copies.prefix(len(b))])
-                marks = np.stack([near_copies.sketch(x).view(np.uint64) for x in (a, b)])
-                assert near_copies.near(0, np.array([len(a), len(b)]), marks, 0.8)[1]
-
-
 def test_equal_short_lines_are_removed(spark):
     texts = ["All rights reserved.\na b c d", "x\n\nAll  rights reserved.\na b c e", "这是一个没有空格的很长的句子\nx", "这是一个没有空格的很长的句子\n \nnew"]
     table = prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
