@@ -10,6 +10,7 @@ from querybook import aggregates as tables
 from querybook.cleaning import clean_table
 from querybook.fixtures import BATCH, MODEL, predictions, raw_metadata, raw_reviews, review_view, text_view
 from querybook.registry import common_table, load, query
+from querybook.warehouse import keyed_tables
 from reviewmill.functions.serving_values import normalise
 from reviewmill.functions.times import parse_utc
 from reviewmill.operators import aggregates as agg
@@ -17,7 +18,7 @@ from reviewmill.operators import checks, clean
 from reviewmill.operators import predictions as pred
 from reviewmill.schemas import HANDOFF_FIELDS, SERVING_TABLES
 from reviewmill.session import scratch_path
-from reviewmill.sources import delimited, handoff_files
+from reviewmill.sources import delimited, handoff_files, keyed
 from reviewmill.sources import tables as written
 
 _BLANK = "({0} IS NULL OR trim({0}) = '')"
@@ -302,6 +303,41 @@ def _import_values(spark, sf):
     return _import_checks(spark, sf)
 
 
+def _keyed(name: str, sql: str):
+    """A query over the tables stored by key: reviews, staged and imported predictions."""
+    return lambda fn: query(name, sql)(lambda spark, sf: fn(**keyed_tables(spark, sf)))
+
+
+@_keyed("keyed_import_checks", "SELECT * FROM import_check_values")
+def _keyed_checks(reviews, staged, imported):
+    return keyed.check_import(staged, imported, reviews, MODEL)
+
+
+@_keyed("keyed_import", "SELECT review_key, pred_label, pred_score, model_version FROM imported")
+def _keyed_import(reviews, staged, imported):
+    return keyed.imported(staged, reviews, MODEL).select("review_key", "pred_label", "pred_score", "model_version")
+
+
+@_keyed("keyed_unknown", "SELECT p.review_key, p.pred_label FROM predictions p LEFT JOIN review_view d ON p.review_key = d.review_key WHERE d.review_key IS NULL")
+def _keyed_unknown(reviews, staged, imported):
+    return keyed.unknown_predictions(staged, reviews).select("review_key", "pred_label")
+
+
+@_keyed("keyed_missing", "SELECT d.review_key FROM review_view d LEFT JOIN predictions p ON p.review_key = d.review_key WHERE p.review_key IS NULL")
+def _keyed_missing(reviews, staged, imported):
+    return keyed.missing_reviews(reviews, staged).select("review_key")
+
+
+@_keyed("keyed_matched", "SELECT COUNT(DISTINCT p.review_key) AS matched_key_count FROM predictions p JOIN review_view d ON p.review_key = d.review_key")
+def _keyed_matched(reviews, staged, imported):
+    return keyed.matched_keys(staged, reviews)
+
+
+@_keyed("keyed_coverage", "SELECT CAST(COUNT(p.review_key) AS DOUBLE) / COUNT(d.review_key) AS prediction_coverage FROM review_view d LEFT JOIN predictions p ON p.review_key = d.review_key")
+def _keyed_coverage(reviews, staged, imported):
+    return keyed.coverage(reviews, staged)
+
+
 @query("import_reconcile", _judged_sql({
     "production_is_valid_staging": ("{production_sentiment_row_count}", "{valid_staging_row_count}"),
     "view_is_valid_staging": ("{joined_view_row_count}", "{valid_staging_row_count}"),

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from querybook import aggregates as build
-from querybook.fixtures import BATCH, MODEL, review_view
+from querybook.fixtures import BATCH, MODEL, predictions, review_view
 from reviewmill.operators import partials
 from reviewmill.operators.alerts import sentiment_alerts
 from reviewmill.session import scratch_path
+from reviewmill.sources import keyed
 from reviewmill.sources.published import Published
 
 _KNOWN: dict[tuple[str, str], Published] = {}
+_KEYED: dict[tuple[str, str], dict[str, keyed.Keyed]] = {}
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> Published:
@@ -53,3 +55,15 @@ categories, stores, monthly = map(_reader, ("dws_category_sentiment", "dws_store
 verified, matrix, confidence = map(_reader, ("dws_verified_purchase_sentiment", "dws_rating_prediction_matrix", "dws_prediction_confidence"))
 alert_table, samples = map(_reader, ("dws_sentiment_alerts", "dws_review_samples"))
 aspects, reasons = map(_reader, ("dws_aspect_summary", "dws_negative_reasons"))
+
+
+def keyed_tables(spark: SparkSession, sf_dir: str) -> dict[str, keyed.Keyed]:
+    """Reviews, staged and imported predictions by review key: written once for a session and data folder."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _KEYED:
+        root = scratch_path(spark, "keyed")
+        store = keyed.KeyedStore(spark, root, int(spark.conf.get("spark.sql.shuffle.partitions")), "keyed_" + root[-32:])
+        reviews = store.write("reviews", review_view(spark, sf_dir, keyed=True))
+        staged = store.write("staged", predictions(spark, sf_dir))
+        _KEYED[at] = {"reviews": reviews, "staged": staged, "imported": store.write("imported", keyed.imported(staged, reviews, MODEL))}
+    return _KEYED[at]

@@ -17,8 +17,8 @@ from reviewmill.functions.text import is_blank, looks_like_smoke_model, missing_
 from reviewmill.operators import aggregates as agg
 from reviewmill.operators.clean import eligible, for_batch, with_text
 from reviewmill.operators.joins import by_merge, metadata_match, unknown_keys
-from reviewmill.operators.predictions import codes, in_unit, is_valid, null_or_in_unit
-from reviewmill.schemas import HANDOFF_FIELDS, HANDOFF_FORBIDDEN, PREDICTION_OPTIONAL
+from reviewmill.operators.predictions import codes, import_faults
+from reviewmill.schemas import HANDOFF_FIELDS, HANDOFF_FORBIDDEN
 
 
 def rows_where(condition: Column) -> Column:
@@ -290,8 +290,8 @@ def check_import(staged: DataFrame, imported: DataFrame, reviews: DataFrame, vie
     model, then per key; all but the row count of the view follows from that table.
     """
     staged, imported, reviews = (for_batch(t, batch) for t in (staged, imported, reviews))
-    optional = reduce(Column.__or__, [~null_or_in_unit(c) for c in PREDICTION_OPTIONAL])
-    bad = ~is_label("pred_label") | ~in_unit("pred_score") | F.col("inferred_at").isNull()
+    faults = import_faults(model)
+    bad = faults.pop("bad")
 
     def marked(table: DataFrame, version: Column, **conditions: Column) -> DataFrame:
         marks = [F.coalesce(condition, F.lit(False)).cast("long").alias(name) for name, condition in conditions.items()]
@@ -301,13 +301,6 @@ def check_import(staged: DataFrame, imported: DataFrame, reviews: DataFrame, vie
         return F.coalesce(F.sum(c), F.lit(0))
 
     one, version = F.lit(True), F.col("model_version")
-    faults = {
-        "valid_staging_row_count": is_valid(model),
-        "invalid_label_count": ~is_label("pred_label"),
-        "invalid_score_count": ~in_unit("pred_score") | optional,
-        "blank_model_version_count": is_blank("model_version"),
-        "invalid_inferred_timestamp_count": F.col("inferred_at").isNull(),
-    }
     parts = (marked(staged, version, staged=one, **faults), marked(imported, version, imported=one, bad=bad),
              marked(reviews, F.lit(None).cast("string"), reviews=one))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

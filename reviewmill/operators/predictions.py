@@ -41,6 +41,19 @@ def is_valid(model: str) -> Column:
     return reduce(Column.__and__, checks)
 
 
+def import_faults(model: str) -> dict[str, Column]:
+    """Conditions that the checks of an import count: of staged rows, and ``bad`` of imported ones."""
+    optional = reduce(Column.__or__, [~null_or_in_unit(c) for c in PREDICTION_OPTIONAL])
+    return {
+        "valid_staging_row_count": is_valid(model),
+        "invalid_label_count": ~is_label("pred_label"),
+        "invalid_score_count": ~in_unit("pred_score") | optional,
+        "blank_model_version_count": is_blank("model_version"),
+        "invalid_inferred_timestamp_count": F.col("inferred_at").isNull(),
+        "bad": ~is_label("pred_label") | ~in_unit("pred_score") | F.col("inferred_at").isNull(),
+    }
+
+
 def valid_predictions(staged: DataFrame, model: str) -> DataFrame:
     return staged.filter(is_valid(model))
 
