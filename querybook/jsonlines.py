@@ -77,12 +77,12 @@ def _scan(spark, sf):
 @query("bounded_lines", f"""SELECT line_no, CASE WHEN {_OBJECT} THEN k END AS k FROM (
   SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) AS line_no, o_orderkey AS k FROM orders ORDER BY o_orderkey LIMIT 1200) o""")
 def _bounded(spark, sf):
-    return lines.first_lines(lines.read_lines(spark, _review_files(spark, sf)), 1200).select("line_no", _key_in_line())
+    return lines.first_lines(lines.stored_lines(lines.read_lines(spark, _review_files(spark, sf))), 1200).select("line_no", _key_in_line())
 
 
 @query("first_n_valid", "SELECT ROW_NUMBER() OVER (ORDER BY k) AS line_no, k FROM json_rows ORDER BY k LIMIT 1200")
 def _first_valid(spark, sf):
-    return lines.first_valid(lines.read_jsonl(spark, _review_files(spark, sf)), 1200).select("line_no", _key_in_line())
+    return lines.first_valid(lines.classify(lines.stored_lines(lines.read_lines(spark, _review_files(spark, sf)))), 1200).select("line_no", _key_in_line())
 
 
 @query("malformed_examples", """SELECT line_no, 'invalid_json' AS error FROM (SELECT o_orderkey AS k, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS line_no FROM orders) o

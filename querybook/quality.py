@@ -18,7 +18,7 @@ from reviewmill.operators import checks, clean
 from reviewmill.operators import predictions as pred
 from reviewmill.schemas import HANDOFF_FIELDS, SERVING_TABLES
 from reviewmill.session import scratch_path
-from reviewmill.sources import delimited, handoff_files, keyed
+from reviewmill.sources import batches, delimited, digests, handoff_files, keyed
 from reviewmill.sources import tables as written
 
 _BLANK = "({0} IS NULL OR trim({0}) = '')"
@@ -539,3 +539,45 @@ def _revalidate(spark, sf):
     spark.createDataFrame([(json.dumps(planted),), (" ",)], "value string").write.mode("append").text(f"{path}/{handoff_files.DATA}")
     known = F.col("fact") != "content_hash"
     return handoff_files.revalidate(spark, path, BATCH).select("fact", *[F.when(known, F.col(c)).alias(c) for c in ("stated", "found")])
+
+
+# ---- batches that are replaced exactly, digests that tell where tables differ ------------------
+def _reloaded(spark, sf):
+    """A batch stored with all its years, then reloaded without the early ones."""
+    path = scratch_path(spark, "batches")
+    reviews = review_view(spark, sf).select("review_key", "asin", "rating", "load_batch_id", F.year("review_time").alias("review_year"))
+    for rows, batch in ((reviews, BATCH), (reviews.withColumn("load_batch_id", F.lit("b2")), "b2"), (reviews.filter("review_year >= 1995"), BATCH)):
+        batches.replace_batch(rows, path, batch)
+    return path
+
+
+_YEARS = "SELECT load_batch_id, CAST(year(review_time) AS INTEGER) AS review_year, COUNT(*) AS row_count FROM review_view {0} GROUP BY ALL"
+_RELOADED = _YEARS.format("WHERE year(review_time) >= 1995") + " UNION ALL " + _YEARS.format("").replace("load_batch_id,", "'b2' AS load_batch_id,")
+
+
+@query("batch_reload", _RELOADED)
+def _reload(spark, sf):
+    rows = batches.read_batches(spark, _reloaded(spark, sf))
+    return rows.groupBy("load_batch_id", "review_year").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("batch_partitions", _RELOADED)
+def _batch_partitions(spark, sf):
+    return batches.partitions(spark, _reloaded(spark, sf))
+
+
+_ROW_SQL = "'=' || review_key || chr(31) || coalesce('=' || store_name, '~')"
+_DIGEST_SQL = """SELECT CAST({0} AS INTEGER) AS level, substring(md5(coalesce(review_key, '')), 1, {0}) AS key_range, COUNT(*) AS row_count,
+  CAST(SUM(CAST('0x' || substring(md5({1}), 1, 15) AS BIGINT)) AS VARCHAR) AS digest FROM review_view GROUP BY 1, 2"""
+
+
+@query("range_digests", " UNION ALL ".join(_DIGEST_SQL.format(n, _ROW_SQL) for n in digests.LEVELS))
+def _range_digests(spark, sf):
+    return digests.digests(review_view(spark, sf, keyed=True).select("review_key", "store_name"), "review_key")
+
+
+@query("differing_rows", "SELECT review_key, CAST(1 AS BIGINT) AS stated_copies, CAST(0 AS BIGINT) AS found_copies FROM review_view WHERE ends_with(review_key, 'abc')")
+def _differing_rows(spark, sf):
+    """The reviews, and the same without those whose key has a certain end."""
+    rows = review_view(spark, sf, keyed=True).select("review_key", "store_name")
+    return digests.differing_rows(rows, rows.filter("not endswith(review_key, 'abc')"), "review_key")

@@ -98,7 +98,8 @@ def _with_blocks(lines: DataFrame, blocks: DataFrame, how: str) -> DataFrame:
 def first_lines(lines: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows in physical order, numbered from 1 in ``line_no``.
 
-    Only blocks that start before row ``n`` are kept.
+    Only blocks that start before row ``n`` are kept. The lines are read twice, so lines of files
+    should come from :func:`stored_lines`.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -108,19 +109,23 @@ def first_lines(lines: DataFrame, n: int) -> DataFrame:
     return numbered.filter(F.col("line_no") <= n).drop("before")
 
 
+def stored_lines(lines: DataFrame) -> DataFrame:
+    """The lines with their places, written once: every later reading has the same blocks and places, however
+    the session cuts files by then."""
+    return _kept(lines, "lines")
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """All physical lines with their line number.
 
     Only for unfiltered lines: inside a block the places are then consecutive,
-    so a line's number follows from the first place of its block. The table of
-    blocks is sent to the lines where its measured size allows it. The input is
-    read twice; if the second reading cuts it into other blocks, as it may when
-    the number of cores has changed, the job fails instead of counting wrongly.
+    so a line's number follows from the first place of its block. The lines are written once and
+    numbered from that copy, so their number does not depend on how often, or in what blocks, the input is cut later. The table of
+    blocks is sent to the lines where its measured size allows it.
     """
-    place = F.col("place") - F.col("start")
-    changed = F.raise_error(F.lit("the blocks of the input have changed between two readings")).cast("bigint")
-    line_no = F.when((place >= 0) & (place < F.col("rows")), F.col("before") + place + 1).otherwise(changed)
-    return _with_blocks(lines, _blocks(lines), "left").withColumn("line_no", line_no).drop("before", "start", "rows")
+    kept = stored_lines(lines)
+    line_no = F.col("before") + F.col("place") - F.col("start") + 1
+    return _with_blocks(kept, _blocks(kept), "inner").withColumn("line_no", line_no).drop("before", "start", "rows")
 
 
 def first_valid(classified: DataFrame, n: int) -> DataFrame:

@@ -89,6 +89,21 @@ def test_first_lines_and_numbers(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_numbers_do_not_depend_on_later_cuts(spark, tmp_path):
+    rows = [f'{{"n":{i}}}' for i in range(1, 301)]
+    for name, part in (("a", rows[:140]), ("b", rows[140:])):
+        write(tmp_path / f"{name}.jsonl", part)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+        numbered = lines.number_lines(lines.read_lines(spark, str(tmp_path)))
+        first = lines.first_lines(lines.stored_lines(lines.read_lines(spark, str(tmp_path))), 150)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1300")
+        assert {r.line_no: r.value for r in numbered.collect()} == dict(enumerate(rows, 1))
+        assert {r.line_no: r.value for r in first.collect()} == dict(enumerate(rows[:150], 1))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_malformed_examples(spark, review_file):
     numbered = lines.classify(lines.number_lines(lines.read_lines(spark, review_file)))
     assert [tuple(r) for r in lines.malformed_examples(numbered).collect()] == [(6, "invalid_json")]
