@@ -13,6 +13,8 @@ from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.session import scratch_path
+
 _WORD = r"(?U)(\w\w+)"
 
 
@@ -75,11 +77,15 @@ class FeatureModel:
 
     def transform_terms(self, table: DataFrame, output: str = "features") -> DataFrame:
         """As :meth:`transform` for a table that already has ``terms``."""
-        counted = self.counter.transform(table)
-        scaled = counted.withColumn("_tf", _sublinear("_counts"))
+        return self.weigh(self.count(table), output)
+
+    def count(self, table: DataFrame) -> DataFrame:
+        """``_tf`` in place of ``terms``: scaled counts, the same for all models of one vocabulary."""
+        return self.counter.transform(table).withColumn("_tf", _sublinear("_counts")).drop("terms", "_counts")
+
+    def weigh(self, scaled: DataFrame, output: str = "features") -> DataFrame:
         weighted = ElementwiseProduct(scalingVec=self.weights, inputCol="_tf", outputCol="_weighted").transform(scaled)
-        return Normalizer(p=2.0, inputCol="_weighted", outputCol=output).transform(weighted).drop(
-            "terms", "_counts", "_tf", "_weighted")
+        return Normalizer(p=2.0, inputCol="_weighted", outputCol=output).transform(weighted).drop("_tf", "_weighted")
 
     def save(self, path: str) -> None:
         self.counter.write().overwrite().save(f"{path}/terms")
@@ -110,17 +116,59 @@ def _counter(vocabulary: list[str]) -> CountVectorizerModel:
     return counter.setInputCol("terms").setOutputCol("_counts")
 
 
-def learn_from_terms(terms: DataFrame, settings: FeatureSettings = FeatureSettings()) -> FeatureModel:
-    """Vocabulary and document frequencies. Terms are taken by count, ties by the term
-    itself, so the vocabulary never depends on how the input is partitioned. One row
-    per chosen term, ``settings.max_terms`` at most, comes to the driver."""
-    rows = terms.count()
-    counts = terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("uses"))
-    documents = terms.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+def term_statistics(terms: DataFrame, *by: str) -> DataFrame:
+    """``term, uses, documents`` for every term within ``by``: how often it is used, and in how many rows. The rows are read once."""
+    def marked(of: Column, use: int, document: int) -> Column:
+        return F.transform(of, lambda t: F.struct(t.alias("term"), F.lit(use).alias("use"), F.lit(document).alias("document")))
+
+    each = F.concat(marked(F.col("terms"), 1, 0), marked(F.array_distinct("terms"), 0, 1))
+    rows = terms.select(*by, F.inline(each))
+    return rows.groupBy(*by, "term").agg(F.sum("use").alias("uses"), F.sum("document").alias("documents"))
+
+
+def chosen_terms(statistics: DataFrame, rows: int, settings: FeatureSettings) -> list[tuple[str, int]]:
+    """Terms of the vocabulary with their document frequencies, by use, ties by the term itself, so the
+    choice never depends on how the input is partitioned. One row per chosen term, ``settings.max_terms`` at most, comes to the driver."""
     least, share = settings.min_documents, settings.max_document_share
-    known = documents.filter(F.col("documents") >= (least if least >= 1.0 else least * rows))
+    known = statistics.filter(F.col("documents") >= (least if least >= 1.0 else least * rows))
     if share < 1.0:
         known = known.filter(F.col("documents") <= share * rows)
-    chosen = known.join(counts, "term").orderBy(F.desc("uses"), "term").limit(settings.max_terms).select("term", "documents").collect()
-    counter = _counter([row.term for row in chosen])
-    return FeatureModel(counter, DenseVector([math.log((rows + 1) / (row.documents + 1)) + 1.0 for row in chosen]))
+    chosen = known.orderBy(F.desc("uses"), "term").limit(settings.max_terms).select("term", "documents").collect()
+    return [(r.term, r.documents) for r in chosen]
+
+
+def inverse_frequency(rows: int, documents: int) -> float:
+    """Smoothed inverse document frequency."""
+    return math.log((rows + 1) / (documents + 1)) + 1.0
+
+
+def learn_from_terms(terms: DataFrame, settings: FeatureSettings = FeatureSettings()) -> FeatureModel:
+    """Vocabulary and document frequencies of all rows."""
+    rows = terms.count()
+    chosen = chosen_terms(term_statistics(terms), rows, settings)
+    return FeatureModel(_counter([t for t, _ in chosen]), DenseVector([inverse_frequency(rows, n) for _, n in chosen]))
+
+
+def learn_without_each(terms: DataFrame, fold: str, folds: int, settings: FeatureSettings = FeatureSettings()) -> list[FeatureModel]:
+    """For every fold the features of all rows outside it, as models over one common vocabulary.
+
+    One table of terms by fold is counted; what a fold is left out of is the total less that fold. All models
+    count the same terms, so one table of counts serves them; a term that is not of a model's own vocabulary has weight 0.
+    """
+    by_fold = term_statistics(terms, fold).groupBy("term").pivot(fold, list(range(folds))).agg(F.sum("uses").alias("uses"), F.sum("documents").alias("documents"))
+    rows = {r[fold]: r["n"] for r in terms.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
+    own = [F.coalesce(F.col(f"{i}_{c}"), F.lit(0)).alias(f"{c}_{i}") for i in range(folds) for c in ("uses", "documents")]
+    total = sum(rows.values())
+    path = scratch_path(terms.sparkSession, "fold-terms")
+    by_fold.select("term", *own).write.parquet(path)
+    kept = terms.sparkSession.read.parquet(path)
+
+    def without(i: int) -> list[tuple[str, int]]:
+        less = [sum((F.col(f"{c}_{j}") for j in range(folds) if j != i), F.lit(0)).alias(c) for c in ("uses", "documents")]
+        return chosen_terms(kept.select("term", *less), total - rows.get(i, 0), settings)
+
+    chosen = [dict(without(i)) for i in range(folds)]
+    everything = sorted(set().union(*chosen))
+    counter = _counter(everything)
+    return [FeatureModel(counter, DenseVector([
+        inverse_frequency(total - rows.get(i, 0), own[t]) if t in own else 0.0 for t in everything])) for i, own in enumerate(chosen)]

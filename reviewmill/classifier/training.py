@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from reviewmill.classifier.features import FeatureModel, FeatureSettings, learn_from_terms, with_terms
+from reviewmill.classifier.features import FeatureModel, FeatureSettings, learn_from_terms, learn_without_each, with_terms
 from reviewmill.classifier.metrics import classification_metrics
 from reviewmill.classifier.split import TEST, TRAIN, VALIDATION, stratified_folds, stratified_split
 from reviewmill.schemas import LABELS
@@ -47,7 +50,10 @@ class SentimentModel:
 
     def score(self, table: DataFrame) -> DataFrame:
         """Add label, score and class scores to unseen reviews; batch or stream."""
-        scored = self.regression.transform(self.features.transform(table, self.text))
+        return self.score_features(self.features.transform(table, self.text))
+
+    def score_features(self, ready: DataFrame) -> DataFrame:
+        scored = self.regression.transform(ready)
         return to_predictions(scored.withColumn("_scores", vector_to_array("probability"))).drop(
             "features", "rawPrediction", "probability", "prediction", "_scores")
 
@@ -100,18 +106,25 @@ def _fit_each(train: DataFrame, grid: tuple[float, ...], text: str, label: str,
         "features", "weight", label_number(label).alias("label")
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        total = ready.agg(F.sum("weight")).first()[0]
-        return [
-            SentimentModel(features, LogisticRegression(
-                family="multinomial", featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iterations,
-                tol=1e-4, regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False,
-            ).fit(ready), text)
-            for c in grid
-        ]
+        return side_by_side([lambda c=c: SentimentModel(features, _regression(ready, c, max_iterations), text) for c in grid])
     finally:
         ready.unpersist()
 
 
+def _regression(ready: DataFrame, c: float, max_iterations: int) -> LogisticRegressionModel:
+    total = ready.agg(F.sum("weight")).first()[0]
+    return LogisticRegression(
+        family="multinomial", featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iterations,
+        tol=1e-4, regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False,
+    ).fit(ready)
+
+
+def side_by_side(fits: list[Callable]) -> list:
+    """Results of all ``fits``, whose jobs share the cluster: each iteration of a fit is a short job that leaves most of it idle."""
+    with ThreadPoolExecutor(max_workers=len(fits)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(SparkSession.active())(fit)) for fit in fits]]
+
+
 @dataclass
 class Selection:
     c: float
@@ -143,15 +156,31 @@ def select_c(table: DataFrame, grid: tuple[float, ...] = C_GRID, key: str = "rev
 def oof_predictions(table: DataFrame, c: float = 0.5, folds: int = FOLDS, key: str = "review_key",
                     text: str = "review_text_clean", label: str = "rating_label", seed: int = 42,
                     max_iterations: int = MAX_ITERATIONS, settings: FeatureSettings = FeatureSettings()) -> DataFrame:
-    """Score every row once, with a model that did not see it in training."""
-    # Every fold is read by all models and by the returned rows: the folds are a
-    # written table, which outlives lost executors, pruned by fold on reading.
+    """Score every row once, with a model that did not see it in training.
+
+    The text is cut into terms twice: to count them by fold, from which the vocabulary and frequencies without
+    each fold follow by subtraction, and to store the scaled counts that all fits and scores read. The folds are fitted side by side.
+    """
+    # Folds and counts are written tables, which outlive lost executors, pruned by fold on reading.
     spark = table.sparkSession
-    path = scratch_path(spark, "folds")
+    path, counted = scratch_path(spark, "folds"), scratch_path(spark, "fold-counts")
     stratified_folds(table.select(key, text, label), folds, key, label, seed).write.partitionBy("fold").parquet(path)
     folded = spark.read.schema(f"{key} STRING, {text} STRING, {label} STRING, fold INT").parquet(path)
-    parts = []
-    for fold in range(folds):
-        model = fit(folded.filter(F.col("fold") != fold), c, text, label, max_iterations, settings)
-        parts.append(model.score(folded.filter(F.col("fold") == fold)))
-    return reduce(DataFrame.unionByName, parts).drop(text)
+    terms = with_terms(folded, text).drop(text)
+    known = F.col(label).isin(*LABELS)
+    features = learn_without_each(terms.filter(known).select("fold", "terms"), "fold", folds, settings)
+    scaled = features[0].count(terms)
+    scaled.write.partitionBy("fold").parquet(counted)
+    kept = spark.read.schema(scaled.schema).parquet(counted)
+
+    def fitted(fold: int) -> SentimentModel:
+        rows = with_balanced_weights(kept.filter((F.col("fold") != fold) & known), label)
+        ready = features[fold].weigh(rows).select("features", "weight", label_number(label).alias("label")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return SentimentModel(features[fold], _regression(ready, c, max_iterations), text)
+        finally:
+            ready.unpersist()
+
+    models = side_by_side([lambda fold=fold: fitted(fold) for fold in range(folds)])
+    parts = [model.score_features(model.features.weigh(kept.filter(F.col("fold") == fold))) for fold, model in enumerate(models)]
+    return reduce(DataFrame.unionByName, parts)

@@ -89,6 +89,46 @@ def test_out_of_fold_covers_every_key_once(reviews):
         assert abs(sum(parts) - 1) < 1e-9 and r.pred_score == max(parts) == parts[LABELS.index(r.pred_label)]
 
 
+def test_folds_by_subtraction_equal_separate_fits(reviews):
+    """One table of terms by fold and one of counts, against a vocabulary and a fit of its own for every fold."""
+    found = {r.review_key: r for r in training.oof_predictions(reviews, folds=3, max_iterations=60).collect()}
+    folded = split.stratified_folds(reviews, 3)
+    assert len(found) == 120
+    for fold in range(3):
+        model = training.fit(folded.filter(F.col("fold") != fold), max_iterations=60)
+        for r in model.score(folded.filter(F.col("fold") == fold)).collect():
+            assert all(abs(r[f"{x}_score"] - found[r.review_key][f"{x}_score"]) < 1e-3 for x in LABELS) and r.pred_label == found[r.review_key].pred_label
+
+
+def test_vocabularies_without_each_fold(spark):
+    rows = [(i % 3, f"w{i % 5} w{i % 7} only{i % 3} w{i % 5}") for i in range(60)]
+    table = features.with_terms(spark.createDataFrame(rows, "fold int, t string"), "t").select("fold", "terms")
+    limits = features.FeatureSettings(max_terms=15, max_document_share=0.9)
+    for fold, model in enumerate(features.learn_without_each(table, "fold", 3, limits)):
+        own = features.learn_from_terms(table.filter(F.col("fold") != fold).select("terms"), limits)
+        found = {t: w for t, w in zip(model.counter.vocabulary, model.weights) if w}
+        assert found.keys() == set(own.counter.vocabulary) and f"only{fold}" not in found
+        assert all(abs(found[t] - w) < 1e-12 for t, w in zip(own.counter.vocabulary, own.weights))
+
+
+def test_fit_is_the_minimum_of_the_plain_objective(spark):
+    """The gradient of the weighted, ridged log-loss, written out with NumPy, vanishes at the fitted coefficients."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [(f"k{i}", " ".join(rng.choice(["good", "bad", "soft", "hard", "dull", "warm"], 4)), LABELS[int(rng.choice(3, p=(0.5, 0.2, 0.3)))]) for i in range(90)]
+    table = spark.createDataFrame(rows, "review_key string, review_text_clean string, rating_label string")
+    model = training.fit(table, c=0.5, max_iterations=500)
+    ready = training.with_balanced_weights(model.features.transform(table, "review_text_clean"), "rating_label").collect()
+    x, y = np.array([r.features.toArray() for r in ready]), np.eye(3)[[LABELS.index(r.rating_label) for r in ready]]
+    w = np.array([r.weight for r in ready])
+    coefficients, intercept = model.regression.coefficientMatrix.toArray(), model.regression.interceptVector.toArray()
+    scores = np.exp(x @ coefficients.T + intercept)
+    wrong = (scores / scores.sum(axis=1, keepdims=True) - y) * w[:, None] / w.sum()
+    slope = wrong.T @ x + coefficients / (0.5 * w.sum())
+    assert np.abs(slope).max() < 2e-3 and np.abs(wrong.sum(axis=0)).max() < 2e-3 and np.abs(coefficients).max() > 0.1
+
+
 def test_selection_and_saved_model(spark, reviews, tmp_path):
     found = training.select_c(reviews, grid=(0.5, 2.0), max_iterations=10)
     assert found.c in (0.5, 2.0) and found.test["row_count"] == 12 and len(found.validation) == 2
