@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 #: Buckets of the hashed n-grams.
 BUCKETS = 1 << 16
-#: Documents of each language that the fit reads at most, in expectation; chosen by a hash of their text.
+#: Documents of each language that the fit reads at most, in expectation; chosen by a hash of identifier and text.
 FIT_ROWS = 4000
 #: Share of a count added to every bucket, as the mean count of a bucket.
 SMOOTHING = 0.05
@@ -113,22 +113,22 @@ def predict(text: str | None, model: Model) -> tuple[str, float, bool, str | Non
     return model.languages[first], float(shares[first]), bool(shares[first] < CLEAR), model.languages[second]
 
 
-def fit(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> Model:
+def fit(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS, id_col: str = "doc_id") -> Model:
     """Model from a sample of about ``fit_rows`` documents of each language, whole texts.
 
-    The sample takes the documents with the smallest hashes of their text, so it is
-    the same in every run. The driver gets one row per language and the summed
+    The sample takes the documents with the smallest hashes of identifier and text, so it is
+    the same in every run, and copies of a text are not in or out together. The driver gets one row per language and the summed
     counts by language and bucket, bounded by languages times ``BUCKETS``.
     """
     known = documents.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col, text_col).alias("at"))
     sizes = {row.lang: row.n for row in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, 0), np.int8), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), np.zeros((0, 0)))
     share = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, fit_rows / sizes[lang]))]), F.col("lang"))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = known.filter(place < share)
+    place = F.pmod("at", F.lit(1 << 20)) / float(1 << 20)
+    chosen = known.filter(place < share).select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -159,7 +159,7 @@ def identify(documents: DataFrame, learn: Column, id_col: str = "doc_id", text_c
     returned as often as they occur; extra columns are not carried.
     """
     spark = documents.sparkSession
-    model = spark.sparkContext.broadcast(fit(documents.filter(learn), text_col, lang_col))
+    model = spark.sparkContext.broadcast(fit(documents.filter(learn), text_col, lang_col, id_col=id_col))
     table = documents.select(F.col(id_col), (~F.coalesce(learn, F.lit(True))).alias("held_out"), F.col(text_col).alias("__text"))
     names = [id_col, "held_out", "lang_pred", "score", "ambiguous", "second"]
 

@@ -186,12 +186,20 @@ tags AS (
 links AS (
   SELECT url, a, replace(CASE WHEN lower(tag[1:5]) = '<link' THEN regexp_extract(tag, '(?is)\shref\s*=\s*["'']?([^"''\s>]+)', 1)
          ELSE regexp_extract(tag, '(?is)\scontent\s*=\s*["'']?\s*[0-9.]*\s*[;,]\s*url\s*=\s*["'']?([^"''\s>]+)', 1) END, '&amp;', '&') AS link FROM tags),
+pieces AS (
+  SELECT *, regexp_extract(url, '(?s)^.*?://[^/?#]*') AS root, regexp_extract(url, '(?s)^.*?://[^?#]*') AS page,
+         regexp_extract(url, '(?s)^.*?://[^/?#]*((?:[^?#]*/)?)', 1) AS folder,
+         regexp_extract(link, '(?s)^[^?#]*') AS own, regexp_extract(link, '(?s)^[^?#]*(.*)', 1) AS tail FROM links),
+merged AS (
+  SELECT *, CASE WHEN starts_with(own, '/') THEN own WHEN folder = '' THEN '/' || own ELSE folder || own END AS path FROM pieces),
+walked AS (  -- dot segments resolved one by one, none above the root
+  SELECT * EXCLUDE (path), CASE WHEN regexp_matches(path, '(?s)/\.\.?(?:/|\z)') THEN
+    list_reduce(list_prepend('', string_split(path, '/')[2:]), lambda kept, s: CASE WHEN s = '.' THEN kept WHEN s = '..' THEN regexp_replace(kept, '/[^/]*$', '') ELSE kept || '/' || s END)
+      || CASE WHEN regexp_matches(path, '(?s)/\.\.?\z') THEN '/' ELSE '' END ELSE path END AS path FROM merged),
 absolute AS (
   SELECT a, CASE WHEN link = '' THEN NULL WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
-    WHEN starts_with(link, '//') THEN 'http:' || link
-    WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || link
-    WHEN regexp_matches(url, '(?s)^.*?://[^/?#]*/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*(?:[^?#]*/)') || link
-    ELSE regexp_extract(url, '(?s)^.*?://[^/?#]*') || '/' || link END AS link FROM links),
+    WHEN starts_with(link, '//') THEN 'http:' || link WHEN starts_with(link, '#') THEN url
+    WHEN starts_with(link, '?') THEN page || link ELSE root || path || tail END AS link FROM walked),
 edges AS (
   SELECT a, translate(regexp_extract(link, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(link, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS b
   FROM absolute WHERE regexp_extract(link, '(?s)^.*?://([^/?#]*)', 1) <> ''),

@@ -1,5 +1,6 @@
 """Operators against brute force on small random tables."""
 
+import math
 import random
 import re
 import zlib
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import prefix_forest, repeated_spans, resampling, secret_scan, simhash
+from reviewmill.llm import language_id, prefix_forest, repeated_spans, resampling, secret_scan, simhash
 from reviewmill.llm.common import components, crc32_modulo, prepare
 from reviewmill.llm.language_id import codewords
 from reviewmill.llm.queries import QUERIES
@@ -158,6 +159,33 @@ def test_codewords_differ():
         assert len({tuple(row) for row in code}) == n and (abs(code.sum(axis=0)) < n).all()
 
 
+def test_decoding_against_all_codewords():
+    """Loss-weighted decoding with plain loops over languages, bits and n-grams."""
+    rng = np.random.default_rng(4)
+    names = ["aa", "bb", "cc", "dd", "ee"]
+    model = language_id.fitted(rng.integers(0, 9, (5, language_id.BUCKETS)).astype(float), names)
+    for text in ("abc", "Ein längerer Text, mit Wörtern.", "x", "ça va? 12 tout à fait bien " * 3):
+        found = [int(b) for part in language_id.ngrams(text) for b in part]
+        losses = []
+        for lang in range(5):
+            loss = 0.0
+            for bit in range(model.code.shape[1]):
+                margin = sum(float(model.weights[b][bit]) for b in found) / len(found) / model.scale[bit]
+                loss += model.trust[lang][bit] * math.exp(-model.code[lang][bit] * max(-4.0, min(4.0, margin)))
+            losses.append(loss)
+        shares = [math.exp(-language_id.SHARPNESS * (x - min(losses))) for x in losses]
+        order = sorted(range(5), key=lambda i: losses[i])
+        lang, score, ambiguous, second = language_id.predict(text, model)
+        assert (lang, second) == (names[order[0]], names[order[1]]) and math.isclose(score, max(shares) / sum(shares), rel_tol=1e-6)
+        assert ambiguous == (score < language_id.CLEAR)
+
+
+def test_a_language_of_copies_is_learned(spark):
+    rows = [(i, "der gleiche Satz immer wieder", "de") for i in range(400)] + [(1000 + i, f"another line of number {i}", "en") for i in range(50)]
+    model = language_id.fit(prepare(spark).createDataFrame(rows, "doc_id long, text string, lang string"), fit_rows=40)
+    assert model.languages == ["de", "en"] and language_id.predict("der gleiche Satz", model)[0] == "de"
+
+
 def test_toxic_documents_are_found(spark):
     """Planted words, seen in labelled documents; plain documents that share all their other words."""
     rng = random.Random(1)

@@ -1,9 +1,12 @@
 """Cases that an earlier version left out."""
 
+import duckdb
 from pyspark.sql import functions as F
 
+from check_oracles import compare
 from reviewmill.llm import decontaminate, line_dedup, url_filter
 from reviewmill.llm.common import prepare
+from reviewmill.llm.queries import ORACLES, QUERIES
 
 
 def test_equal_short_lines_are_removed(spark):
@@ -38,3 +41,23 @@ def test_relative_links_are_resolved(spark):
              (4, "http://a.com/p?page=3", link % "?page=2"), (5, "http://a.com/q/r", link % "./s")]
     verdicts = url_filter.judge(prepare(spark).createDataFrame(pages, "page_id long, url string, html string")).collect()
     assert {r.page_id: r.verdict for r in verdicts} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
+
+
+def test_url_twin_follows_planted_chains(spark, tmp_path):
+    """The SQL twin against the operator where links do carry decisions: relative links, chains, cycles, allowed pages between."""
+    link, move = '<link rel="canonical" href="%s">', '<META content="0; url=%s" HTTP-EQUIV=refresh>'
+    chains = [
+        ("http://a.com/de/x", ""), ("http://a.com/p/y/z", link % "../../de/x"), ("http://a.com/p/q/r", link % "../y/./z"), ("http://a.com/s?page=2", move % "http://a.com/p/q/r"),
+        ("http://a.com/s?page=3#f", link % "?page=2"), ("http://a.com/s?page=4", link % "#top"), ("http://b.org/ok", link % "//a.com/s?page=3"), ("http://c.net", move % "http://b.org/ok"),
+        ("http://c.net/k", link % "http://c.net"), ("http://d.net/1", link % "2"), ("http://d.net/2", link % "3"), ("http://d.net/3", link % "1"), ("http://d.net/a/..", link % ".."),
+        ("http://d.net/a//b/c", link % "../../x"), ("http://d.net/a//x", link % "/./de/../q"), ("http://e.com/v", link % "../../../de/w"), ("http://e.com/t", link % "http://sub.e.com/de/u"),
+        ("http://f.com/", link % "de/."), ("http://g.com/fr/1", link % "/de/1"), ("http://h.net/1", link % "http://g.com/fr/1"), (None, link % "http://a.com/de/x"), ("nohost", link % "http://a.com/de/x"),
+    ]
+    table = prepare(spark).createDataFrame([(i, u, h) for i, (u, h) in enumerate(chains * 2)], "page_id long, url string, html string")
+    table.coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert compare(spark, con, str(tmp_path), "op10_url_filter", QUERIES["op10_url_filter"], ORACLES["op10_url_filter"]) == ""
+    verdicts = {r.url: r.verdict for r in url_filter.judge(table).join(table.select("page_id", "url"), "page_id").collect()}
+    assert [verdicts[u] for u in ("http://a.com/p/y/z", "http://a.com/s?page=3#f", "http://b.org/ok", "http://c.net/k", "http://h.net/1")] == ["block", "block", "allow", "block", "block"]
+    assert verdicts["http://d.net/1"] == "allow" and verdicts["http://e.com/v"] == "block" and verdicts["http://g.com/fr/1"] == "allow"
