@@ -3,35 +3,44 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from reviewmill.llm.common import crc32_modulo, stored
+from reviewmill.llm.common import crc32_modulo, dropped, stored
 
 #: Longest character n-gram and discount of the models.
-ORDER = 5
+ORDER = 8
 DISCOUNT = 0.75
-#: Words of the windows whose most toxic one counts, beside the whole text.
-WINDOW = 12
-#: Labelled documents that the models and the calibration read at most, in expectation; chosen by a hash of their identifier.
+#: Words of the windows whose most toxic one counts; words whose mean counts, the most toxic ones; log-likelihood ratio
+#: of a word above which it adds to the excess of its text.
+WINDOW, TOP, STRONG = 12, 3, 2.0
+#: Words of texts that are looked up at a time, whole texts at least.
+TOGETHER = 1 << 16
+#: Longer runs of letters and digits are words of this many characters, one after the other.
+WORD_CHARACTERS = 64
+#: Labelled documents that the models and the calibration read at most, and characters of the former, in expectation;
+#: chosen by a hash of their identifier. The characters bound the table of n-grams that is sent to all tasks.
 FIT_ROWS = 60_000
+FIT_CHARACTERS = 12_000_000
 CALIBRATION_ROWS = 6_000
 #: Of the remainders of crc32 modulo FOLDS, this one is never learned from, and the next calibrates.
 FOLDS = 5
 HELD_OUT = 0
 CALIBRATION = 1
-#: Distinct words that a task gathers before it hands them on.
-FLUSH = 150_000
+#: Features of a text, in the order of the calibration's weights, which are these if it has nothing to fit on.
+FEATURES = ("whole", "window", "top", "excess")
+DEFAULT = (-7.5, 1.0, 0.0, 1.1, 24.0)
 #: Columns that a scored table has, all named with toxic_ before it.
-ADDED = {"held_out": BooleanType(), "score": DoubleType(), "predicted": IntegerType(), "whole": DoubleType(), "window": DoubleType()}
+ADDED = {"held_out": BooleanType(), "score": DoubleType(), "predicted": IntegerType(), **dict.fromkeys(FEATURES, DoubleType())}
+COUNTS = ("toxic_fit", "plain_fit", "toxic_all", "plain_all")
 START, END = "\x02", "\x03"
-WORDS = re.compile(r"[^\W_]+")
+WORDS = re.compile(rf"[^\W_]{{1,{WORD_CHARACTERS}}}")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -47,67 +56,49 @@ def grams_of(word: str) -> list[str]:
 def gathered(documents: DataFrame) -> DataFrame:
     """``gram`` with its counts in toxic and ordinary documents, without and with the calibration part.
 
-    ``documents`` has ``text, toxic, part``; rows without a label add their n-grams
-    with counts of zero, which is what the shared backoff counts need. A task sums
-    up distinct words first, then n-grams, and hands them on when they are many.
+    ``documents`` has ``text, toxic, fold``; rows without a label add their n-grams
+    with counts of zero, which is what the shared backoff counts need. Words are summed up over the
+    corpus before they are cut into n-grams.
     """
-    names = ["gram", "toxic_fit", "plain_fit", "toxic_all", "plain_all"]
-
-    def flushed(seen: set[str], counts: dict[str, Counter]) -> pa.RecordBatch:
-        grams: dict[str, list[int]] = {}
-        for word in seen:
-            for gram in grams_of(word):
-                grams.setdefault(gram, [0, 0, 0, 0])
-        for i, name in enumerate(names[1:]):
-            for word, n in counts[name].items():
-                for gram in grams_of(word):
-                    grams[gram][i] += n
-        columns = zip(*grams.values()) if grams else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), *(pa.array(c, pa.int64()) for c in columns)], names)
+    word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(rf"[\p{{L}}\p{{N}}]{{1,{WORD_CHARACTERS}}}"), F.lit(0))).alias("word")
+    fit = F.col("fold") != CALIBRATION
+    kinds = {"toxic_fit": fit & (F.col("toxic") == 1), "plain_fit": fit & (F.col("toxic") == 0), "toxic_all": F.col("toxic") == 1, "plain_all": F.col("toxic") == 0}
+    rows = documents.select(*[F.coalesce(c.cast("long"), F.lit(0).cast("long")).alias(n) for n, c in kinds.items()], word)
+    words = rows.groupBy("word").agg(*[F.sum(n).alias(n) for n in COUNTS])
+    marked = words.select(F.concat(F.lit(START), "word", F.lit(END)).alias("marked"), *COUNTS)
+    ends = F.sequence(F.lit(2), F.length("marked"))
+    grams = F.transform(ends, lambda i: F.substring("marked", F.greatest(F.lit(1), i - ORDER + 1), F.least(i, F.lit(ORDER))))
+    return marked.select(F.explode(grams).alias("gram"), *COUNTS).groupBy("gram").agg(*[F.sum(n).alias(n) for n in COUNTS])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
-        counts = {name: Counter() for name in names[1:]}
-        for batch in batches:
-            for text, toxic, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                found = words_of(text)
-                seen.update(found)
-                if toxic is not None:
-                    kind = "toxic" if toxic else "plain"
-                    counts[f"{kind}_all"].update(found)
-                    if fold != CALIBRATION:
-                        counts[f"{kind}_fit"].update(found)
-                if len(seen) > FLUSH:
-                    yield flushed(seen, counts)
-                    seen, counts = set(), {name: Counter() for name in names[1:]}
-        yield flushed(seen, counts)
-
-    parts = documents.select("text", "toxic", "fold").mapInArrow(run, "gram string, " + ", ".join(f"{n} long" for n in names[1:]))
-    return parts.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names[1:]])
-
-
-def shared_backoff(grams: DataFrame) -> DataFrame:
-    """``gram, p``: Kneser-Ney probability of the last character of every n-gram shorter than the longest.
+
+def shared_backoff(grams: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``gram, p``: Kneser-Ney probability of the last character of every ``wanted`` n-gram, all shorter than the longest.
 
     Counts are of types, not tokens: the number of different characters seen before
-    an n-gram anywhere in the corpus. Both classes share them.
+    an n-gram anywhere in the corpus. Both classes share them. Types are counted level by level, each from the one
+    above and written before the next; probabilities are worked out for wanted n-grams and their ends only.
     """
-    levels, known = {}, grams.select("gram")
+    levels: dict[int, DataFrame] = {}
     for size in range(ORDER, 1, -1):
-        longer = known.filter(F.length("gram") == size)
+        longer = grams.filter(F.length("gram") == size).select("gram")
         if size in levels:
             longer = longer.union(levels[size].select("gram"))
-        levels[size - 1] = longer.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
-    levels[1] = levels[1].withColumn("h", F.lit(""))
-    all_kinds = levels[1].groupBy("h").agg(F.sum("n").alias("total"))
-    below = stored(levels[1].join(all_kinds, "h").select("gram", (F.col("n") / F.col("total")).alias("p")), "backoff-1")
+        found = longer.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        levels[size - 1] = stored(found, f"types-{size - 1}")
+    needed = {ORDER: wanted.limit(0)}
+    for size in range(ORDER - 1, 0, -1):
+        own = wanted.filter(F.length("gram") == size).union(needed[size + 1].select(F.expr("substring(gram, 2)").alias("gram")))
+        needed[size] = stored(own.distinct(), f"wanted-{size}") if size > 1 else own.distinct()
+    total = levels[1].agg(F.sum("n")).first()[0] or 1
+    below = stored(levels[1].select("gram", (F.col("n") / F.lit(total)).alias("p")), "backoff-1")
     everything = below
     for size in range(2, ORDER):
-        level = levels[size].withColumn("h", F.expr(f"substring(gram, 1, {size - 1})"))
-        totals = level.groupBy("h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        level = levels[size]
+        totals = level.groupBy(F.expr(f"substring(gram, 1, {size - 1})").alias("h")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        rows = needed[size].join(level, "gram").withColumns({"h": F.expr(f"substring(gram, 1, {size - 1})"), "rest": F.expr("substring(gram, 2)")})
         lower = below.select(F.col("gram").alias("rest"), F.col("p").alias("q"))
         p = (F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("q")) / F.col("total")
-        below = stored(level.join(totals, "h").withColumn("rest", F.expr("substring(gram, 2)")).join(lower, "rest").select("gram", p.alias("p")), f"backoff-{size}")
+        below = stored(rows.join(totals, "h").join(lower, "rest").select("gram", p.alias("p")), f"backoff-{size}", (level, needed[size]))
         everything = everything.union(below)
     return everything
 
@@ -118,10 +109,11 @@ def ratios(grams: DataFrame) -> DataFrame:
     Rows whose name ends with a tab are contexts: the ratio of what the classes
     leave to the shared counts, for characters that neither has seen there.
     """
-    backoff = shared_backoff(grams).select(F.col("gram").alias("rest"), "p")
-    labelled = grams.filter("toxic_all + plain_all > 0").withColumn("h", F.expr("substring(gram, 1, length(gram) - 1)"))
+    labelled = stored(grams.filter("toxic_all + plain_all > 0").withColumn("h", F.expr("substring(gram, 1, length(gram) - 1)")), "toxic-labelled")
+    wanted = labelled.select(F.expr("substring(gram, 2)").alias("gram")).distinct()
+    backoff = shared_backoff(grams, wanted).select(F.col("gram").alias("rest"), "p")
     sums = []
-    for name in ("toxic_fit", "plain_fit", "toxic_all", "plain_all"):
+    for name in COUNTS:
         sums += [F.sum(name).alias(f"{name}_sum"), F.count(F.when(F.col(name) > 0, 1)).alias(f"{name}_kinds")]
     contexts = stored(labelled.groupBy("h").agg(*sums), "toxic-contexts")
 
@@ -139,38 +131,79 @@ def ratios(grams: DataFrame) -> DataFrame:
     return known.union(unknown)
 
 
-class Scorer:
-    """Adds up the ratios of a text; remembers the words it has met."""
-
-    def __init__(self, table: dict[str, float], remembered: int = 200_000):
-        self.table, self.remembered, self.words = table, remembered, {}
-
-    def word(self, word: str) -> float:
-        total = 0.0
-        for gram in grams_of(word):
-            value = self.table.get(gram)
-            total += self.table.get(gram[:-1] + "\t", 0.0) if value is None else value
-        return total
-
-    def features(self, text: str | None) -> tuple[float, float]:
-        """Log-likelihood ratio per character of the whole text, and of its most toxic window."""
-        found = words_of(text)
-        if not found:
-            return 0.0, 0.0
-        if len(self.words) > self.remembered:
-            self.words.clear()
-        for word in set(found).difference(self.words):
-            self.words[word] = self.word(word)
-        sums = np.cumsum([0.0, *map(self.words.__getitem__, found)])
-        sizes = np.cumsum([0, *(len(w) + 1 for w in found)])
-        wide = min(WINDOW, len(found))
-        return float(sums[-1] / sizes[-1]), float(((sums[wide:] - sums[:-wide]) / (sizes[wide:] - sizes[:-wide])).max())
+def gram_hash(gram: str) -> int:
+    """What Spark's ``xxhash64`` gives for the text, unsigned."""
+    return xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"), 42)
+
+
+def packed(hashes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of n-grams in order, with their ratios: 12 bytes for each."""
+    order = np.argsort(hashes)
+    return hashes[order], values[order].astype(np.float32)
+
+
+class Scorer(dict):
+    """Log-likelihood ratios of words, toxic to ordinary; those it has met are remembered."""
+
+    def __init__(self, table: tuple[np.ndarray, np.ndarray], remembered: int = 400_000):
+        (self.hashes, self.values_of), self.remembered = table, remembered
+
+    def _looked_up(self, grams: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ratio of every n-gram, and whether the table has it."""
+        if not len(self.hashes):
+            return np.zeros(len(grams)), np.zeros(len(grams), bool)
+        wanted = np.fromiter(map(gram_hash, grams), np.uint64, len(grams))
+        at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
+        there = self.hashes[at] == wanted
+        return np.where(there, self.values_of[at], 0.0), there
+
+    def learn(self, words: set[str]) -> None:
+        """Work out the ratios of words it does not know: of n-grams that no label has, the ratio of their context."""
+        if len(self) + len(words) > self.remembered:
+            self.clear()
+        new = list(words.difference(self))
+        if not new:
+            return
+        grams = [grams_of(w) for w in new]
+        flat = [g for gs in grams for g in gs]
+        values, there = self._looked_up(flat)
+        rest = np.flatnonzero(~there)
+        values[rest] = self._looked_up([flat[i][:-1] + "\t" for i in rest])[0]
+        starts = np.cumsum([0, *map(len, grams[:-1])])
+        self.update(zip(new, np.add.reduceat(values, starts).tolist()))
+
+    def features(self, texts: list[str | None]) -> np.ndarray:
+        """A row for each text: log-likelihood ratio per character of the whole and of its most toxic window, mean ratio of
+        its most toxic words, and what words have beyond ``STRONG``, per word of the text."""
+        rows = np.zeros((len(texts), len(FEATURES)))
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            held.append((i, words_of(text)))
+            size += len(held[-1][1])
+            if size >= TOGETHER or i == len(texts) - 1:
+                self._fill(rows, held)
+                held, size = [], 0
+        return rows
+
+    def _fill(self, rows: np.ndarray, held: list[tuple[int, list[str]]]) -> None:
+        self.learn({w for _, found in held for w in found})
+        for i, found in held:
+            if not found:
+                continue
+            each = np.fromiter(map(self.__getitem__, found), float, len(found))
+            sums = np.r_[0.0, np.cumsum(each)]
+            sizes = np.r_[0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)]
+            wide, top = min(WINDOW, len(found)), min(TOP, len(found))
+            best = np.partition(each, len(each) - top)[len(each) - top:]
+            rows[i] = (sums[-1] / sizes[-1], ((sums[wide:] - sums[:-wide]) / (sizes[wide:] - sizes[:-wide])).max(),
+                       best.sum() / TOP, np.maximum(each - STRONG, 0.0).sum() / len(found))
 
 
 def calibrated(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Weights of a logistic regression on an intercept and the two features, with a small ridge."""
-    x, beta = np.c_[np.ones(len(features)), features], np.zeros(3)
-    ridge = np.diag([1e-6, 1e-2, 1e-2])
+    """Weights of a logistic regression on an intercept and the features, with a small ridge."""
+    x = np.c_[np.ones(len(features)), features]
+    beta, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [1e-2] * features.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (toxic - p) - ridge @ beta)
@@ -180,15 +213,16 @@ def calibrated(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return beta
 
 
-def _sampled(rows: DataFrame, n: int) -> DataFrame:
-    """About ``n`` rows, always the same, by a hash of the identifier."""
-    total = max(1, rows.count())
-    return rows if total <= n else rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * n / total))
+def _sampled(rows: DataFrame, n: int, characters: float = float("inf")) -> DataFrame:
+    """About ``n`` rows and ``characters`` characters (column ``size``), always the same, by a hash of the identifier."""
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
+    share = min(1.0, n / max(1, total.n), characters / max(1, total.size))
+    return rows if share == 1.0 else rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * share))
 
 
 def score(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
-    """All rows of ``documents`` as ``id_col, held_out, score, predicted``, with both features.
+    """All rows of ``documents`` as ``id_col, held_out, score, predicted``, with all features.
 
     See ``annotated``.
     """
@@ -197,19 +231,20 @@ def score(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 
 def annotated(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-              fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
-    """All rows and columns of ``documents`` with ``toxic_held_out``, ``toxic_score``, ``toxic_predicted`` and both features.
+              fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS, fit_characters: int = FIT_CHARACTERS) -> DataFrame:
+    """All rows and columns of ``documents`` with ``toxic_held_out``, ``toxic_score``, ``toxic_predicted`` and all features.
 
     Labels of documents whose identifier's crc32 modulo ``FOLDS`` is ``HELD_OUT``
     are never read. A character is predicted from those before it in its word; the
     classes keep their own counts of the longest n-grams and share the backoff
     counts, gathered from every document, labelled or not. A text's score compares
-    its length-normalised log-likelihoods under both classes, over the whole text
-    and over its most toxic window of ``WINDOW`` words, by a logistic regression
+    its length-normalised log-likelihoods under both classes, over the whole text, its most toxic window of ``WINDOW``
+    words, its most toxic words and all words far above the ordinary, by a logistic regression
     fitted where the counts have not been (models without that part of the labels).
 
-    The models and the calibration read bounded samples of the labelled rows
-    (``fit_rows``, ``calibration_rows``); the sample of labels is what is broadcast.
+    The models and the calibration read bounded samples of the labelled rows (``fit_rows``, ``fit_characters``,
+    ``calibration_rows``). Hashes and ratios of that sample's n-grams, at most one of 12 bytes for each of its characters
+    and one for each context, pass through the driver to all tasks; counts of the corpus do not. Runs of letters longer than ``WORD_CHARACTERS`` are several words.
     Null, empty and wordless texts have features 0 and get the score of those.
     Without labels of both kinds every score is 0. Labels that are null, not 0 or 1,
     or whose document is missing are ignored; of repeated labels the larger counts.
@@ -218,28 +253,33 @@ def annotated(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     spark = documents.sparkSession
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1) and id is not null")
-    known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).withColumn("fold", crc32_modulo(F.col("id"), FOLDS))
-    known = stored(_sampled(known.filter(F.col("fold") != HELD_OUT), fit_rows), "toxic-labels")
+    known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).withColumn("fold", crc32_modulo(F.col("id"), FOLDS)).filter(F.col("fold") != HELD_OUT)
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sizes = texts.select("id", F.length("text").alias("size")).groupBy("id").agg(F.sum("size").alias("size"))
+    known = stored(_sampled(stored(known.join(sizes, "id"), "toxic-labels"), fit_rows, fit_characters), "toxic-labels")
 
-    table, beta = {}, np.array([-50.0, 0.0, 0.0])
+    model, beta = packed(np.zeros(0, np.uint64), np.zeros(0)), np.array([-50.0] + [0.0] * len(FEATURES))
     if known.select("toxic").distinct().count() == 2:
-        grams = stored(gathered(texts.join(F.broadcast(known), "id", "left")), "toxic-grams")
-        rows = ratios(grams).toPandas()
+        given = F.broadcast(known.select("id", "toxic", "fold"))
+        grams = stored(gathered(texts.join(given, "id", "left")), "toxic-grams")
+        rows = ratios(grams).select(F.xxhash64("gram").alias("h"), F.col("fit").cast("float"), F.col("all").cast("float")).toArrow()
+        dropped(grams)
+        hashes = rows["h"].to_numpy().view(np.uint64)
+        fit, model = (packed(hashes, rows[n].to_numpy()) for n in ("fit", "all"))
         calibration = _sampled(known.filter(F.col("fold") == CALIBRATION), calibration_rows)
-        first = spark.sparkContext.broadcast(dict(zip(rows["gram"], rows["fit"])))
-        chosen = texts.join(F.broadcast(calibration), "id").select("text", "toxic")
+        first = spark.sparkContext.broadcast(fit)
+        chosen = texts.join(F.broadcast(calibration.select("id", "toxic")), "id").select("text", "toxic")
 
         def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scorer = Scorer(first.value)
             for batch in batches:
-                pairs = [scorer.features(x) for x in batch.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array([p[i] for p in pairs], pa.float64()) for i in (0, 1))], ["toxic", "whole", "window"])
+                found = scorer.features(batch.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(1), *map(pa.array, found.T)], ["toxic", *FEATURES])
 
-        seen = chosen.mapInArrow(features, "toxic int, whole double, window double").toPandas()
-        table = dict(zip(rows["gram"], rows["all"]))
-        beta = calibrated(seen[["whole", "window"]].to_numpy(), seen["toxic"].to_numpy(dtype=float)) if seen["toxic"].nunique() == 2 else np.array([-2.0, 0.0, 20.0])
-    model = spark.sparkContext.broadcast(table)
+        seen = chosen.mapInArrow(features, ", ".join(["toxic int", *(f"{n} double" for n in FEATURES)])).toPandas()
+        first.destroy()
+        beta = calibrated(seen[list(FEATURES)].to_numpy(), seen["toxic"].to_numpy(dtype=float)) if seen["toxic"].nunique() == 2 else np.array(DEFAULT)
+    model = spark.sparkContext.broadcast(model)
     added = [StructField(f"toxic_{n}", t) for n, t in ADDED.items()]
     carried = documents.select(*[c for c in documents.columns if c not in {f.name for f in added}])
     at = carried.columns.index(text_col)
@@ -249,9 +289,9 @@ def annotated(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.value)
         for batch in batches:
-            pairs = np.array([scorer.features(x) for x in batch.column(at).to_pylist()]).reshape(-1, 2)
-            p = 1 / (1 + np.exp(-np.clip(beta[0] + pairs @ beta[1:], -50, 50)))
-            columns = [p, (p >= 0.5).astype(np.int32), pairs[:, 0], pairs[:, 1]]
+            found = scorer.features(batch.column(at).to_pylist())
+            p = 1 / (1 + np.exp(-np.clip(beta[0] + found @ beta[1:], -50, 50)))
+            columns = [p, (p >= 0.5).astype(np.int32), *found.T]
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, columns)], schema.names)
 
     return table.mapInArrow(run, schema)
