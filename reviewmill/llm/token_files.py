@@ -21,7 +21,7 @@ PAGE_ROWS = 512
 #: Texts are encoded in slices of about this many characters, cut at blanks.
 SLICE = 1 << 20
 #: Pieces whose ids a worker remembers, in two generations.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 # The normaliser and pre-tokeniser of vocabularies whose pieces can be encoded one by one.
 SPLITS = {
@@ -60,7 +60,9 @@ class _Pieces(dict):
             self.clear()
         coded = self.older.get(piece)
         if coded is None:
-            coded = array("i", [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, piece.encode())))]).tobytes()
+            # Printable ASCII stands for itself; pieces hold no blank.
+            letters = piece if piece.isascii() and piece.isprintable() else "".join(map(self.letters.__getitem__, piece.encode()))
+            coded = array("i", [t.id for t in self.model.tokenize(letters)]).tobytes()
         self[piece] = coded
         return coded
 
