@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
@@ -131,9 +131,27 @@ def ratios(grams: DataFrame) -> DataFrame:
     return known.union(unknown)
 
 
-def gram_hash(gram: str) -> int:
-    """What Spark's ``xxhash64`` gives for the text, unsigned."""
-    return xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"), 42)
+def _mixed(codes: np.ndarray, place: int) -> np.ndarray:
+    """64 bits for a character (its code point, unsigned 64 bits) at a place counted from the end of an n-gram."""
+    x = codes * np.uint64(0x9E3779B97F4A7C15) + np.uint64((place + 1) * 0xD1B54A32D192ED03 & (1 << 64) - 1)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def gram_hashes(grams: pa.StringArray) -> np.ndarray:
+    """Hashes of n-grams: the sum of what their characters have at their places from the end."""
+    sizes = pc.utf8_length(grams).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes, last = _codes("".join(grams.to_pylist())), np.cumsum(sizes) - 1
+    hashes = np.zeros(len(sizes), np.uint64)
+    for place in range(int(sizes.max(initial=0))):
+        met = np.flatnonzero(sizes > place)
+        hashes[met] += _mixed(codes[last[met] - place], place)
+    return hashes
 
 
 def packed(hashes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,28 +166,35 @@ class Scorer(dict):
     def __init__(self, table: tuple[np.ndarray, np.ndarray], remembered: int = 400_000):
         (self.hashes, self.values_of), self.remembered = table, remembered
 
-    def _looked_up(self, grams: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ratio of every n-gram, and whether the table has it."""
+    def _looked_up(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ratios of n-grams by hash, and whether the table has them."""
         if not len(self.hashes):
-            return np.zeros(len(grams)), np.zeros(len(grams), bool)
-        wanted = np.fromiter(map(gram_hash, grams), np.uint64, len(grams))
+            return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
         at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
         there = self.hashes[at] == wanted
         return np.where(there, self.values_of[at], 0.0), there
 
     def learn(self, words: set[str]) -> None:
-        """Work out the ratios of words it does not know: of n-grams that no label has, the ratio of their context."""
+        """Work out the ratios of words it does not know: of n-grams that no label has, the ratio of their context.
+
+        All n-grams of all new words are hashed together: the one that ends at a character is the sum of the
+        characters before it, up to ``ORDER`` of them and as far as the word's start.
+        """
         if len(self) + len(words) > self.remembered:
             self.clear()
         new = list(words.difference(self))
         if not new:
             return
-        grams = [grams_of(w) for w in new]
-        flat = [g for gs in grams for g in gs]
-        values, there = self._looked_up(flat)
+        codes = _codes("".join([START + w + END for w in new]))
+        starts = np.cumsum([0, *(len(w) + 2 for w in new[:-1])])
+        inside = np.arange(len(codes)) - np.repeat(starts, np.diff(np.r_[starts, len(codes)]))
+        before = np.zeros(len(codes), np.uint64)
+        for place in range(1, ORDER):
+            before[place:] += np.where(inside[place:] >= place, _mixed(codes[:-place], place), np.uint64(0))
+        values, there = self._looked_up(before + _mixed(codes, 0))
         rest = np.flatnonzero(~there)
-        values[rest] = self._looked_up([flat[i][:-1] + "\t" for i in rest])[0]
-        starts = np.cumsum([0, *map(len, grams[:-1])])
+        values[rest] = self._looked_up(before[rest] + _mixed(np.array([ord("\t")], np.uint64), 0))[0]
+        values[starts] = 0.0  # nothing is predicted at the start itself
         self.update(zip(new, np.add.reduceat(values, starts).tolist()))
 
     def features(self, texts: list[str | None]) -> np.ndarray:
@@ -262,9 +287,9 @@ def annotated(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     if known.select("toxic").distinct().count() == 2:
         given = F.broadcast(known.select("id", "toxic", "fold"))
         grams = stored(gathered(texts.join(given, "id", "left")), "toxic-grams")
-        rows = ratios(grams).select(F.xxhash64("gram").alias("h"), F.col("fit").cast("float"), F.col("all").cast("float")).toArrow()
+        rows = ratios(grams).select("gram", F.col("fit").cast("float"), F.col("all").cast("float")).toArrow()
         dropped(grams)
-        hashes = rows["h"].to_numpy().view(np.uint64)
+        hashes = np.concatenate([np.zeros(0, np.uint64), *map(gram_hashes, rows["gram"].chunks)])
         fit, model = (packed(hashes, rows[n].to_numpy()) for n in ("fit", "all"))
         calibration = _sampled(known.filter(F.col("fold") == CALIBRATION), calibration_rows)
         first = spark.sparkContext.broadcast(fit)
