@@ -12,6 +12,7 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram,
 from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from reviewmill.session import scratch_path
 
@@ -80,8 +81,20 @@ class FeatureModel:
         return self.weigh(self.count(table), output)
 
     def count(self, table: DataFrame) -> DataFrame:
-        """``_tf`` in place of ``terms``: scaled counts, the same for all models of one vocabulary."""
-        return self.counter.transform(table).withColumn("_tf", _sublinear("_counts")).drop("terms", "_counts")
+        """``_tf`` in place of ``terms``: scaled counts, the same for all models of one vocabulary.
+
+        Those of a table are written below the shared folder, where the parts of a vector are scaled in place and read
+        back as one: no row passes through Python, and whoever reads the counts again does not cut the text again. Those of a stream are made as it comes.
+        """
+        counted = self.counter.transform(table).drop("terms")
+        if table.isStreaming:
+            return counted.withColumn("_tf", _sublinear("_counts")).drop("_counts")
+        parts = F.unwrap_udt("_counts")
+        scaled = counted.withColumn("_tf", parts.withField("values", F.transform(parts["values"], lambda n: F.lit(1.0) + F.log(n)))).drop("_counts")
+        path = scratch_path(table.sparkSession, "term-counts")
+        scaled.write.parquet(path)
+        schema = StructType([StructField(f.name, VectorUDT() if f.name == "_tf" else f.dataType) for f in scaled.schema])
+        return table.sparkSession.read.schema(schema).parquet(path)
 
     def weigh(self, scaled: DataFrame, output: str = "features") -> DataFrame:
         weighted = ElementwiseProduct(scalingVec=self.weights, inputCol="_tf", outputCol="_weighted").transform(scaled)
@@ -150,25 +163,31 @@ def learn_from_terms(terms: DataFrame, settings: FeatureSettings = FeatureSettin
 
 
 def learn_without_each(terms: DataFrame, fold: str, folds: int, settings: FeatureSettings = FeatureSettings()) -> list[FeatureModel]:
-    """For every fold the features of all rows outside it, as models over one common vocabulary.
+    """For every fold the features of all rows outside it, as models over one common vocabulary."""
+    return learn_without(terms, fold, folds, [{i} for i in range(folds)], settings)
 
-    One table of terms by fold is counted; what a fold is left out of is the total less that fold. All models
+
+def learn_without(terms: DataFrame, part: str, parts: int, left_out: list[set[int]], settings: FeatureSettings = FeatureSettings()) -> list[FeatureModel]:
+    """For every set of parts the features of all rows outside them, as models over one common vocabulary.
+
+    One table of terms by part is counted; what is left without some parts is the sum of the others. All models
     count the same terms, so one table of counts serves them; a term that is not of a model's own vocabulary has weight 0.
     """
-    by_fold = term_statistics(terms, fold).groupBy("term").pivot(fold, list(range(folds))).agg(F.sum("uses").alias("uses"), F.sum("documents").alias("documents"))
-    rows = {r[fold]: r["n"] for r in terms.groupBy(fold).agg(F.count(F.lit(1)).alias("n")).collect()}
-    own = [F.coalesce(F.col(f"{i}_{c}"), F.lit(0)).alias(f"{c}_{i}") for i in range(folds) for c in ("uses", "documents")]
-    total = sum(rows.values())
-    path = scratch_path(terms.sparkSession, "fold-terms")
-    by_fold.select("term", *own).write.parquet(path)
+    by_part = term_statistics(terms, part).groupBy("term").pivot(part, list(range(parts))).agg(F.sum("uses").alias("uses"), F.sum("documents").alias("documents"))
+    rows = {r[part]: r["n"] for r in terms.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()}
+    own = [F.coalesce(F.col(f"{i}_{c}"), F.lit(0)).alias(f"{c}_{i}") for i in range(parts) for c in ("uses", "documents")]
+    path = scratch_path(terms.sparkSession, "part-terms")
+    by_part.select("term", *own).write.parquet(path)
     kept = terms.sparkSession.read.parquet(path)
+    inside = [[i for i in range(parts) if i not in out] for out in left_out]
+    totals = [sum(rows.get(i, 0) for i in held) for held in inside]
 
-    def without(i: int) -> list[tuple[str, int]]:
-        less = [sum((F.col(f"{c}_{j}") for j in range(folds) if j != i), F.lit(0)).alias(c) for c in ("uses", "documents")]
-        return chosen_terms(kept.select("term", *less), total - rows.get(i, 0), settings)
+    def chosen_of(held: list[int], total: int) -> dict[str, int]:
+        sums = [sum((F.col(f"{c}_{i}") for i in held), F.lit(0)).alias(c) for c in ("uses", "documents")]
+        return dict(chosen_terms(kept.select("term", *sums), total, settings))
 
-    chosen = [dict(without(i)) for i in range(folds)]
+    chosen = [chosen_of(held, total) for held, total in zip(inside, totals)]
     everything = sorted(set().union(*chosen))
     counter = _counter(everything)
     return [FeatureModel(counter, DenseVector([
-        inverse_frequency(total - rows.get(i, 0), own[t]) if t in own else 0.0 for t in everything])) for i, own in enumerate(chosen)]
+        inverse_frequency(total, own[t]) if t in own else 0.0 for t in everything])) for total, own in zip(totals, chosen)]

@@ -146,3 +146,25 @@ def test_stream_scoring(spark, reviews, tmp_path):
     stream = spark.readStream.schema("review_key string, review_text_clean string").parquet(str(tmp_path / "in"))
     write_available(score_stream(model, stream, "v1"), str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).select("review_key").distinct().count() == 120
+
+
+def test_counts_of_a_table_pass_no_python(spark):
+    table = spark.createDataFrame([("aa bb aa",), ("aa cc",), ("zz",)], "t string")
+    terms = features.with_terms(table, "t")
+    model = features.FeatureModel(features._counter(["aa", "bb"]), features.DenseVector([1.0, 1.0]))
+    counted = model.count(terms)
+    assert "Python" not in counted._jdf.queryExecution().executedPlan().toString()
+    got = {r.t: dict(zip(r._tf.indices.tolist(), r._tf.values.tolist())) for r in counted.collect()}
+    assert got["zz"] == {} and got["aa cc"] == {0: 1.0}
+    assert got["aa bb aa"] == pytest.approx({0: 1 + math.log(2), 1: 1.0})
+
+
+def test_selection_cuts_the_text_for_one_table_of_terms(spark, monkeypatch):
+    word = {"negative": "bad", "neutral": "middling", "positive": "good"}
+    rows = [(f"k{i}", f"{word[label]} thing{i % 7} {word[label]}", label) for i in range(60) for label in [LABELS[i % 3]]]
+    table = spark.createDataFrame(rows, "review_key string, review_text_clean string, rating_label string")
+    calls, counts = [], features.term_statistics
+    monkeypatch.setattr(features, "term_statistics", lambda *a: calls.append(a) or counts(*a))
+    found = training.select_c(table, max_iterations=5)
+    assert len(calls) == 1 and [r["row_count"] for r in found.validation] == [6, 6, 6]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
