@@ -22,7 +22,8 @@ COUNTS = ("review_count", *[f"{label}_count" for label in reversed(LABELS)], "ve
 #: Averages of the serving tables and the columns of the view they are of.
 AVERAGES = {"average_rating": "rating", "average_prediction_score": "pred_score", "average_helpful_vote": "helpful_vote"}
 SUMS = tuple(f"{c}_{part}" for c in AVERAGES.values() for part in ("sum", "rows"))
-GRAIN = ("dt", "month_id", "parent_asin", "product_title", "store_name", "main_category")
+ITEM = ("parent_asin", "product_title", "store_name", "main_category")
+GRAIN = ("dt", "month_id", *ITEM)
 
 
 def kept(table: DataFrame, name: str) -> DataFrame:
@@ -59,11 +60,14 @@ def daily_partials(view: DataFrame, numbers: DataFrame, month_format: str = MONT
     Reviews are summed before the numbers are joined, so the join moves one row for each day and product.
     """
     rows = view.withColumn("month_id", month_text("review_time", month_format))
+    return _counted(rows, *GRAIN).join(numbers, "parent_asin", "left")
+
+
+def _counted(rows: DataFrame, *grain: str) -> DataFrame:
     sums = [f(F.col(c).cast("double")).alias(f"{c}_{part}") for c in AVERAGES.values() for part, f in (("sum", F.sum), ("rows", F.count))]
-    counted = rows.groupBy(*GRAIN).agg(
+    return rows.groupBy(*grain).agg(
         F.count(F.lit(1)).alias("review_count"), *label_counts(),
         F.count(F.when(F.col("verified_purchase"), 1)).alias("verified_count"), *sums)
-    return counted.join(numbers, "parent_asin", "left")
 
 
 def _summed() -> list[Column]:
@@ -140,11 +144,40 @@ def distinct_products(parts: DataFrame) -> DataFrame:
     return parts.agg(F.coalesce(F.sum(F.bitmap_count("products")), F.lit(0)).alias("distinct_products"))
 
 
-def serving_tables(view: DataFrame) -> dict[str, DataFrame]:
-    """The six tables that partials give, from one scan of the view for the partials (and one of its keys for their numbers)."""
-    partials = kept(daily_partials(view, product_numbers(view)), "daily-partials")
-    return {
-        "dws_sentiment_overview": overview(bitmaps(partials)), "dws_sentiment_daily": daily(partials), "dws_product_sentiment": products(partials),
-        "dws_category_sentiment": categories(bitmaps(partials, "main_category")), "dws_store_sentiment": stores(partials),
-        "dws_monthly_sentiment": monthly(bitmaps(partials, "month_id")),
-    }
+def item_partials(view: DataFrame) -> DataFrame:
+    """Counts and sums of the view by product with its names, days together: as many rows as there are products, however many reviews."""
+    return _counted(view, *ITEM)
+
+
+def months(view: DataFrame, month_format: str = MONTH_FORMAT) -> DataFrame:
+    """The monthly table straight from the view: summed by month and product, of which the products of a month are the rows."""
+    pairs = _counted(view.withColumn("month_id", month_text("review_time", month_format)), "month_id", "parent_asin")
+    table = pairs.groupBy("month_id").agg(*_summed(), F.count("parent_asin").alias("product_count"))
+    return _averaged(table).drop("verified_count", "average_helpful_vote")
+
+
+#: Serving tables by the partials that they are made of.
+OF_ITEMS = ("dws_sentiment_overview", "dws_product_sentiment", "dws_category_sentiment", "dws_store_sentiment")
+OF_DAYS, OF_MONTHS = ("dws_sentiment_daily",), ("dws_monthly_sentiment",)
+
+
+def serving_tables(view: DataFrame, *names: str) -> dict[str, DataFrame]:
+    """The named ones of the six tables that partials give, all if none is named.
+
+    A day and product have hardly more than one review, so partials of that grain are as large as the view. Where all reviews are at hand,
+    tables by product come from partials by product (written once), the others from sums of their own grain.
+    """
+    names = names or (*OF_ITEMS, *OF_DAYS, *OF_MONTHS)
+    made = {}
+    if set(names) & set(OF_ITEMS):
+        counted = kept(item_partials(view), "item-partials")
+        items = counted.join(product_numbers(counted), "parent_asin", "left")
+        made |= {
+            "dws_sentiment_overview": overview(bitmaps(items)), "dws_product_sentiment": products(counted),
+            "dws_category_sentiment": categories(bitmaps(items, "main_category")), "dws_store_sentiment": stores(items),
+        }
+    if set(names) & set(OF_DAYS):
+        made["dws_sentiment_daily"] = daily(_counted(view, "dt"))
+    if set(names) & set(OF_MONTHS):
+        made["dws_monthly_sentiment"] = months(view)
+    return {name: made[name] for name in names}

@@ -87,6 +87,18 @@ def test_one_scan_and_no_expanded_rows(spark, sf_dir):
         assert "lineitem.parquet" not in plan and "Expand" not in plan
 
 
+def test_tables_of_products_come_from_one_row_for_each_product(spark, sf_dir):
+    view = review_view(spark, sf_dir).withColumn("parent_asin", F.expr("concat('P', length(parent_asin))"))
+    for name in partials.OF_ITEMS:
+        # Rebuilt from the written partials: products, not days times products.
+        made = partials.serving_tables(view, name)[name]
+        files = made.inputFiles()
+        assert files and all("item-partials" in f or "product-places" in f for f in files)
+    assert partials.item_partials(view).count() == view.select(*partials.ITEM).distinct().count() < partials.daily_partials(view, partials.product_numbers(view)).count()
+    plan = partials.serving_tables(view, "dws_monthly_sentiment")["dws_monthly_sentiment"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "product_title" not in plan and "Expand" not in plan
+
+
 def test_rules_of_words_equal_rules_of_patterns(spark):
     rng = random.Random(1)
     pieces = ["well", "made", "too", "small", "look", "looks", "color", "colour", "not", "as", "described", "quality", "poorly", "is", "off", "fell", "apart",
