@@ -276,7 +276,7 @@ def _import(spark, sf):
   FROM review_view d JOIN imported p ON d.review_key = p.review_key AND d.load_batch_id = p.load_batch_id""")
 def _view(spark, sf):
     reviews = review_view(spark, sf, keyed=True)
-    imported = pred.import_predictions(predictions(spark, sf), reviews, MODEL)
+    imported = pred.import_predictions(predictions(spark, sf), reviews, MODEL, packed=True)
     return normalise(pred.sentiment_view(reviews.drop("pred_label", "pred_score", "model_version", "inferred_at"), imported))
 
 

@@ -133,3 +133,20 @@ def test_staging_takes_all_or_nothing(checked, tmp_path, extra):
     with pytest.raises(ValueError):
         prediction_files.stage(checked([line(0), line(1), extra]), str(tmp_path / "staging"), "batch")
     assert not (tmp_path / "staging").exists()
+
+
+def test_keys_travel_packed(spark):
+    from pyspark.sql import functions as F
+
+    from reviewmill.functions.text import packed_key, unpacked_key
+    from reviewmill.operators import predictions as pred
+
+    keys = [None, "", " ", "\x01", "a" * 64, "A" * 64, "0f" * 32, "0f" * 32 + "\n", "0f" * 31, "g" * 64, "é" * 32, "\x01" + "x" * 32]
+    table = spark.createDataFrame([(k,) for k in keys], "review_key string").withColumn("p", packed_key("review_key"))
+    got = table.select("review_key", unpacked_key("p").alias("back"), "p", F.length("p").alias("n")).collect()
+    assert all(r.review_key == r.back for r in got) and len({bytes(r.p) for r in got if r.p is not None}) == len(keys) - 1
+    assert {r.n for r in got if r.review_key in ("a" * 64, "0f" * 32)} == {33}
+    staged = spark.createDataFrame([("0f" * 32, "b", "negative", 0.5, None, None, None, "m", "2024-01-01")], "review_key string, load_batch_id string, "
+        "pred_label string, pred_score double, negative_score double, neutral_score double, positive_score double, model_version string, inferred_at string")
+    plan = pred.import_predictions(staged, staged.select("review_key", "load_batch_id"), "m")._jdf.queryExecution().executedPlan().toString()
+    assert all("_packed" in line and "review_key" not in line for line in plan.splitlines() if "Exchange hashpartitioning" in line) and "_packed" in plan
