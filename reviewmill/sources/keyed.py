@@ -1,6 +1,6 @@
 """Reviews and predictions stored by review key, so that what joins them moves no row.
 
-Every table is cut by the hash of its key into the same number of buckets, one file each. Joins
+Every table is cut by its packed key (see ``packed_key``) into the same number of buckets, one file each; the key itself is not stored but unpacked on reading. Joins
 and groups by key then read matching buckets side by side: no exchange on either side. Rows without a key
 match nothing and would all fall into one bucket; they are stored apart, spread as they come.
 """
@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions.numbers import safe_rate
-from reviewmill.functions.text import model_partition
+from reviewmill.functions.text import model_partition, packed_key, unpacked_key
 from reviewmill.operators.checks import as_rows, together
 from reviewmill.operators.joins import by_merge
-from reviewmill.operators.predictions import import_faults, valid_predictions
+from reviewmill.operators.predictions import PACKED, import_faults, valid_predictions
 
 KEY = "review_key"
 
@@ -29,10 +29,10 @@ class Keyed:
     keyless: DataFrame
 
     def all(self) -> DataFrame:
-        return self.rows.unionByName(self.keyless)
+        return self.rows.drop(PACKED).unionByName(self.keyless)
 
     def keys(self) -> DataFrame:
-        return self.rows.select(F.col(KEY).alias("_key"))
+        return self.rows.select(F.col(PACKED).alias("_key"))
 
 
 class KeyedStore:
@@ -43,41 +43,44 @@ class KeyedStore:
         self.spark, self.root, self.buckets, self.prefix = spark, root, buckets, prefix
 
     def write(self, name: str, table: DataFrame) -> Keyed:
-        """Store ``table`` anew. Rows that are partitioned by key in that number already are not moved."""
-        keyed = table.filter(F.col(KEY).isNotNull()).repartition(self.buckets, KEY)
+        """Store ``table`` anew. Rows that are partitioned by packed key in that number already are not moved."""
+        keyed = table.filter(F.col(KEY).isNotNull())
+        if PACKED not in table.columns:
+            keyed = keyed.withColumn(PACKED, packed_key(KEY))
         catalogued = f"{self.prefix}_{name}"
-        keyed.write.mode("overwrite").format("parquet").bucketBy(self.buckets, KEY).sortBy(KEY) \
-            .option("path", f"{self.root}/{name}/keyed").saveAsTable(catalogued)
-        table.filter(F.col(KEY).isNull()).write.mode("overwrite").parquet(f"{self.root}/{name}/keyless")
+        keyed.drop(KEY).repartition(self.buckets, PACKED).write.mode("overwrite").format("parquet").bucketBy(self.buckets, PACKED) \
+            .option("path", f"{self.root}/{name}/keyed").option("compression", "zstd").saveAsTable(catalogued)
+        table.filter(F.col(KEY).isNull()).drop(PACKED).write.mode("overwrite").parquet(f"{self.root}/{name}/keyless")
         return self.read(name)
 
     def read(self, name: str) -> Keyed:
-        rows = self.spark.table(f"{self.prefix}_{name}")
-        return Keyed(rows, self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}/keyless"))
+        rows = self.spark.table(f"{self.prefix}_{name}").withColumn(KEY, unpacked_key(PACKED))
+        rows = rows.select(KEY, *[c for c in rows.columns if c != KEY])
+        return Keyed(rows, self.spark.read.schema(rows.drop(PACKED).schema).parquet(f"{self.root}/{name}/keyless"))
 
 
 def imported(staged: Keyed, reviews: Keyed, model: str) -> DataFrame:
     """Valid predictions of known reviews of the same batch; as ``import_predictions``, without an exchange."""
-    known = reviews.rows.select(F.col(KEY).alias("_key"), F.col("load_batch_id").alias("_batch"))
+    known = reviews.rows.select(F.col(PACKED).alias("_key"), F.col("load_batch_id").alias("_batch"))
     valid = valid_predictions(staged.rows, model)
     # The batch is no key of the join: its two sides are dealt by the review key alone.
-    met = valid.join(by_merge(known), F.col(KEY) == F.col("_key")).filter(~F.coalesce(F.col("load_batch_id") != F.col("_batch"), F.lit(True)))
+    met = valid.join(by_merge(known), F.col(PACKED) == F.col("_key")).filter(~F.coalesce(F.col("load_batch_id") != F.col("_batch"), F.lit(True)))
     return met.drop("_key", "_batch").withColumns({
         "imported_at": F.current_timestamp(), "model_version_partition": model_partition(F.lit(model))})
 
 
 def unknown_predictions(staged: Keyed, reviews: Keyed) -> DataFrame:
     """Prediction rows whose key no review has, those without a key among them."""
-    return staged.rows.join(by_merge(reviews.keys()), F.col(KEY) == F.col("_key"), "left_anti").unionByName(staged.keyless)
+    return staged.rows.join(by_merge(reviews.keys()), F.col(PACKED) == F.col("_key"), "left_anti").drop(PACKED).unionByName(staged.keyless)
 
 
 def missing_reviews(reviews: Keyed, staged: Keyed) -> DataFrame:
     """Review rows without a prediction."""
-    return reviews.rows.join(by_merge(staged.keys()), F.col(KEY) == F.col("_key"), "left_anti").unionByName(reviews.keyless)
+    return reviews.rows.join(by_merge(staged.keys()), F.col(PACKED) == F.col("_key"), "left_anti").drop(PACKED).unionByName(reviews.keyless)
 
 
 def _counted(table: Keyed, name: str) -> DataFrame:
-    return table.rows.groupBy(F.col(KEY).alias("_key")).agg(F.count(F.lit(1)).alias(name))
+    return table.rows.groupBy(F.col(PACKED).alias("_key")).agg(F.count(F.lit(1)).alias(name))
 
 
 def matched_keys(staged: Keyed, reviews: Keyed) -> DataFrame:
@@ -103,10 +106,10 @@ def check_import(staged: Keyed, production: Keyed, reviews: Keyed, model: str) -
     def total(c: Column | str) -> Column:
         return F.coalesce(F.sum(c), F.lit(0))
 
-    def summed(table: Keyed, measures: dict[str, Column], key: Column = F.col(KEY)) -> DataFrame:
+    def summed(table: Keyed, measures: dict[str, Column]) -> DataFrame:
         """By key: the sums of ``measures``, those of ``model``, and the (key, model) pairs that occur more than once."""
         def pairs(rows: DataFrame) -> DataFrame:
-            return rows.groupBy(F.col(KEY).alias("_key"), "model_version").agg(
+            return rows.groupBy(F.col(PACKED).alias("_key"), "model_version").agg(
                 F.count(F.lit(1)).alias("rows"), *[F.sum(F.coalesce(c, F.lit(False)).cast("long")).alias(n) for n, c in measures.items()])
 
         def keys(found: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def check_import(staged: Keyed, production: Keyed, reviews: Keyed, model: str) -
 
         met = keys(pairs(table.rows)).join(by_merge(_counted(reviews, "_r")), "_key", "left")
         # Keyless rows meet no review; they are summed apart and joined as sums.
-        return met.unionByName(keys(pairs(table.keyless)).withColumn("_r", F.lit(None).cast("long")))
+        return met.unionByName(keys(pairs(table.keyless.withColumn(PACKED, packed_key(KEY)))).withColumn("_r", F.lit(None).cast("long")))
 
     faults = import_faults(model)
     bad = faults.pop("bad")
@@ -130,7 +133,7 @@ def check_import(staged: Keyed, production: Keyed, reviews: Keyed, model: str) -
         total("of_model").alias("production_sentiment_row_count"), total("of_model_bad").alias("invalid_production_row_count"),
         total("of_model_twice").alias("duplicate_production_prediction_key_groups"),
         total(F.col("of_model") * F.col("_r")).alias("joined_view_row_count"))
-    of_model = production.rows.filter(F.col("model_version") == model).groupBy(F.col(KEY).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    of_model = production.rows.filter(F.col("model_version") == model).groupBy(F.col(PACKED).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     covered = _counted(reviews, "_r").join(by_merge(of_model), "_key", "left").agg(
         total(F.when(F.col("_n").isNull(), F.col("_r"))).alias("missing"),
         total(F.col("_r") * F.coalesce("_n", F.lit(0))).alias("covered"), total(F.col("_r") * F.coalesce("_n", F.lit(1))).alias("all"))

@@ -81,3 +81,13 @@ def test_an_import_is_stored_without_moving_it(spark, data):
     _, _, one, two, _ = data
     plan = keyed.imported(two, one, "m").filter("review_key is not null").repartition(5, "review_key")
     assert keyed.imported(two, one, "m").rdd.getNumPartitions() == 5 and plan.rdd.getNumPartitions() == 5
+
+
+def test_only_tables_that_are_asked_for_are_stored(spark, sf_dir):
+    from querybook import warehouse
+
+    warehouse._KEYED.clear()
+    found = warehouse.keyed_tables(spark, sf_dir, "reviews")
+    assert list(warehouse._KEYED[(spark.sparkContext.applicationId, sf_dir)][1]) == ["reviews"]
+    stored = spark.read.parquet(found["reviews"].rows.inputFiles()[0])
+    assert sorted(stored.columns) == ["_packed", "load_batch_id"] and stored.selectExpr("max(length(_packed))").first()[0] == 33
