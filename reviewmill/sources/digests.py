@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.operators.joins import by_merge
+from reviewmill.session import scratch_path
+
 #: Hexadecimal digits of the key's hash that make a range, from the coarse level to the fine one.
 LEVELS = (1, 3)
+#: Differing fingerprints, of 16 bytes each, up to which they are sent to the rows.
+BROADCAST_ROWS = 1_000_000
 
 
 def _hash(key: str) -> Column:
@@ -19,17 +24,25 @@ def row_digest(table: DataFrame) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells).cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
+def _fingerprints(table: DataFrame, key: str, levels: tuple[int, ...]) -> DataFrame:
+    """``key_range, h, d`` for every row: its finest range, a hash of the key and the row's digest; none as wide as the key itself."""
+    return table.select(F.substring(_hash(key), 1, levels[-1]).alias("key_range"), F.xxhash64(F.col(key).cast("string")).alias("h"), row_digest(table).cast("long").alias("d"))
+
+
+def _summed(rows: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    fine = rows.groupBy("key_range").agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("d").cast("decimal(38,0)")).alias("digest"))
+    cut = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.substring("key_range", 1, n).alias("key_range")) for n in levels]))
+    rows = fine.select(cut.alias("at"), "row_count", "digest").groupBy("at.level", "at.key_range")
+    return rows.agg(F.sum("row_count").alias("row_count"), F.sum("digest").cast("string").alias("digest"))
+
+
 def digests(table: DataFrame, key: str, levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """``level, key_range, row_count, digest`` for every range of every level.
 
     The digest of a range is the sum of its rows' digests, so it does not depend on their order and sees
     copies. One pass makes the finest level; the coarser ones are sums of it.
     """
-    fine = table.select(F.substring(_hash(key), 1, levels[-1]).alias("key_range"), row_digest(table).alias("d"))
-    fine = fine.groupBy("key_range").agg(F.count(F.lit(1)).alias("row_count"), F.sum("d").alias("digest"))
-    cut = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.substring("key_range", 1, n).alias("key_range")) for n in levels]))
-    rows = fine.select(cut.alias("at"), "row_count", "digest").groupBy("at.level", "at.key_range")
-    return rows.agg(F.sum("row_count").alias("row_count"), F.sum("digest").cast("string").alias("digest"))
+    return _summed(_fingerprints(table, key, levels), levels)
 
 
 def differing_ranges(stated: DataFrame, found: DataFrame) -> DataFrame:
@@ -50,13 +63,26 @@ def differing_ranges(stated: DataFrame, found: DataFrame) -> DataFrame:
 def differing_rows(stated: DataFrame, found: DataFrame, key: str, levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """``key, stated_copies, found_copies`` of rows that one table has more often than the other.
 
-    Only rows in ranges whose digests differ are compared, by digest.
+    Only rows in ranges whose digests differ are compared, by digest. Fingerprints of the rows are written once; the digests are summed
+    from them, and in ranges that differ they are counted. Only rows whose fingerprint one table has more often are read again with their keys.
     """
-    ranges = differing_ranges(digests(stated, key, levels), digests(found, key, levels)).select("key_range")
+    prints = []
+    for table in (stated, found):
+        path = scratch_path(table.sparkSession, "fingerprints")
+        _fingerprints(table, key, levels).write.parquet(path)
+        prints.append(table.sparkSession.read.schema("key_range STRING, h BIGINT, d BIGINT").parquet(path))
+    # One row for each finest range at most.
+    ranges = F.broadcast(differing_ranges(*[_summed(p, levels) for p in prints]).select("key_range"))
+    inside = [p.join(ranges, "key_range", "left_semi").select("h", "d", F.lit(n).alias("n")) for p, n in zip(prints, (1, -1))]
+    more = inside[0].union(inside[1]).groupBy("h", "d").agg(F.sum("n").alias("n")).filter("n <> 0").select("h", "d")
+    path = scratch_path(stated.sparkSession, "differing")
+    more.write.parquet(path)
+    more = stated.sparkSession.read.schema("h BIGINT, d BIGINT").parquet(path)
+    more = F.broadcast(more) if more.count() <= BROADCAST_ROWS else by_merge(more)
 
     def counted(table: DataFrame, name: str) -> DataFrame:
-        rows = table.select(F.col(key).alias("key"), F.substring(_hash(key), 1, levels[-1]).alias("key_range"), row_digest(table).alias("d"))
-        return rows.join(ranges, "key_range", "left_semi").groupBy("key", "d").agg(F.count(F.lit(1)).alias(name))
+        rows = table.select(F.col(key).alias("key"), F.xxhash64(F.col(key).cast("string")).alias("h"), row_digest(table).cast("long").alias("d"))
+        return rows.join(more, ["h", "d"], "left_semi").groupBy("key", "d").agg(F.count(F.lit(1)).alias(name))
 
     a, b = counted(stated, "stated_copies"), counted(found, "found_copies").withColumnsRenamed({"key": "other", "d": "e"})
     joined = a.join(b, F.col("key").eqNullSafe(F.col("other")) & (F.col("d") == F.col("e")), "full")

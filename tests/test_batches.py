@@ -75,3 +75,19 @@ def test_empty_and_null(spark):
     assert digests.differing_rows(table, table, "k").count() == 0
     gone = sorted(map(str, (tuple(r) for r in digests.differing_rows(table, table.limit(0), "k").collect())))
     assert gone == ["('a', 1, 0)", "(None, 2, 0)"]
+
+
+def test_only_fingerprints_are_moved_for_rows_that_agree(spark):
+    rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("key"), (F.col("id") % 7).alias("v"))
+    extra = spark.createDataFrame([(None, 1), ("x", None)], "key string, v bigint")
+    stated, found = rows.union(extra).union(extra), rows.filter("v <> 3 or key > 'f8'").union(extra).union(rows.filter("key > 'fd'"))
+    table = digests.differing_rows(stated, found, "key")
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and "key_range" not in plan
+    got = {r.key: (r.stated_copies, r.found_copies) for r in table.collect()}
+    expected = {None: (2, 1), "x": (2, 1)}
+    for r in rows.collect():
+        copies = (r.v != 3 or r.key > "f8") + (r.key > "fd")
+        if copies != 1:
+            expected[r.key] = (1, copies)
+    assert got == expected
