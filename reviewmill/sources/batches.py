@@ -24,7 +24,8 @@ def replace_batch(reviews: DataFrame, path: str, batch: str) -> str:
     spark = reviews.sparkSession
     version, folder = uuid.uuid4().hex, f"{path}/{DATA}/load_batch_id={batch}"
     rows = reviews.filter(F.col("load_batch_id") == batch).drop("load_batch_id")
-    rows.hint("rebalance", F.col("review_year")).write.partitionBy("review_year").parquet(f"{folder}/version={version}")
+    # Every task writes a file for each year it holds. Dealing the rows by year first would move all of them, keys that do not compress among them.
+    rows.write.partitionBy("review_year").option("compression", "zstd").parquet(f"{folder}/version={version}")
     # A folder without any row has no file that tells its columns.
     years = [f for f in _folders(spark, f"{folder}/version={version}") if f.startswith("review_year=")]
     found = spark.read.schema("review_year INT").parquet(f"{folder}/version={version}") if years else spark.createDataFrame([], "review_year INT")

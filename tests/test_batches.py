@@ -91,3 +91,11 @@ def test_only_fingerprints_are_moved_for_rows_that_agree(spark):
         if copies != 1:
             expected[r.key] = (1, copies)
     assert got == expected
+
+
+def test_a_batch_is_written_by_the_tasks_that_hold_it(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 4).select(F.sha2(F.col("id").cast("string"), 256).alias("review_key"), F.lit("b1").alias("load_batch_id"), (2000 + F.col("id") % 2).cast("int").alias("review_year"))
+    batches.replace_batch(rows, str(tmp_path), "b1")
+    files = list((tmp_path / "data").rglob("*.parquet"))
+    assert len(files) == 8 and all(f.name.endswith(".zstd.parquet") for f in files)
+    assert keys(batches.read_batches(spark, str(tmp_path), "b1")) == keys(rows)
