@@ -78,16 +78,16 @@ class FeatureModel:
 
     def transform_terms(self, table: DataFrame, output: str = "features") -> DataFrame:
         """As :meth:`transform` for a table that already has ``terms``."""
-        return self.weigh(self.count(table), output)
+        return self.weigh(self.count(table, stored=False), output)
 
-    def count(self, table: DataFrame) -> DataFrame:
+    def count(self, table: DataFrame, stored: bool = True) -> DataFrame:
         """``_tf`` in place of ``terms``: scaled counts, the same for all models of one vocabulary.
 
-        Those of a table are written below the shared folder, where the parts of a vector are scaled in place and read
-        back as one: no row passes through Python, and whoever reads the counts again does not cut the text again. Those of a stream are made as it comes.
+        ``stored`` counts are written below the shared folder, where the parts of a vector are scaled in place and read
+        back as one: no row passes through Python, and whoever reads the counts again does not cut the text again. For a stream, or a single use, they are made as rows come.
         """
         counted = self.counter.transform(table).drop("terms")
-        if table.isStreaming:
+        if not stored:
             return counted.withColumn("_tf", _sublinear("_counts")).drop("_counts")
         parts = F.unwrap_udt("_counts")
         scaled = counted.withColumn("_tf", parts.withField("values", F.transform(parts["values"], lambda n: F.lit(1.0) + F.log(n)))).drop("_counts")
