@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
+import pyarrow as pa
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructType
 
 from reviewmill.session import scratch_path
 
-_WORD = r"(?U)(\w\w+)"
+# Of folded texts, where characters beyond ASCII are parts of words.
+_WORD = re.compile(r"[0-9A-Za-z_\x80-\U0010ffff]{2,}")
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]")
+_BLANKS = {i: " " for i in range(128) if not (chr(i).isalnum() or chr(i) == "_")}
+# Texts are counted together up to about so many words, or rows.
+_RUN_WORDS, _RUN_ROWS = 1 << 20, 4096
 
 
 @dataclass(frozen=True)
@@ -47,23 +55,139 @@ def fold_text(c: Column | str) -> Column:
     return F.regexp_replace(F.translate(text, accented, plain), r"\p{Mn}+", "")
 
 
-def with_terms(table: DataFrame, text: str) -> DataFrame:
-    """Add ``terms``: all words of two or more characters and all pairs of neighbours."""
-    words = table.withColumn("_words", F.regexp_extract_all(fold_text(text), F.lit(_WORD), F.lit(1)))
-    pairs = NGram(n=2, inputCol="_words", outputCol="_pairs").transform(words)
-    return pairs.withColumn("terms", F.concat("_words", "_pairs")).drop("_words", "_pairs")
+class _Folds(dict):
+    """What becomes of a character beyond ASCII: its base letter, nothing for a mark, a blank for what no word holds, or itself.
+
+    A word holds what Unicode's definition of ``\\w`` names: unlike Python's own, that has marks and joiners, but no fractions.
+    """
+
+    def __missing__(self, c: str) -> str:
+        kind, point = unicodedata.category(c), ord(c)
+        circled = 0x24B6 <= point <= 0x24E9 or 0x1F130 <= point <= 0x1F149 or 0x1F150 <= point <= 0x1F169 or 0x1F170 <= point <= 0x1F189
+        inside = kind in ("Lu", "Ll", "Lt", "Lm", "Lo", "Nl", "Mc", "Me", "Nd", "Pc") or c in "\u200c\u200d" or circled
+        self[c] = "" if kind == "Mn" else c if inside else " "
+        return self[c]
+
+
+_FOLDS = _Folds(zip(*_accents()))
+
 
+def words_of(text: str | None) -> list[str]:
+    """All words of two or more characters of the folded text, as :func:`fold_text` folds it."""
+    folded = (text or "").lower()
+    if not folded.isascii():
+        folded = _NOT_ASCII.sub(lambda found: _FOLDS[found[0]], folded)
+    if folded.isascii():
+        return [w for w in folded.translate(_BLANKS).split() if len(w) > 1]
+    return _WORD.findall(folded)
 
-@F.pandas_udf(VectorUDT())
-def _sublinear(counts: pd.DataFrame) -> pd.DataFrame:
-    """1 + ln(count) for the stored entries of sparse vectors, a whole Arrow batch at a time."""
-    values = counts["values"]
-    if values.empty:
-        return counts
-    ends = np.cumsum(values.map(len).to_numpy())
-    scaled = 1.0 + np.log(np.concatenate([np.asarray(v, dtype=float) for v in values]))
-    counts["values"] = np.split(scaled, ends[:-1])
-    return counts
+
+@F.pandas_udf(StringType())
+def _words(texts: pd.Series) -> pd.Series:
+    return pd.Series([" ".join(words_of(t)) for t in texts], dtype=object)
+
+
+def with_terms(table: DataFrame, text: str) -> DataFrame:
+    """Add ``terms``: all words of two or more characters, in order, with one blank between.
+
+    Words and pairs of neighbours are the terms; they are formed where they are counted, as numbers.
+    """
+    return table.withColumn("terms", _words(text))
+
+
+class _Numbered(dict):
+    """A number for every word, in the order in which words come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = len(self)
+        return self[word]
+
+
+class _Run:
+    """Texts that are counted together: their words by number, and the row of each."""
+
+    def __init__(self) -> None:
+        self.known, self.numbers, self.words = _Numbered(), [], 0
+
+    def add(self, terms: str | None) -> None:
+        own = terms.split(" ") if terms else []
+        self.numbers.append(np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)))
+        self.words += len(own)
+
+    def full(self) -> bool:
+        return self.words >= _RUN_WORDS or len(self.numbers) >= _RUN_ROWS
+
+    def occurrences(self) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Number and row of every word, and of every pair of neighbours, whose number is that of its first word times all words, plus that of its second."""
+        numbers = np.concatenate(self.numbers) if self.numbers else np.empty(0, np.int64)
+        row = np.repeat(np.arange(len(self.numbers)), [len(n) for n in self.numbers])
+        beside = row[:-1] == row[1:]
+        return (numbers, row), ((numbers[:-1] * len(self.known) + numbers[1:])[beside], row[:-1][beside])
+
+    def statistics(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Every term with its uses and rows."""
+        (words, uses, rows), (pairs, pair_uses, pair_rows) = (self._tally(*found) for found in self.occurrences())
+        names, every = list(self.known), len(self.known)
+        terms = [names[w] for w in words.tolist()]
+        terms += [f"{names[a]} {names[b]}" for a, b in zip((pairs // max(every, 1)).tolist(), (pairs % max(every, 1)).tolist())]
+        return terms, np.concatenate([uses, pair_uses]), np.concatenate([rows, pair_rows])
+
+    def _tally(self, number: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not len(number):
+            return number, number, number
+        each, uses = np.unique(number * len(self.numbers) + row, return_counts=True)
+        number = each // len(self.numbers)
+        first = np.flatnonzero(np.diff(number, prepend=-1))
+        return number[first], np.add.reduceat(uses, first), np.diff(first, append=len(number))
+
+
+class _Vocabulary:
+    """Places of the terms of a vocabulary, and the counts of texts by them."""
+
+    def __init__(self, terms: list[str]) -> None:
+        self.size = len(terms)
+        self.places = {t: i for i, t in enumerate(terms) if " " not in t}
+        pairs = [(*t.split(" "), i) for i, t in enumerate(terms) if " " in t]
+        self.firsts, self.seconds, places = zip(*pairs) if pairs else ((), (), ())
+        self.pair_places = np.array(places, np.int64)
+
+    def counts(self, run: _Run) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places and counts of the terms of every row."""
+        (words, rows), (pairs, pair_rows) = run.occurrences()
+        place = np.fromiter((self.places.get(w, -1) for w in run.known), np.int64, len(run.known))[words]
+        first, second = (np.array([run.known.get(w, -1) for w in side], np.int64) for side in (self.firsts, self.seconds))
+        there = (first >= 0) & (second >= 0)
+        known = first[there] * len(run.known) + second[there]
+        order = np.argsort(known)
+        known, places = known[order], self.pair_places[there][order]
+        at = np.searchsorted(known, pairs)
+        found = np.append(known, -1)[at] == pairs
+        size = max(self.size, 1)
+        each, counts = np.unique(np.concatenate([
+            rows[place >= 0] * size + place[place >= 0], pair_rows[found] * size + places[at[found]]]), return_counts=True)
+        ends = np.searchsorted(each, np.arange(1, len(run.numbers)) * size)
+        return zip(np.split((each % size).astype(np.int32), ends), np.split(counts, ends))
+
+
+def _scaled_counts(vocabulary: list[str]):
+    """1 + ln(count) of the terms of a text, as sparse vectors."""
+    known = _Vocabulary(vocabulary)
+
+    @F.pandas_udf(VectorUDT())
+    def scaled(texts: pd.Series) -> pd.DataFrame:
+        places, values, run = [], [], _Run()
+        for i, terms in enumerate(texts, 1):
+            run.add(terms)
+            if run.full() or i == len(texts):
+                for place, count in known.counts(run):
+                    places.append(place)
+                    values.append(1.0 + np.log(count))
+                run = _Run()
+        return pd.DataFrame({
+            "type": np.zeros(len(places), np.int8), "size": np.full(len(places), known.size, np.int32),
+            "indices": pd.Series(places, dtype=object), "values": pd.Series(values, dtype=object)})
+
+    return scaled
 
 
 @dataclass
@@ -83,18 +207,14 @@ class FeatureModel:
     def count(self, table: DataFrame, stored: bool = True) -> DataFrame:
         """``_tf`` in place of ``terms``: scaled counts, the same for all models of one vocabulary.
 
-        ``stored`` counts are written below the shared folder, where the parts of a vector are scaled in place and read
-        back as one: no row passes through Python, and whoever reads the counts again does not cut the text again. For a stream, or a single use, they are made as rows come.
+        ``stored`` counts are written below the shared folder, for whoever reads them again. For a stream, or a single use, they are made as rows come.
         """
-        counted = self.counter.transform(table).drop("terms")
+        counted = table.withColumn("_tf", _scaled_counts(self.counter.vocabulary)("terms")).drop("terms")
         if not stored:
-            return counted.withColumn("_tf", _sublinear("_counts")).drop("_counts")
-        parts = F.unwrap_udt("_counts")
-        scaled = counted.withColumn("_tf", parts.withField("values", F.transform(parts["values"], lambda n: F.lit(1.0) + F.log(n)))).drop("_counts")
+            return counted
         path = scratch_path(table.sparkSession, "term-counts")
-        scaled.write.parquet(path)
-        schema = StructType([StructField(f.name, VectorUDT() if f.name == "_tf" else f.dataType) for f in scaled.schema])
-        return table.sparkSession.read.schema(schema).parquet(path)
+        counted.write.parquet(path)
+        return table.sparkSession.read.schema(counted.schema).parquet(path)
 
     def weigh(self, scaled: DataFrame, output: str = "features") -> DataFrame:
         weighted = ElementwiseProduct(scalingVec=self.weights, inputCol="_tf", outputCol="_weighted").transform(scaled)
@@ -130,13 +250,34 @@ def _counter(vocabulary: list[str]) -> CountVectorizerModel:
 
 
 def term_statistics(terms: DataFrame, *by: str) -> DataFrame:
-    """``term, uses, documents`` for every term within ``by``: how often it is used, and in how many rows. The rows are read once."""
-    def marked(of: Column, use: int, document: int) -> Column:
-        return F.transform(of, lambda t: F.struct(t.alias("term"), F.lit(use).alias("use"), F.lit(document).alias("document")))
+    """``term, uses, documents`` for every term within ``by``: how often it is used, and in how many rows. The rows are read once.
 
-    each = F.concat(marked(F.col("terms"), 1, 0), marked(F.array_distinct("terms"), 0, 1))
-    rows = terms.select(*by, F.inline(each))
-    return rows.groupBy(*by, "term").agg(F.sum("use").alias("uses"), F.sum("document").alias("documents"))
+    Terms are counted as numbers within runs of texts, so one row for each term of a run is grouped, not one for each use.
+    """
+    schema = StructType([terms.schema[c] for c in by]).add("term", "string").add("uses", "long").add("documents", "long")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(group: tuple, run: _Run, types: list[pa.DataType]) -> pa.RecordBatch:
+            names, uses, documents = run.statistics()
+            same = [pa.array([value], kind).take(pa.array(np.zeros(len(names), np.int64))) for value, kind in zip(group, types)]
+            return pa.RecordBatch.from_arrays([*same, pa.array(names, pa.string()), pa.array(uses, pa.int64()), pa.array(documents, pa.int64())],
+                                              names=[*by, "term", "uses", "documents"])
+
+        runs: dict[tuple, _Run] = {}
+        types: list[pa.DataType] = []
+        for batch in batches:
+            types = [batch.column(c).type for c in by]
+            keys = zip(*(batch.column(c).to_pylist() for c in by)) if by else [()] * batch.num_rows
+            for group, text in zip(keys, batch.column("terms").to_pylist()):
+                run = runs.setdefault(group, _Run())
+                run.add(text)
+                if run.full():
+                    yield rows(group, runs.pop(group), types)
+        for group, run in runs.items():
+            yield rows(group, run, types)
+
+    found = terms.select(*by, "terms").mapInArrow(counted, schema)
+    return found.groupBy(*by, "term").agg(F.sum("uses").alias("uses"), F.sum("documents").alias("documents"))
 
 
 def chosen_terms(statistics: DataFrame, rows: int, settings: FeatureSettings) -> list[tuple[str, int]]:

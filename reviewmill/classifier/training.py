@@ -23,6 +23,8 @@ from reviewmill.session import scratch_path
 C_GRID = (0.5, 1.0, 2.0)
 MAX_ITERATIONS = 1000
 FOLDS = 5
+# Each block of rows costs a gradient of all terms and labels, so blocks hold far more entries than that has.
+BLOCK_MB = 16.0
 
 
 def label_number(c: str) -> Column:
@@ -88,8 +90,11 @@ def prediction_output(predictions: DataFrame, model_version: str) -> DataFrame:
 
 def fit(train: DataFrame, c: float = 0.5, text: str = "review_text_clean", label: str = "rating_label",
         max_iterations: int = MAX_ITERATIONS, settings: FeatureSettings = FeatureSettings()) -> SentimentModel:
-    """Rows whose label is none of the known ones teach nothing and are left out."""
-    terms = with_terms(train.filter(F.col(label).isin(*LABELS)).select(text, label), text).select("terms", label)
+    """Rows whose label is none of the known ones teach nothing and are left out. The text is cut into words once."""
+    spark, path = train.sparkSession, scratch_path(train.sparkSession, "words")
+    cut = with_terms(train.filter(F.col(label).isin(*LABELS)).select(text, label), text).select("terms", label)
+    cut.write.parquet(path)
+    terms = spark.read.schema(cut.schema).parquet(path)
     features = learn_from_terms(terms, settings)
     return _fit_each(features, features.count(terms), (c,), text, label, max_iterations)[0]
 
@@ -105,7 +110,7 @@ def _regression(ready: DataFrame, c: float, max_iterations: int) -> LogisticRegr
     total = ready.agg(F.sum("weight")).first()[0]
     return LogisticRegression(
         family="multinomial", featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iterations,
-        tol=1e-4, regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False,
+        tol=1e-4, regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False, maxBlockSizeInMB=BLOCK_MB,
     ).fit(ready)
 
 

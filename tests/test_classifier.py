@@ -168,3 +168,42 @@ def test_selection_cuts_the_text_for_one_table_of_terms(spark, monkeypatch):
     found = training.select_c(table, max_iterations=5)
     assert len(calls) == 1 and [r["row_count"] for r in found.validation] == [6, 6, 6]
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_words_of_any_script_are_those_of_the_column_expression(spark):
+    """Every character whose kind is that of an older Unicode version, and so the same to Java and Python, inside a word and at its ends; and odd texts."""
+    import sys
+    import unicodedata
+
+    known = [c for c in map(chr, range(1, sys.maxunicode + 1)) if unicodedata.category(c) not in ("Cn", "Cs", "Co")
+             and unicodedata.ucd_3_2_0.category(c) == unicodedata.category(c)]
+    texts = [" ".join(f"x{c}y {c}{c}" for c in known[i:i + 100]) for i in range(0, len(known), 100)]
+    texts += ["", " ", "a b", "ΟΔΟΣ ΣΑΣ", "İstanbul ß ﬁn", "été á", "½ x² y_ __ 12", "हिन्दी में", "東京 都", "a‍b", "x\x1cy zz\x85ww"]
+    table = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    cut = table.select("t", F.regexp_extract_all(features.fold_text("t"), F.lit(r"(?U)(\w\w+)"), F.lit(1)).alias("words"))
+    rows = features.with_terms(cut, "t").collect()
+    assert len(rows) == len(texts) and all(r.terms == " ".join(r.words) for r in rows)
+
+
+def test_terms_are_counted_as_numbers(spark):
+    """Statistics and counts against plain counters, over several runs; no row is made for each use of a term."""
+    from collections import Counter
+
+    texts = [" ".join(f"w{i * k % 13}{'x' * (i % 3)}" for k in range(i % 9)) for i in range(9000)] + [None, "", "solo"]
+    plain = [Counter(w := (t or "").split()) + Counter(map(" ".join, zip(w, w[1:]))) for t in texts]
+    table = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "part int, terms string").coalesce(1)
+    uses, documents = Counter(), Counter()
+    for i, counts in enumerate(plain):
+        uses.update({(i % 3, t): n for t, n in counts.items()})
+        documents.update((i % 3, t) for t in counts)
+    found = features.term_statistics(table, "part")
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = found.collect()
+    assert {(r.part, r.term): (r.uses, r.documents) for r in rows} == {t: (n, documents[t]) for t, n in uses.items()} and len(rows) == len(uses)
+    vocabulary = sorted({t for _, t in uses})[::2] + ["not there", "there"]
+    known = set(vocabulary)
+    model = features.FeatureModel(features._counter(vocabulary), features.DenseVector([1.0] * len(vocabulary)))
+    for r in model.count(table.withColumn("t", F.col("terms"))).collect():
+        own = Counter(w := (r.t or "").split()) + Counter(map(" ".join, zip(w, w[1:])))
+        got = {vocabulary[i]: v for i, v in zip(r._tf.indices.tolist(), r._tf.values.tolist())}
+        assert got == pytest.approx({t: 1 + math.log(n) for t, n in own.items() if t in known}) and r._tf.indices.tolist() == sorted(r._tf.indices.tolist())
