@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,8 +24,8 @@ from reviewmill.session import scratch_path
 _WORD = re.compile(r"[0-9A-Za-z_\x80-\U0010ffff]{2,}")
 _NOT_ASCII = re.compile(r"[^\x00-\x7f]")
 _BLANKS = {i: " " for i in range(128) if not (chr(i).isalnum() or chr(i) == "_")}
-# Texts are counted together up to about so many words, or rows.
-_RUN_WORDS, _RUN_ROWS = 1 << 20, 4096
+# Texts are counted together up to about so many words, or rows, and taken from a batch so many at a time.
+_RUN_WORDS, _RUN_ROWS, _SLICE_ROWS = 1 << 20, 4096, 256
 
 
 @dataclass(frozen=True)
@@ -103,19 +104,20 @@ class _Numbered(dict):
         return self[word]
 
 
-class _Run:
+class Run:
     """Texts that are counted together: their words by number, and the row of each."""
 
     def __init__(self) -> None:
-        self.known, self.numbers, self.words = _Numbered(), [], 0
+        self.known, self.numbers, self.groups, self.words = _Numbered(), [], [], 0
 
-    def add(self, terms: str | None) -> None:
+    def add(self, terms: str | None, group: int = 0) -> None:
         own = terms.split(" ") if terms else []
         self.numbers.append(np.fromiter(map(self.known.__getitem__, own), np.int64, len(own)))
+        self.groups.append(group)
         self.words += len(own)
 
-    def full(self) -> bool:
-        return self.words >= _RUN_WORDS or len(self.numbers) >= _RUN_ROWS
+    def full(self, words: int = _RUN_WORDS) -> bool:
+        return self.words >= words or len(self.numbers) >= _RUN_ROWS
 
     def occurrences(self) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
         """Number and row of every word, and of every pair of neighbours, whose number is that of its first word times all words, plus that of its second."""
@@ -124,15 +126,18 @@ class _Run:
         beside = row[:-1] == row[1:]
         return (numbers, row), ((numbers[:-1] * len(self.known) + numbers[1:])[beside], row[:-1][beside])
 
-    def statistics(self) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Every term with its uses and rows."""
-        (words, uses, rows), (pairs, pair_uses, pair_rows) = (self._tally(*found) for found in self.occurrences())
-        names, every = list(self.known), len(self.known)
-        terms = [names[w] for w in words.tolist()]
-        terms += [f"{names[a]} {names[b]}" for a, b in zip((pairs // max(every, 1)).tolist(), (pairs % max(every, 1)).tolist())]
-        return terms, np.concatenate([uses, pair_uses]), np.concatenate([rows, pair_rows])
+    def statistics(self) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+        """Every term within every group with its uses and rows: first the words, then the pairs."""
+        names, every = pa.array(list(self.known), pa.string()), max(len(self.known), 1)
+        groups, many = np.array(self.groups, np.int64), max(self.groups, default=0) + 1
+        for pairs, (number, row) in enumerate(self.occurrences()):
+            found, uses, rows = self._tally(number * many + groups[row], row)
+            term = found // many
+            texts = pc.binary_join_element_wise(names.take(pa.array(term // every)), names.take(pa.array(term % every)), " ") if pairs else names.take(pa.array(term))
+            yield texts, found % many, uses, rows
 
     def _tally(self, number: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Different numbers in order, how often each is there, and in how many rows."""
         if not len(number):
             return number, number, number
         each, uses = np.unique(number * len(self.numbers) + row, return_counts=True)
@@ -141,7 +146,7 @@ class _Run:
         return number[first], np.add.reduceat(uses, first), np.diff(first, append=len(number))
 
 
-class _Vocabulary:
+class Vocabulary:
     """Places of the terms of a vocabulary, and the counts of texts by them."""
 
     def __init__(self, terms: list[str]) -> None:
@@ -151,8 +156,13 @@ class _Vocabulary:
         self.firsts, self.seconds, places = zip(*pairs) if pairs else ((), (), ())
         self.pair_places = np.array(places, np.int64)
 
-    def counts(self, run: _Run) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def counts(self, run: Run) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places and counts of the terms of every row."""
+        ends, places, counts = self.flat(run)
+        return zip(np.split(places.astype(np.int32), ends[:-1]), np.split(counts, ends[:-1]))
+
+    def flat(self, run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places and counts of the terms of all rows, one row after the other, behind the end of each row."""
         (words, rows), (pairs, pair_rows) = run.occurrences()
         place = np.fromiter((self.places.get(w, -1) for w in run.known), np.int64, len(run.known))[words]
         first, second = (np.array([run.known.get(w, -1) for w in side], np.int64) for side in (self.firsts, self.seconds))
@@ -165,24 +175,23 @@ class _Vocabulary:
         size = max(self.size, 1)
         each, counts = np.unique(np.concatenate([
             rows[place >= 0] * size + place[place >= 0], pair_rows[found] * size + places[at[found]]]), return_counts=True)
-        ends = np.searchsorted(each, np.arange(1, len(run.numbers)) * size)
-        return zip(np.split((each % size).astype(np.int32), ends), np.split(counts, ends))
+        return np.searchsorted(each, np.arange(1, len(run.numbers) + 1) * size), each % size, counts
 
 
 def _scaled_counts(vocabulary: list[str]):
     """1 + ln(count) of the terms of a text, as sparse vectors."""
-    known = _Vocabulary(vocabulary)
+    known = Vocabulary(vocabulary)
 
     @F.pandas_udf(VectorUDT())
     def scaled(texts: pd.Series) -> pd.DataFrame:
-        places, values, run = [], [], _Run()
+        places, values, run = [], [], Run()
         for i, terms in enumerate(texts, 1):
             run.add(terms)
             if run.full() or i == len(texts):
                 for place, count in known.counts(run):
                     places.append(place)
                     values.append(1.0 + np.log(count))
-                run = _Run()
+                run = Run()
         return pd.DataFrame({
             "type": np.zeros(len(places), np.int8), "size": np.full(len(places), known.size, np.int32),
             "indices": pd.Series(places, dtype=object), "values": pd.Series(values, dtype=object)})
@@ -257,24 +266,27 @@ def term_statistics(terms: DataFrame, *by: str) -> DataFrame:
     schema = StructType([terms.schema[c] for c in by]).add("term", "string").add("uses", "long").add("documents", "long")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(group: tuple, run: _Run, types: list[pa.DataType]) -> pa.RecordBatch:
-            names, uses, documents = run.statistics()
-            same = [pa.array([value], kind).take(pa.array(np.zeros(len(names), np.int64))) for value, kind in zip(group, types)]
-            return pa.RecordBatch.from_arrays([*same, pa.array(names, pa.string()), pa.array(uses, pa.int64()), pa.array(documents, pa.int64())],
-                                              names=[*by, "term", "uses", "documents"])
-
-        runs: dict[tuple, _Run] = {}
-        types: list[pa.DataType] = []
+        def rows(run: Run) -> Iterator[pa.RecordBatch]:
+            values = [pa.array(side, kind) for side, kind in zip(zip(*groups), types)]
+            for names, group, uses, documents in run.statistics():
+                same = [side.take(pa.array(group)) for side in values]
+                yield pa.RecordBatch.from_arrays([*same, names, pa.array(uses, pa.int64()), pa.array(documents, pa.int64())],
+                                                 names=[*by, "term", "uses", "documents"])
+
+        # All groups share a run, so memory does not grow with their number.
+        run, groups, types = Run(), _Numbered(), []
         for batch in batches:
             types = [batch.column(c).type for c in by]
-            keys = zip(*(batch.column(c).to_pylist() for c in by)) if by else [()] * batch.num_rows
-            for group, text in zip(keys, batch.column("terms").to_pylist()):
-                run = runs.setdefault(group, _Run())
-                run.add(text)
-                if run.full():
-                    yield rows(group, runs.pop(group), types)
-        for group, run in runs.items():
-            yield rows(group, run, types)
+            for at in range(0, batch.num_rows, _SLICE_ROWS):
+                part = batch.slice(at, _SLICE_ROWS)
+                keys = zip(*(part.column(c).to_pylist() for c in by)) if by else [()] * part.num_rows
+                for group, text in zip(keys, part.column("terms").to_pylist()):
+                    run.add(text, groups[group])
+                    if run.full():
+                        yield from rows(run)
+                        run = Run()
+        if run.numbers:
+            yield from rows(run)
 
     found = terms.select(*by, "terms").mapInArrow(counted, schema)
     return found.groupBy(*by, "term").agg(F.sum("uses").alias("uses"), F.sum("documents").alias("documents"))
