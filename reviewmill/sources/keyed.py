@@ -7,14 +7,17 @@ match nothing and would all fall into one bucket; they are stored apart, spread
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions.numbers import safe_rate
 from reviewmill.functions.text import model_partition, packed_key, unpacked_key
-from reviewmill.operators.checks import as_rows, together
+from reviewmill.operators.checks import as_rows, distributed, together
 from reviewmill.operators.joins import by_merge
 from reviewmill.operators.predictions import PACKED, import_faults, valid_predictions
 
@@ -101,7 +104,7 @@ def check_import(staged: Keyed, production: Keyed, reviews: Keyed, model: str) -
     """The (name, value) rows of ``checks.check_import`` for tables of one batch.
 
     Staged and imported rows are summed by key and model, then by key, and each meets the reviews counted by
-    key; all of it inside buckets. One row of sums leaves every task.
+    key; all of it inside buckets. One row of sums leaves every task, and one for each label and model.
     """
     def total(c: Column | str) -> Column:
         return F.coalesce(F.sum(c), F.lit(0))
@@ -141,4 +144,17 @@ def check_import(staged: Keyed, production: Keyed, reviews: Keyed, model: str) -
     found = covered.unionByName(keyless, allowMissingColumns=True).agg(
         total("missing").alias("missing_review_key_count"),
         safe_rate(total("covered"), total(F.coalesce("all", F.lit(0))) + total(F.when(F.col("all").isNull(), F.col("missing")))).alias("prediction_coverage"))
-    return together(*map(as_rows, (staging, own, found)))
+    return together(*map(as_rows, (staging, own, found)), _distributions(production, model))
+
+
+def _distributions(production: Keyed, model: str) -> DataFrame:
+    """Imported rows by label and by model version, counted in each task, so that only counts are moved."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for batch in batches:
+            for x in batch.column(0).value_counts().to_pylist():
+                found[x["values"]] += x["counts"]
+        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["name", "rows"])
+
+    names = production.all().select(F.explode(distributed(model)).alias("name"))
+    return names.mapInArrow(counted, "name string, rows long").repartition(1).groupBy("name").agg(F.sum("rows").cast("double").alias("value"))
